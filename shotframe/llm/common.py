@@ -74,6 +74,10 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(kind).to_pylist()]
 
 
+def as_texts(texts: list[bytes]) -> list[str]:
+    return [t.decode("utf-8", "replace") for t in texts]
+
+
 def text_chunks(batches: Iterator[pa.RecordBatch], limit: int = 1 << 20) -> Iterator[tuple[list, list[bytes]]]:
     """(ids, texts) of some documents at a time, about limit bytes; a longer text comes alone.
 

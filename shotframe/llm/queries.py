@@ -5,22 +5,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import shared_dir, table
 from .jaccard_join import jaccard_join
+from .packing import pack_documents
+from .secret_scan import joined_spans, secret_scan
+from .seekable import read_token_ids, write_token_ids
 from .substring_dedup import substring_dedup
+from .token_count import token_counts
+from .tokens import vocabulary
+
+
+def op3_whole_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), limit=512)
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op5_seekable_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_dir(spark)}/ids"
+    files = write_token_ids(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), folder, end_id=2)
+    return read_token_ids(files, folder).drop("ids")
+
+
+def op6_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), capacity=4096, end_id=2)
+
+
+def op7_trigram_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan(table(spark, sf_dir, "documents"))
+    number = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter("spans", lambda x: x["kind"].isin("assign", "access", "hex"))
+    return found.select("doc_id", number("assign"), number("access"), number("hex"), F.sha2(joined_spans(base).cast("binary"), 256).alias("base_sha256"), joined_spans(F.col("spans")).alias("spans"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup(table(spark, sf_dir, "documents"), window=13)
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
 QUERIES = {
+    "op3_whole_token_counts": op3_whole_token_counts,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op5_seekable_token_ids": op5_seekable_token_ids,
+    "op6_shortest_pack_first": op6_shortest_pack_first,
+    "op7_trigram_secret_scan": op7_trigram_secret_scan,
     "op8_substring_dedup": op8_substring_dedup,
 }
 
