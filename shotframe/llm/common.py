@@ -83,7 +83,7 @@ def text_chunks(batches: Iterator[pa.RecordBatch], limit: int = 1 << 20) -> Iter
 
     Expects the columns id, text in this order."""
     ids, texts, size = [], [], 0
-    for batch in batches:
+    for batch in (b.slice(a, 128) for b in batches for a in range(0, b.num_rows, 128)):  # copies few rows at a time
         for i, t in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), strict=True):
             if texts and size + len(t) > limit:
                 yield ids, texts

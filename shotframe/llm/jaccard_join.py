@@ -17,7 +17,7 @@ from .common import materialize, squeeze, squeeze_ids, text_bytes, text_chunks,
 from .components import components
 from .windows import bucket_bits, low_bytes, mix, shingle_sets, split_by_bucket, whole_hashes
 
-BLOCK = 2_000_000
+BLOCK = 1_000_000
 #: Sets above this size are always large: their subsets are too many.
 LARGEST_SMALL = 14
 

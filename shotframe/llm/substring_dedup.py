@@ -15,7 +15,7 @@ from .common import as_bytes, materialize, squeeze, squeeze_ids, text_bytes, tex
 from .windows import bucket_bits, low_bytes, split_by_bucket, whole_hashes, window_hashes
 
 #: Windows that a task gathers before it sends them on.
-BLOCK = 2_000_000
+BLOCK = 1_000_000
 
 
 def _group(ids: np.ndarray, bits: int) -> np.ndarray:
