@@ -6,13 +6,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import shared_dir, table
+from .decontam import contaminated
 from .jaccard_join import jaccard_join
+from .langid import fit, held_out, language_id
 from .packing import pack_documents
 from .secret_scan import joined_spans, secret_scan
 from .seekable import read_token_ids, write_token_ids
 from .substring_dedup import substring_dedup
+from .tiff import page_digests, text_media, tiff_pages
 from .token_count import token_counts
 from .tokens import vocabulary
+from .warc import audit, copy_warc, write_warc
+
+
+def op1_hierarchical_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tree = fit(docs.where(~held_out()))
+    return language_id(docs, tree).select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def op2_tiff_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    media = text_media(table(spark, sf_dir, "documents"), width=64)
+    stored = media.select("doc_id", "n_bytes", F.length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), "media")
+    kept = ("doc_id", "n_bytes", "media_bytes", "media_sha256")
+    read = page_digests(tiff_pages(stored, "media", kept), kept)
+    return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
 
 
 def op3_whole_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,13 +63,36 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op9_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _one_bit(page_id: int | None, data: bytes) -> bytes:
+    """Flips a bit in the middle of the record of every 97th page: known damage for the audit to locate."""
+    if page_id is None or page_id % 97 != 13:
+        return data
+    at = len(data) // 2
+    return data[:at] + bytes([data[at] ^ 1]) + data[at + 1 :]
+
+
+def op10_merkle_fixity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_dir(spark)
+    manifest = write_warc(table(spark, sf_dir, "pages"), f"{folder}/a")
+    copy_warc(manifest, f"{folder}/a", f"{folder}/b", _one_bit)
+    return audit(manifest, f"{folder}/a", f"{folder}/b").select(F.col("id").alias("page_id"), "file", "offset", "length", "hash", "replica_hash", "damaged")
+
+
 QUERIES = {
+    "op1_hierarchical_language_id": op1_hierarchical_language_id,
+    "op2_tiff_media": op2_tiff_media,
     "op3_whole_token_counts": op3_whole_token_counts,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_seekable_token_ids": op5_seekable_token_ids,
     "op6_shortest_pack_first": op6_shortest_pack_first,
     "op7_trigram_secret_scan": op7_trigram_secret_scan,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_bm25_decontamination": op9_bm25_decontamination,
+    "op10_merkle_fixity_audit": op10_merkle_fixity_audit,
 }
 
 ORACLE_SQL = {
