@@ -1,0 +1 @@
+"""Event-by-event ("shot") experiment analytics as PySpark DataFrame operators."""
