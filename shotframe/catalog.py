@@ -279,19 +279,19 @@ def coo_assemble(spark: SparkSession, d: str) -> DataFrame:
     return rounded(image(spark, d), "value", digits=2)
 
 
-RINGS = "{x}, g AS (SELECT CAST(floor({r}) AS INTEGER) AS r, sum(value) AS s, count(*) AS n FROM image GROUP BY 1), a AS (SELECT CAST(i AS INTEGER) AS r FROM (SELECT max(r) AS m FROM g), range(100) AS t(i) WHERE i <= m) SELECT a.r, round(CASE WHEN coalesce(s / n, 0) < 10 THEN 0 ELSE s / n END, 4) AS value FROM a LEFT JOIN g USING (r)"
+RINGS = "{x}, g AS (SELECT CAST(floor({r}) AS INTEGER) AS r, sum(value) AS s, count(*) AS n FROM image GROUP BY 1), a AS (SELECT CAST(i AS INTEGER) AS r FROM (SELECT max(r) AS m FROM g), range(100) AS t(i) WHERE i <= m) SELECT a.r, CAST(CASE WHEN coalesce(s / n, 0) < 10 THEN 0 ELSE s / n END AS FLOAT) AS value FROM a LEFT JOIN g USING (r)"
 RADIUS = "sqrt(pow(col - 31.5, 2) + pow(row - 30.25, 2))"
 
 
 @query("WITH " + RINGS.format(x=IMAGE, r=RADIUS))
 def radial_profile(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(images.radial_profile(image(spark, d), 31.5, 30.25), "value", digits=4)
+    return images.radial_profile(image(spark, d), 31.5, 30.25).withColumn("value", F.col("value").cast("float"))
 
 
 @query("WITH " + RINGS.format(x=IMAGE, r=f"CASE WHEN (row + col) % 7 <> 0 THEN {RADIUS} ELSE 0 END"))
 def radial_profile_masked(spark: SparkSession, d: str) -> DataFrame:
     mask = ((F.col("row") + F.col("col")) % 7 != 0).cast("int")
-    return rounded(images.radial_profile(image(spark, d), 31.5, 30.25, mask), "value", digits=4)
+    return images.radial_profile(image(spark, d), 31.5, 30.25, mask).withColumn("value", F.col("value").cast("float"))
 
 
 @query(f"WITH {IMAGE} SELECT row, col, round((value - (SELECT avg(value) FROM image)) / (SELECT stddev_pop(value) FROM image), 6) + 0.0 AS value FROM image")

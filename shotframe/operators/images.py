@@ -28,7 +28,7 @@ def coordinates_joined(values: DataFrame, geometry: DataFrame, index: str = "pix
     """Values with their pixel coordinates by flat index; raises at run time if the two differ in number."""
     n = geometry.agg(F.count("*").alias("n")).crossJoin(values.agg(F.count("*").alias("m")))
     checked = n.select(F.assert_true(F.col("n") == F.col("m"), F.lit("values and coordinates differ in number")).alias("ok"))
-    return values.join(geometry, index).crossJoin(F.broadcast(checked)).drop("ok")  # checked: one row
+    return values.join(geometry, index).crossJoin(F.broadcast(checked)).where("ok is null").drop("ok")  # checked: one row
 
 
 def radius(x: Column, y: Column, cx: float, cy: float) -> Column:

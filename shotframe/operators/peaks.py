@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -53,16 +53,17 @@ def find_peaks(shots: DataFrame, image: str = "image", npix_min: int = 2, npix_m
 
     The kernel that such parameters are known from is native code that cannot be read; this one follows what the
     parameters are described to mean and is not equal to it bit for bit."""
-    from pyspark.sql.types import ArrayType, StructType, _parse_datatype_string
+    kept = [f for f in shots.schema.fields if f.name != image]
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), f"peaks array<struct<{PEAK}>>"])
+    whole = {"seg", "row", "col", "npix", "rmin", "rmax", "cmin", "cmax"}
+    kind = pa.list_(pa.struct([(k, pa.int32() if k in whole else pa.float64()) for k in (x.split(":")[0] for x in PEAK.split(", "))]))
 
-    schema = StructType([*shots.drop(image).schema.fields]).add("peaks", ArrayType(_parse_datatype_string(PEAK)))
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [[k for s, panel in enumerate(m.as_py() or []) for k in peaks_of(np.array(panel, float), s, npix_min, npix_max, amax_thr, atot_thr, son_min, rank, r0, dr, nsigm)] for m in b.column(b.schema.get_field_index(image))]
+            yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(f.name)) for f in kept), pa.array(rows, kind)], [*(f.name for f in kept), "peaks"])
 
-    def found(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for p in parts:
-            peaks = [[k for s, panel in enumerate(m) for k in peaks_of(np.array([list(r) for r in panel], float), s, npix_min, npix_max, amax_thr, atot_thr, son_min, rank, r0, dr, nsigm)] if m is not None else [] for m in p[image]]
-            yield p.drop(columns=[image]).assign(peaks=peaks)
-
-    return shots.mapInPandas(found, schema).withColumn("n_peaks", F.size("peaks"))
+    return shots.mapInArrow(found, schema).withColumn("n_peaks", F.size("peaks"))
 
 
 def hits(shots: DataFrame, min_peaks: int = 2, max_peaks: int = 2048, n_peaks: str = "n_peaks") -> DataFrame:
