@@ -15,8 +15,9 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Pieces and words that a worker remembers; beyond them they are encoded anew.
-PIECES, WORDS = 400_000, 500_000
-_ODD_RUN = re.compile(r"\s{3}|\s\s\Z|[\x1c-\x1f]")
+PIECES, WORDS = 500_000, 700_000
+_ODD_RUN = re.compile(r"\s{3}|\s\s\Z|[\x1c-\x1f\x00]")
+_OTHER_SPACE = re.compile(r"[^\S\n]")
 #: What the byte-level vocabulary's pre-tokenizer does to ASCII.
 _BYTE_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+")
 _LOWER_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
@@ -74,62 +75,75 @@ class PieceEncoder:
                 at = end + 1
         return out
 
-    def _split(self, piece: str) -> list[str] | None:
-        """The piece's pre-tokens; None if it has to be encoded as it is."""
-        if self.byte_level:
-            return _BYTE_WORD.findall(piece)
-        return _LOWER_WORD.findall(piece.lower())
-
     def _learn(self, new: set[str]) -> dict:
-        """Ids of pieces not met before; a piece is a newline or a space and what follows it."""
+        """Values of pieces not met before. A piece is a newline and what follows it, or NUL and a text's first
+        piece, or what follows a space."""
+        byte_level, mark, words = self.byte_level, self.mark, self.words
+        split = (_BYTE_WORD if byte_level else _LOWER_WORD).findall
+        odd = bool(_OTHER_SPACE.search("".join(new))) or not byte_level and any(mark in p for p in new)
         parts: dict[str, list[str]] = {}
         missing: set[str] = set()
         alone: dict = {}
         for p in new:
-            text = p if p[:1] == "\n" else " " + p
-            if self.mark in text[1:] or (not self.byte_level and self.mark in text) or re.search(r"\s", text[1:]) or len(text) < 2:
+            first = p[:1]
+            if first == "\n":
+                text, own = p[1:], [mark] if byte_level else []
+            elif first == "\0":
+                text, own = p[1:], []
+            else:
+                text, own = " " + p if byte_level else p, []
+            if odd and (_OTHER_SPACE.search(p[1:] if first in ("\n", "\0") else p) or mark in p[1:] or not byte_level and mark in p):
+                alone[p] = self._whole(first + text if first == "\n" else text)
+                continue
+            if text == " ":
                 alone[p] = self._whole(text)
                 continue
-            if text[0] == "\n":
-                text = text[1:]
-                head = [self.mark] if self.byte_level else []
+            if not text:
+                pass
+            elif not text.isascii():
+                own.append(text)
+            elif p.isalpha():
+                own.append(text if byte_level else text.lower())
             else:
-                text, head = (text, []) if self.byte_level else (text[1:], [])
-            own = self._split(text) if text.isascii() else [text]
-            parts[p] = head + own
-            missing.update(x for x in own if x not in self.words)
+                own += split(text if byte_level else text.lower())
+            parts[p] = own
+            missing.update([x for x in own if x not in words])
+        missing.discard(mark)
         found = dict(zip(ordered := sorted(missing), self._values(ordered), strict=True)) if missing else {}
-        if self.mark not in self.words:
-            self.words[self.mark] = self._whole(self.mark)
-        known = lambda x: found[x] if x in found else self.words[x]
-        out = {p: self.joined(map(known, own)) for p, own in parts.items()} | alone
-        if len(self.words) < WORDS:
-            self.words |= found
-        return out
+        if mark not in words:
+            words[mark] = self._whole(mark)
+        if len(words) < WORDS:
+            words |= found
+            known = words.__getitem__
+        else:
+            known = lambda x: found[x] if x in found else words[x]
+        joined = self.joined
+        return {p: known(own[0]) if len(own) == 1 else joined(map(known, own)) for p, own in parts.items()} | alone
 
     def encode(self, texts: list[str]) -> list:
         """The value of each text: here its ids."""
-        cut: list[list[str] | None] = []
+        get = self.pieces.get
+        cut: list[tuple[list[str], list] | None] = []
         new: set[str] = set()
         for t in texts:
             if "<|" in t or _ODD_RUN.search(t):
                 cut.append(None)
                 continue
-            p = t.replace("\n", " \n").split(" ")
-            cut.append(p)
-            new.update(p[1:])
-        fresh = self._learn(new.difference(self.pieces)) if new else {}
+            p = ("\0" + t).replace("\n", " \n").split(" ")
+            values = list(map(get, p))
+            if None in values:
+                new.update([x for x, v in zip(p, values, strict=True) if v is None])
+            cut.append((p, values))
+        fresh = self._learn(new) if new else {}
         if len(self.pieces) < PIECES:
             self.pieces |= fresh
-            fresh = self.pieces
-        else:
-            fresh = {p: self.pieces[p] for p in new if p in self.pieces} | fresh
         out = []
-        for t, p in zip(texts, cut, strict=True):
-            if p is None:
+        for t, c in zip(texts, cut, strict=True):
+            if c is None:
                 out.append(self._whole(t))
-                continue
-            out.append(self.joined([self._whole(p[0]), *map(fresh.__getitem__, p[1:])]))
+            else:
+                p, values = c
+                out.append(self.joined([fresh[x] if v is None else v for x, v in zip(p, values, strict=True)] if None in values else values))
         return out
 
 
