@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize, squeeze, squeeze_ids, text_bytes, text_chunks, unsqueeze, unsqueeze_ids
 from .components import components
-from .windows import bucket_bits, low_bytes, mix, shingle_sets, split_by_bucket, whole_hashes
+from .windows import bucket_bits, low_bytes, mix, runs, shingle_sets, split_by_bucket, whole_hashes
 
 BLOCK = 1_000_000
 #: Sets above this size are always large: their subsets are too many.
@@ -94,8 +94,7 @@ def shared_shingles(docs: DataFrame, words: int, percent: int) -> DataFrame:
         group = _group(ids, bits)
         order = np.lexsort((ids, group))
         h, ids, code, group = h[order], ids[order], code[order], group[order]
-        cuts = np.flatnonzero(np.concatenate(([True], np.diff(group) != 0))) if len(ids) else []
-        rows = [(int(group[a]), h[a:b].tobytes(), squeeze_ids(ids[a:b]), b"", squeeze(code[a:b])) for a, b in zip(cuts, [*cuts[1:], len(ids)], strict=True)]
+        rows = [(int(group[a]), h[a:b].tobytes(), squeeze_ids(ids[a:b]), b"", squeeze(code[a:b])) for a, b in runs(group)]
         return pa.table({k: pa.array([r[i] for r in rows], pa.int64() if i == 0 else pa.binary()) for i, k in enumerate(("g", "h", "ids", "sig", "code"))})
 
     def gathered(t: pa.Table) -> pa.Table:

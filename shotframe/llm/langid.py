@@ -35,7 +35,7 @@ def family(lang: str) -> str:
 def _grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Feature numbers of the bigram and of the trigram from each byte on, and where each text begins.
     Texts are framed by spaces; A-Z count as a-z, and digits and white space as spaces."""
-    joined = b"".join(b" " + t.lower() + b"  " for t in texts) + b"  "  # so that every byte begins a gram
+    joined = b"".join(b"  " + t.lower() + b" " for t in texts) + b"  "  # no gram reaches into the next text's letters
     buf = np.frombuffer(joined, np.uint8)
     buf = np.where((buf < 65) & (buf != 39), 32, buf).astype(np.uint32)
     begins = np.concatenate(([0], np.cumsum([len(t) + 3 for t in texts])))

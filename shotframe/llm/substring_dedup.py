@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import as_bytes, materialize, squeeze, squeeze_ids, text_bytes, text_chunks, unsqueeze, unsqueeze_ids
-from .windows import bucket_bits, low_bytes, split_by_bucket, whole_hashes, window_hashes
+from .windows import bucket_bits, low_bytes, runs, split_by_bucket, whole_hashes, window_hashes
 
 #: Windows that a task gathers before it sends them on.
 BLOCK = 1_000_000
@@ -76,8 +76,7 @@ def substring_dedup(docs: DataFrame, window: int = 13, id_col: str = "doc_id", t
         ids, pos = ids[order], pos[order]
         group = _group(ids, bits)
         order = np.argsort(group, kind="stable")
-        cuts = np.flatnonzero(np.concatenate(([True], np.diff(group[order]) != 0))) if len(ids) else []
-        rows = [(int(group[order[a]]), squeeze_ids(ids[order[a:b]]), squeeze(pos[order[a:b]])) for a, b in zip(cuts, [*cuts[1:], len(ids)], strict=True)]
+        rows = [(int(group[order[a]]), squeeze_ids(ids[order[a:b]]), squeeze(pos[order[a:b]])) for a, b in runs(group[order])]
         return pa.table({"g": pa.array([r[0] for r in rows], pa.int64()), "ids": pa.array([r[1] for r in rows], pa.binary()), "pos": pa.array([r[2] for r in rows], pa.binary())})
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -102,14 +102,21 @@ def bucket_bits(total_bytes: int) -> int:
     return bits
 
 
+def runs(ordered: np.ndarray) -> list[tuple[int, int]]:
+    """Begin and end of each run of equal values; none of an empty array."""
+    if not len(ordered):
+        return []
+    cuts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))).tolist()
+    return list(zip(cuts, [*cuts[1:], len(ordered)], strict=True))
+
+
 def split_by_bucket(h: np.ndarray, bits: int) -> Iterator[tuple[int, np.ndarray]]:
     """(bucket, positions in h); the top bits of a hash are its bucket."""
     bucket = h >> np.uint64(64 - bits)
     bucket = bucket.astype(np.uint16 if bits <= 16 else np.uint32)
     order = np.argsort(bucket, kind="stable")
     ordered = bucket[order]
-    cuts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(h) else []
-    for a, b in zip(cuts, [*cuts[1:], len(h)], strict=True):
+    for a, b in runs(ordered):
         yield int(ordered[a]), order[a:b]
 
 
