@@ -37,8 +37,9 @@ def _group(ids: np.ndarray, bits: int) -> np.ndarray:
 
 
 def shared_shingles(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(id, n, sig, k, codes, tokens) of each document: size and signature of its set, and, where k (the number
-    of its shingles that another document has too) is enough for a link, those shingles, rarest first."""
+    """(id, n, sig, k, rich, codes, tokens) of each document: size and signature of its set, how common its
+    shingles are on the whole, and, where k (the number of its shingles that another document has too) is
+    enough for a link, those shingles, rarest first."""
     bits = bucket_bits(text_bytes(docs))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,12 +114,12 @@ def shared_shingles(docs: DataFrame, words: int, percent: int) -> DataFrame:
         for i, (n, sig) in sizes.items():
             a, b = np.searchsorted(ids, [i, i + 1])
             enough = n > 0 and 100 * (b - a) >= percent * n
-            rows.append((i, n, sig, int(b - a), code[a:b].astype(np.int64).tolist() if enough else None, h[a:b].view(np.int64) if enough else None))
-        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int16()), pa.list_(pa.int64()))
-        return pa.table({k: pa.array([r[i] for r in rows], kind) for i, (k, kind) in enumerate(zip(("id", "n", "sig", "k", "codes", "tokens"), kinds, strict=True))})
+            rows.append((i, n, sig, int(b - a), float(code[a:b].sum(dtype=np.int64)) / max(1, n), code[a:b].astype(np.int64).tolist() if enough else None, h[a:b].view(np.int64) if enough else None))
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.float64(), pa.list_(pa.int16()), pa.list_(pa.int64()))
+        return pa.table({k: pa.array([r[i] for r in rows], kind) for i, (k, kind) in enumerate(zip(("id", "n", "sig", "k", "rich", "codes", "tokens"), kinds, strict=True))})
 
     sent = docs.mapInArrow(hashed, "bucket long, h binary, ids binary, sig binary").groupBy("bucket").applyInArrow(repeated, "g long, h binary, ids binary, sig binary, code binary")
-    return sent.groupBy("g").applyInArrow(gathered, "id long, n long, sig binary, k long, codes array<short>, tokens array<long>")
+    return sent.groupBy("g").applyInArrow(gathered, "id long, n long, sig binary, k long, rich double, codes array<short>, tokens array<long>")
 
 
 def _prefix(n, k, percent: int):
@@ -176,32 +177,39 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _list_edges(sets: DataFrame, boundary: int, percent: int, edges: DataFrame, rounds: int = 2) -> DataFrame:
     """Edges that join the components of pairs with a large set.
 
-    Every list of a shingle first checks its members against one pivot, the member richest in common
+    The order of all shingles has those of one document first, so of two sets that link, the first shingle in
+    common stands no later in either than its size less the overlap that their sizes need: lists are scanned
+    with that condition. Every list first checks its members against one pivot, the member richest in common
     shingles, which in a group of near copies is what they were copied from. What then lies in one
     component needs no more checks. After some rounds, every pair of a list that still lies in two
     components is checked, so no link between components is missed."""
     p = _prefix(F.col("n"), F.col("k"), percent)
-    rich = F.aggregate("codes", F.lit(0), lambda a, c: a + c) / F.col("n")
-    lists = sets.where((100 * F.col("n") > percent * boundary) & (p > 0)).select("id", "n", rich.alias("rich"), F.explode(F.slice("tokens", 1, p)).alias("tok"))
-    lists = lists.join(lists.groupBy("tok").agg(F.count("*").alias("m")).where("m > 1").select("tok"), "tok")
+    need = lambda a, b: F.expr(f"({percent} * ({a} + {b}) + {99 + percent}) div {100 + percent}")
+    lists = sets.where((100 * F.col("n") > percent * boundary) & (p > 0)).select("id", "n", "rich", (F.col("n") - F.col("k")).alias("alone"), F.posexplode(F.slice("tokens", 1, p)).alias("at", "tok"))
+    lists = lists.select("id", "n", "rich", "tok", (F.col("alone") + F.col("at")).alias("pos"))
+    known = lists.groupBy("tok").agg(F.count("*").alias("m"), F.min("n").alias("low")).where("m > 1").select("tok", "low")
+    smallest = f"greatest(low, ({percent} * n + 99) div 100)"  # of the partners that a member may have in its list
+    lists = lists.join(known, "tok").where(F.col("pos") + need("n", smallest) <= F.col("n")).drop("low")
     lists = materialize(lists, "lists")
     near = F.expr(f"100 * least(n, pn) >= {percent} * greatest(n, pn)") & (F.greatest("n", "pn") > boundary)
+    near = near & (F.col("pos") + need("n", "pn") <= F.col("n")) & (F.col("ppos") + need("n", "pn") <= F.col("pn"))
     checked = edges.limit(0)
     for turn in range(rounds + 1):
         label = components(edges) if turn or boundary else None
         now = lists.withColumn("label", F.col("id")) if label is None else lists.join(label.withColumnRenamed("root", "label"), "id", "left").withColumn("label", F.coalesce("label", "id"))
-        by_label = now.groupBy("tok", "label").agg(F.count("*").alias("m"), F.max(F.struct("rich", -F.col("id"), "n")).alias("top"))
+        by_label = now.groupBy("tok", "label").agg(F.count("*").alias("m"), F.max(F.struct("rich", -F.col("id"), "n", "pos")).alias("top"))
         open_ = by_label.groupBy("tok").agg(F.max_by("label", F.struct("m", "label")).alias("main"), F.max("top").alias("top"), F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
-        open_ = open_.select("tok", "main", (-F.col("top.col2")).alias("pivot"), F.col("top.n").alias("pn"))
-        now = now.select("tok", "id", "n", "rich", "label")
+        pivot = ((-F.col("top.col2")).alias("pivot"), F.col("top.n").alias("pn"), F.col("top.pos").alias("ppos"))
+        open_ = open_.select("tok", "main", *pivot)
+        now = now.select("tok", "id", "n", "pos", "label")
         if turn < rounds:
             if turn:  # the list's main component has had its pivot; now the best of the others
                 rest = by_label.join(open_.select("tok", "main"), "tok").where("label <> main").groupBy("tok").agg(F.max("top").alias("top"))
-                open_ = rest.select("tok", (-F.col("top.col2")).alias("pivot"), F.col("top.n").alias("pn"))
+                open_ = rest.select("tok", *pivot)
             found = now.join(open_, "tok").where((F.col("id") != F.col("pivot")) & near)
             found = found.groupBy("id", "pivot").agg(F.count("*").alias("m")).groupBy("id").agg(F.max_by("pivot", F.struct("m", -F.col("pivot"))).alias("pivot"))
         else:
-            others = now.join(open_.select("tok", "main"), "tok").where("label <> main").select("tok", F.col("id").alias("pivot"), F.col("n").alias("pn"), F.col("label").alias("plabel"))
+            others = now.join(open_.select("tok", "main"), "tok").where("label <> main").select("tok", F.col("id").alias("pivot"), F.col("n").alias("pn"), F.col("pos").alias("ppos"), F.col("label").alias("plabel"))
             found = now.join(others, "tok").where((F.col("label") != F.col("plabel")) & near).select("id", "pivot").distinct()
         pairs = found.select(F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b")).distinct().join(checked, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
@@ -227,7 +235,7 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
     rows = materialize(shared_shingles(source, words, percent), "sets")
     classes = rows.where("n > 0").groupBy("sig").agg(F.min("id").alias("rep"), F.min(F.when(F.col("tokens").isNotNull(), F.col("id"))).alias("carrier"))
     classes = materialize(classes, "classes")
-    sets = rows.where(F.col("tokens").isNotNull()).join(classes.where("carrier is not null").select(F.col("carrier").alias("id"), "rep"), "id").select(F.col("rep").alias("id"), "n", "k", "codes", "tokens")
+    sets = rows.where(F.col("tokens").isNotNull()).join(classes.where("carrier is not null").select(F.col("carrier").alias("id"), "rep"), "id").select(F.col("rep").alias("id"), "n", "k", "rich", "codes", "tokens")
     sets = materialize(sets, "candidates")
     boundary = _boundary(sets, percent)
     edges = sets.limit(0).select(F.col("id").alias("a"), F.col("id").alias("b"))
@@ -236,7 +244,7 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
     edges = _list_edges(sets, boundary, percent, materialize(edges, "small"))
     roots = components(edges)
     # the smallest id of a class is its representative, so the smallest representative is the smallest id
-    named = rows.drop("codes", "tokens", "k").join(classes.select("sig", "rep"), "sig", "left").join(roots.withColumnRenamed("id", "rep"), "rep", "left")
+    named = rows.drop("codes", "tokens", "k", "rich").join(classes.select("sig", "rep"), "sig", "left").join(roots.withColumnRenamed("id", "rep"), "rep", "left")
     out = named.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("root", "rep", "id").alias("component_id"), F.coalesce("rep", "id").alias("copies_of"))
     nulls = docs.where(F.col(id_col).isNull()).select(F.col(id_col).cast("long"), F.lit(None).cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"), F.lit(None).cast("long").alias("copies_of"))
     return out.unionByName(nulls)
