@@ -90,7 +90,9 @@ class Tree:
         for names, labels in ((self.families, kin[y] if len(y) else kin[:0]), *((m, np.array(langs)[y] if len(y) else kin[:0]) for m in self.members.values())):
             for a, b in combinations(names, 2):
                 at = np.flatnonzero((labels == a) | (labels == b))
-                w, c = _machine(x[at] / scale, np.where(labels[at] == a, 1, -1).astype(np.float32))
+                own = x[at]
+                own /= scale
+                w, c = _machine(own, np.where(labels[at] == a, 1, -1).astype(np.float32))
                 self.pairs.append((a, b))
                 weights.append(w / scale)
                 bias.append(c)
@@ -152,10 +154,11 @@ def fit(docs: DataFrame, per_language: int = 250, id_col: str = "doc_id", text_c
                 yield pa.RecordBatch.from_arrays([pa.array(names[i : i + 64]), pa.array([v.astype(np.float16).tobytes() for v in x[i : i + 64]], pa.binary())], ["lang", "x"])
 
     rows = known.where(draw < share).select("lang", "text").mapInArrow(features, "lang string, x binary").toArrow()
-    x = np.frombuffer(b"".join(rows.column("x").to_pylist()), np.float16).reshape(-1, DIMS).astype(np.float32)
+    x = np.stack([np.frombuffer(v.as_py(), np.float16) for v in rows.column("x")]) if len(rows) else np.zeros((0, DIMS), np.float16)
     y = np.array([langs.index(v) for v in rows.column("lang").to_pylist()], int)
+    del rows
     order = np.lexsort((*x[:, :8].T, y))  # the same machines whatever order the rows come in
-    return Tree(langs, x[order], y[order])
+    return Tree(langs, x[order].astype(np.float32), y[order])
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -15,7 +15,7 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Pieces and words that a worker remembers; beyond them they are encoded anew.
-PIECES, WORDS = 500_000, 700_000
+PIECES, WORDS = 300_000, 400_000
 _ODD_RUN = re.compile(r"\s{3}|\s\s\Z|[\x1c-\x1f\x00]")
 _OTHER_SPACE = re.compile(r"[^\S\n]")
 #: What the byte-level vocabulary's pre-tokenizer does to ASCII.
