@@ -126,7 +126,7 @@ def write_token_ids(docs: DataFrame, path: str, folder: str, end_id: int = 2, id
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, top = fs.FileSystem.from_uri(folder)
-        enc, end, file, to, n = encoder(path), np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId(), None, 0
+        enc, end, file, to, n = encoder(path, 500_000, 700_000), np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId(), None, 0
         name, draft = f"{top}/ids-{file:06d}.zst", f"{top}/.ids-{file:06d}-{TaskContext.get().taskAttemptId()}"
         for ids, texts in text_chunks(batches, 4 << 20):
             if to is None:

@@ -39,6 +39,7 @@ class PieceEncoder:
 
         self.whole = Tokenizer.from_file(path)
         self.byte_level = self.whole.normalizer is None
+        self.most_pieces, self.most_words = PIECES, WORDS
         self.pieces: dict = {}
         self.words: dict = {}
         # a mark between words that are encoded in one call, and the one id that it has
@@ -112,7 +113,7 @@ class PieceEncoder:
         found = dict(zip(ordered := sorted(missing), self._values(ordered), strict=True)) if missing else {}
         if mark not in words:
             words[mark] = self._whole(mark)
-        if len(words) < WORDS:
+        if len(words) < self.most_words:
             words |= found
             known = words.__getitem__
         else:
@@ -135,7 +136,7 @@ class PieceEncoder:
                 new.update([x for x, v in zip(p, values, strict=True) if v is None])
             cut.append((p, values))
         fresh = self._learn(new) if new else {}
-        if len(self.pieces) < PIECES:
+        if len(self.pieces) < self.most_pieces:
             self.pieces |= fresh
         out = []
         for t, c in zip(texts, cut, strict=True):
@@ -147,8 +148,9 @@ class PieceEncoder:
         return out
 
 
-def encoder(path: str) -> PieceEncoder:
+def encoder(path: str, pieces: int = PIECES, words: int = WORDS) -> PieceEncoder:
     """This worker's encoder of the vocabulary; workers are reused, and with them what they remember."""
     if path not in _LOADED:
         _LOADED[path] = PieceEncoder(path)
+    _LOADED[path].most_pieces, _LOADED[path].most_words = pieces, words
     return _LOADED[path]
