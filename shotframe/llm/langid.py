@@ -26,21 +26,30 @@ FAMILIES = {
 #: Hashed features: byte bigrams and trigrams, each in half of the space.
 DIMS = 1 << 13
 _LETTER = re.compile(r"[^\W\d_]")
+#: The trigram of three spaces, which tells nothing.
+_BLANK = 0x202020
+#: From so many texts of a language on, a trigram is known if two of them hold it: one odd text makes nothing known.
+ENOUGH_TEXTS = 20
 
 
 def family(lang: str) -> str:
     return next((k for k, v in FAMILIES.items() if lang in v), lang)
 
 
-def _grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Feature numbers of the bigram and of the trigram from each byte on, and where each text begins.
+def _raw_grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bigram and the trigram from each byte on, and where each text begins.
     Texts are framed by spaces; A-Z count as a-z, and digits and white space as spaces."""
     joined = b"".join(b"  " + t.lower() + b" " for t in texts) + b"  "  # no gram reaches into the next text's letters
     buf = np.frombuffer(joined, np.uint8)
     buf = np.where((buf < 65) & (buf != 39), 32, buf).astype(np.uint32)
     begins = np.concatenate(([0], np.cumsum([len(t) + 3 for t in texts])))
     two = buf[:-2] << np.uint32(8) | buf[1:-1]
-    three = two << np.uint32(8) | buf[2:]
+    return two, two << np.uint32(8) | buf[2:], begins
+
+
+def _grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Feature numbers of the bigram and of the trigram from each byte on, and where each text begins."""
+    two, three, begins = _raw_grams(texts)
     half, shift = DIMS // 2, np.uint32(32 - (DIMS // 2).bit_length() + 1)
     return (two * np.uint32(2654435761)) >> shift, ((three * np.uint32(2246822519)) >> shift) + np.uint32(half), begins
 
@@ -79,8 +88,9 @@ def _machine(x: np.ndarray, y: np.ndarray, rounds: int = 80, decay: float = 1e-4
 class Tree:
     """The families, and in each its languages, with a machine for every two of them."""
 
-    def __init__(self, langs: list[str], x: np.ndarray, y: np.ndarray):
+    def __init__(self, langs: list[str], x: np.ndarray, y: np.ndarray, known: dict[str, np.ndarray] | None = None):
         self.langs = langs
+        self.known = known or {}  # trigrams of each language
         self.families = sorted({family(v) for v in langs})
         kin = np.array([family(v) for v in langs])
         self.members = {f: [v for v in langs if family(v) == f] for f in self.families}
@@ -134,11 +144,24 @@ class Tree:
                 score[at] *= own.max(1)
         return langs.tolist(), score
 
+    def known_shares(self, texts: list[bytes], langs: list[str]) -> np.ndarray:
+        """Of each text, the share of its trigrams that its language is known to have, from 0 to 1. Votes only
+        compare languages, so this alone tells a text that none of them fits."""
+        out, names = np.zeros(len(texts)), np.array(langs, object)
+        for v in sorted(set(langs)):
+            at = np.flatnonzero(names == v)
+            _, three, begins = _raw_grams([texts[i] for i in at])
+            told = three[: begins[-1]] != _BLANK
+            hit = np.isin(three[: begins[-1]], self.known.get(v, np.empty(0, np.uint32)), kind="table") & told
+            out[at] = np.add.reduceat(hit, begins[:-1], dtype=np.int64) / np.maximum(1, np.add.reduceat(told, begins[:-1], dtype=np.int64))
+        return out
+
 
 def fit(docs: DataFrame, per_language: int = 250, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Tree:
     """Learns from a sample of about per_language rows of each language (rows with null lang or text are left
     out): those whose hashed id falls below the share that is needed, so the sample does not depend on the
-    order of rows. Its features, per_language * DIMS floats a language, fit the driver."""
+    order of rows. Its features, per_language * DIMS floats a language, and the trigrams of each text fit the
+    driver."""
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     sizes = {r.lang: r["count"] for r in known.groupBy("lang").count().orderBy("lang").collect()}
     langs = sorted(sizes)
@@ -151,14 +174,19 @@ def fit(docs: DataFrame, per_language: int = 250, id_col: str = "doc_id", text_c
         for names, texts in text_chunks(batches):
             x = _counts(texts)
             for i in range(0, len(x), 64):
-                yield pa.RecordBatch.from_arrays([pa.array(names[i : i + 64]), pa.array([v.astype(np.float16).tobytes() for v in x[i : i + 64]], pa.binary())], ["lang", "x"])
+                yield pa.RecordBatch.from_arrays([pa.array(names[i : i + 64]), pa.array([v.astype(np.float16).tobytes() for v in x[i : i + 64]], pa.binary()), pa.array([np.unique(_raw_grams([t])[1]).tobytes() for t in texts[i : i + 64]], pa.binary())], ["lang", "x", "grams"])
 
-    rows = known.where(draw < share).select("lang", "text").mapInArrow(features, "lang string, x binary").toArrow()
+    rows = known.where(draw < share).select("lang", "text").mapInArrow(features, "lang string, x binary, grams binary").toArrow()
     x = np.stack([np.frombuffer(v.as_py(), np.float16) for v in rows.column("x")]) if len(rows) else np.zeros((0, DIMS), np.float16)
     y = np.array([langs.index(v) for v in rows.column("lang").to_pylist()], int)
+    known = {}
+    for k, v in enumerate(langs):
+        held = [np.frombuffer(rows.column("grams")[int(i)].as_py(), np.uint32) for i in np.flatnonzero(y == k)]
+        grams, texts = np.unique(np.concatenate(held or [np.empty(0, np.uint32)]), return_counts=True)
+        known[v] = grams[texts >= (2 if len(held) >= ENOUGH_TEXTS else 1)]
     del rows
     order = np.lexsort((*x[:, :8].T, y))  # the same machines whatever order the rows come in
-    return Tree(langs, x[order].astype(np.float32), y[order])
+    return Tree(langs, x[order].astype(np.float32), y[order], known)
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -167,9 +195,10 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def language_id(docs: DataFrame, tree: Tree, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Predicted language of every whole text: id, lang_pred and score (0 to 1), one row per row of docs.
+    """Predicted language of every whole text: id, lang_pred, score (0 to 1) and known (share of the text's
+    trigrams that the language is known to have), one row per row of docs.
 
-    A null text, one without a letter, or a tree that has learned no language give und and 0. Null ids
+    A null text, one without a letter, or a tree that has learned no language give und, 0 and 0. Null ids
     stay null. Only the text is read for a prediction; other columns are not. No shuffle; the tree, a few
     machines of DIMS weights, is broadcast."""
     shared = docs.sparkSession.sparkContext.broadcast(tree)
@@ -178,8 +207,9 @@ def language_id(docs: DataFrame, tree: Tree, id_col: str = "doc_id", text_col: s
         t = shared.value
         for ids, texts in text_chunks(batches):
             named = [bool(t.langs) and bool(_LETTER.search(x.decode("utf-8", "replace"))) for x in texts]
-            langs, score = t.predict([x for x, ok in zip(texts, named, strict=True) if ok])
-            it, sc = iter(langs), iter(score.tolist())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([next(it) if ok else "und" for ok in named], pa.string()), pa.array([next(sc) if ok else 0.0 for ok in named], pa.float64())], ["id", "lang_pred", "score"])
+            lettered = [x for x, ok in zip(texts, named, strict=True) if ok]
+            langs, score = t.predict(lettered)
+            it, sc, kn = iter(langs), iter(score.tolist()), iter(t.known_shares(lettered, langs).tolist())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([next(it) if ok else "und" for ok in named], pa.string()), *(pa.array([next(x) if ok else 0.0 for ok in named], pa.float64()) for x in (sc, kn))], ["id", "lang_pred", "score", "known"])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(predicted, "id long, lang_pred string, score double").withColumnRenamed("id", id_col)
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(predicted, "id long, lang_pred string, score double, known double").withColumnRenamed("id", id_col)

@@ -449,3 +449,15 @@ def test_pipeline(spark, docs):
         assert (r.text == before[r.doc_id]) or "[SECRET]" in r.text
     out = P.run(spark, SF).collect()
     assert {r.doc_id for r in out} == ids[4]
+
+
+def test_pipeline_rejects_what_no_language_fits(spark, docs):
+    import corpus_pipeline as P
+
+    rng = np.random.default_rng(5)
+    gibberish = " ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), int(rng.integers(2, 9)))) for _ in range(80))
+    clean = docs.where("lang = 'de'").orderBy("doc_id").first().text
+    planted = [(-1, gibberish, None), (-2, "Все люди рождаются свободными и равными в своем достоинстве", None), (-3, gibberish[::-1], "en"), (-4, clean, None)]
+    made = spark.createDataFrame([(i, t, v, "s", len(t)) for i, t, v in planted], docs.schema)
+    got = {r.doc_id: r.lang for r in P.identify_language(spark, docs.union(made), SF).where("doc_id < 0").collect()}
+    assert got == {-4: "de"}
