@@ -24,28 +24,46 @@ LEAST_KNOWN = 0.5
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts without a letter and those that no language fits; lang becomes the predicted one where it
     was null."""
-    found = language_id(docs, fit(docs)).where((F.col("lang_pred") != "und") & (F.col("known") >= LEAST_KNOWN)).select("doc_id", "lang_pred").distinct()
-    return docs.join(found, "doc_id").withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
+    found = language_id(docs, fit(docs), keep=docs.columns).where((F.col("lang_pred") != "und") & (F.col("known") >= LEAST_KNOWN))
+    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
+
+
+def _own_keys(docs: DataFrame) -> DataFrame:
+    """Rows with an id, and key: the id, or a hash of id and text (2**62 or more) where an id has several texts."""
+    named = docs.where("doc_id is not null")
+    text = F.xxhash64("text")
+    several = materialize(named.groupBy("doc_id").agg(F.min(text).alias("x"), F.max(text).alias("y")).where("x <> y").select("doc_id", F.lit(True).alias("several")), "several")
+    if several.isEmpty():
+        return named.withColumn("key", F.col("doc_id"))
+    own = F.xxhash64("doc_id", "text").bitwiseAND((1 << 62) - 1).bitwiseOR(1 << 62)
+    return materialize(named.join(several, "doc_id", "left").withColumn("key", F.when(F.col("several"), own).otherwise(F.col("doc_id"))).drop("several"), "keys")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of every group of near copies the document with the smallest id."""
-    kept = jaccard_join(docs).where("component_id = doc_id").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """Keeps of every group of near copies the document with the smallest id.
+
+    Rows with a null id are no copy of anything and stay. Rows of the same id and text are one document. An
+    id with several texts names none of them: each text is a document of its own, and comes after those
+    whose id has one text."""
+    keyed = _own_keys(docs)
+    kept = jaccard_join(keyed, id_col="key").where("component_id = key").select("key")
+    named = keyed.join(kept, "key", "left_semi").dropDuplicates(["key"]).select(docs.columns)
+    return named.union(docs.where("doc_id is null"))
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark item."""
-    leaks = contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti")
+    """Drops documents that hold a benchmark item. The text decides, whatever its id."""
+    text = F.xxhash64("text")
+    leaks = contaminated(docs.select(text.alias("key"), "text"), table(spark, sf_dir, "benchmark"), id_col="key").select("key").distinct()
+    return docs.withColumn("key", text).join(leaks, "key", "left_anti").select(docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces every secret by a mark; n_chars follows the text."""
-    found = secret_scan(docs).where(F.size("spans") > 0).select("doc_id", "spans")
-    text = F.when(F.col("spans").isNotNull(), redacted(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
-    out = docs.join(found, "doc_id", "left").withColumn("text", text)
-    return out.withColumn("n_chars", F.when(F.col("spans").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
+    found = secret_scan(docs, keep=docs.columns).withColumn("clean", redacted(F.col("text"), F.col("spans")))
+    if "n_chars" in docs.columns:
+        found = found.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("clean").cast("long")).otherwise(F.col("n_chars")))
+    return found.withColumn("text", F.col("clean")).select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from .common import text_chunks
 
@@ -194,22 +195,30 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1
 
 
-def language_id(docs: DataFrame, tree: Tree, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def language_id(docs: DataFrame, tree: Tree, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """Predicted language of every whole text: id, lang_pred, score (0 to 1) and known (share of the text's
-    trigrams that the language is known to have), one row per row of docs.
+    trigrams that the language is known to have), one row per row of docs, after it the columns of keep.
 
     A null text, one without a letter, or a tree that has learned no language give und, 0 and 0. Null ids
-    stay null. Only the text is read for a prediction; other columns are not. No shuffle; the tree, a few
-    machines of DIMS weights, is broadcast."""
+    stay null. Only the text is read for a prediction; other columns are not read unless kept. No shuffle;
+    the tree, a few machines of DIMS weights, is broadcast."""
     shared = docs.sparkSession.sparkContext.broadcast(tree)
+    kept = [c for c in keep if c != id_col]
+    source = docs.select(F.col(id_col).cast("long"), *(F.col(c) for c in kept), *(F.col(c) for c in (text_col,) if c not in kept))
+    told = [("lang_pred", StringType()), ("score", DoubleType()), ("known", DoubleType())]
+    schema = StructType([StructField(id_col, LongType()), *(source.schema[c] for c in kept), *(StructField(*x) for x in told)])
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = shared.value
-        for ids, texts in text_chunks(batches):
-            named = [bool(t.langs) and bool(_LETTER.search(x.decode("utf-8", "replace"))) for x in texts]
-            lettered = [x for x, ok in zip(texts, named, strict=True) if ok]
-            langs, score = t.predict(lettered)
-            it, sc, kn = iter(langs), iter(score.tolist()), iter(t.known_shares(lettered, langs).tolist())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([next(it) if ok else "und" for ok in named], pa.string()), *(pa.array([next(x) if ok else 0.0 for ok in named], pa.float64()) for x in (sc, kn))], ["id", "lang_pred", "score", "known"])
-
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(predicted, "id long, lang_pred string, score double, known double").withColumnRenamed("id", id_col)
+        for batch in batches:
+            done = 0
+            for ids, texts in text_chunks(iter([batch.select([id_col, text_col])])):
+                named = [bool(t.langs) and bool(_LETTER.search(x.decode("utf-8", "replace"))) for x in texts]
+                lettered = [x for x, ok in zip(texts, named, strict=True) if ok]
+                langs, score = t.predict(lettered)
+                it, sc, kn = iter(langs), iter(score.tolist()), iter(t.known_shares(lettered, langs).tolist())
+                found = [pa.array([next(it) if ok else "und" for ok in named], pa.string()), *(pa.array([next(x) if ok else 0.0 for ok in named], pa.float64()) for x in (sc, kn))]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(done, len(ids)) for c in (id_col, *kept)), *found], [id_col, *kept, *(k for k, _ in told)])
+                done += len(ids)
+
+    return source.mapInArrow(predicted, schema)

@@ -86,19 +86,20 @@ def _spans(rule: Rule) -> Column:
     return F.aggregate(F.filter(lengths, lambda x: x["gap"].isNotNull()), start, step, lambda acc: acc["out"])
 
 
-def secret_scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Spans of secrets in every whole text: id, text and spans (array of start, end, rank, kind, ordered by
-    start, then by the rules' order). Starts and ends are code points, the end is exclusive.
+def secret_scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Spans of secrets in every whole text: id, text, the other columns of keep, and spans (array of start, end,
+    rank, kind, ordered by start, then by the rules' order). Starts and ends are code points, the end is exclusive.
 
     Matches of a rule are leftmost and do not overlap; those of different rules may. Null text has no
-    spans; rows with a null id are not in the index and so are searched by every rule; an id names one
-    text, and repeated rows give a row each. Other columns are not read."""
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    spans; rows with a null id are not in the index and so are searched by every rule; rows that repeat an id
+    share its candidate rules and give a row each. Columns that are not kept are not read."""
+    kept = [c for c in keep if c not in (id_col, text_col)]
+    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.struct(*kept).alias("kept") if kept else F.lit(None).alias("kept"))
     found = candidates(trigram_postings(source, rules).distinct(), rules)
     joined = source.join(found.hint("shuffle_hash"), "id", "left")
     none = F.array().cast("array<struct<start:int,end:int,rank:int,kind:string>>")
     per_rule = [F.when(F.col("text").isNotNull() & (F.col(f"may_{r.kind}") | F.col("id").isNull()) if r.literals else F.col("text").rlike(r.pattern), _spans(r)).otherwise(none) for r in rules]
-    return joined.select(F.col("id").alias(id_col), F.col("text").alias(text_col), F.array_sort(F.concat(*per_rule)).alias("spans"))
+    return joined.select(F.col("id").alias(id_col), F.col("text").alias(text_col), *(F.col("kept")[c].alias(c) for c in kept), F.array_sort(F.concat(*per_rule)).alias("spans"))
 
 
 def joined_spans(spans: Column) -> Column:

@@ -461,3 +461,32 @@ def test_pipeline_rejects_what_no_language_fits(spark, docs):
     made = spark.createDataFrame([(i, t, v, "s", len(t)) for i, t, v in planted], docs.schema)
     got = {r.doc_id: r.lang for r in P.identify_language(spark, docs.union(made), SF).where("doc_id < 0").collect()}
     assert got == {-4: "de"}
+
+
+def test_pipeline_keeps_null_and_repeated_ids(spark, docs, edge):
+    import corpus_pipeline as P
+
+    clean = [r.text for r in docs.where("lang = 'de' and n_chars > 600").orderBy("doc_id").limit(2).collect()]
+    leak = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first().text
+    secret = "password = 'hunter2hunter2'"
+    # null ids: one plain, one with a secret, one with a benchmark item; id 20: two texts and a repeat; id 21: one text leaks
+    more = [(None, clean[0]), (None, f"{clean[1]} {secret}"), (None, f"{clean[1]} {leak}"), (20, clean[0]), (20, clean[1]), (20, clean[1]), (20, "!!!"), (21, f"{clean[0][:300]} {leak}"), (21, clean[1][:300])]
+    made = spark.createDataFrame([(i, t, "de", "s", "clash", "m") for i, t in more], edge.schema)
+    rows, kept = edge.union(made).repartition(3), []
+    for _, stage in P.STAGES[:-1]:
+        rows = P.materialize(stage(spark, rows, SF))
+        assert rows.columns == edge.columns
+        kept.append(sorted((r.doc_id if r.doc_id is not None else -1, r.text) for r in rows.collect()))
+    lost = next(r.text for r in edge.where("doc_id is null").collect())
+    one, two, three, four = kept
+    assert sorted(t for i, t in one if i == -1) == sorted([lost] + [t for i, t in more if i is None])
+    assert sorted(t for i, t in one if i == 20) == sorted([clean[0], clean[1], clean[1]])
+    assert [t for i, t in two if i == -1] == [t for i, t in one if i == -1]
+    assert [t for i, t in two if i == 20] == sorted(clean)
+    assert {i for i, _ in two} >= {-1, 0, 6, 9, 10, 20, 21} and not {i for i, _ in two} & {1, 2, 3, 4, 5, 7, 12}
+    assert sorted(t for i, t in three if i == -1) == sorted([lost, clean[0], f"{clean[1]} {secret}"])
+    assert [t for i, t in three if i == 21] == [clean[1][:300]]
+    assert sorted(t for i, t in four if i == -1) == sorted([lost, clean[0], f"{clean[1]} [SECRET]'"])
+    assert len(four) == len(three)
+    packed = P.pack(spark, rows, SF).where("start = 0").collect()
+    assert sorted(r.doc_id if r.doc_id is not None else -1 for r in packed) == [i for i, _ in four]
