@@ -142,8 +142,9 @@ def _boundary(sets: DataFrame, percent: int) -> int:
     return at
 
 
-def _subset_edges(sets: DataFrame, boundary: int, percent: int) -> DataFrame:
-    """Edges between small sets that share a subset of the size that a link between their sizes needs."""
+def _subset_edges(sets: DataFrame, boundary: int, percent: int, every: bool = False) -> DataFrame:
+    """Edges between small sets that share a subset of the size that a link between their sizes needs: all of
+    them, or as many as join the same components."""
 
     def subsets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -161,6 +162,10 @@ def _subset_edges(sets: DataFrame, boundary: int, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.bool_(), pa.bool_()))], ["key", "id", "is_low", "is_high"])
 
     hits = sets.where(F.col("n") <= boundary).select("id", "n", "tokens").mapInArrow(subsets, "key long, id long, is_low boolean, is_high boolean")
+    if every:
+        other = hits.where("is_high").select("key", F.col("id").alias("b"))
+        both = hits.where("is_low").select("key", F.col("id").alias("a")).join(other, "key").where("a <> b")
+        return both.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     hubs = hits.groupBy("key").agg(F.min(F.when(F.col("is_low"), F.col("id"))).alias("low"), F.min(F.when(F.col("is_high"), F.col("id"))).alias("high"), F.count("*").alias("m")).where("m > 1 and low is not null and high is not null")
     both = hits.join(hubs, "key")
     return both.where("is_low").select(F.col("id").alias("a"), F.col("high").alias("b")).union(both.where("is_high").select(F.col("id").alias("a"), F.col("low").alias("b"))).where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
@@ -171,15 +176,15 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
     both = pairs.join(left, "a").join(right, "b").withColumn("o", F.size(F.array_intersect("ta", "tb")))
-    return both.where(F.col("o") * 100 >= (F.col("na") + F.col("nb") - F.col("o")) * percent).select("a", "b")
+    return both.where(F.col("o") * 100 >= (F.col("na") + F.col("nb") - F.col("o")) * percent).select("a", "b", F.col("o").cast("long").alias("shared"))
 
 
-def _list_edges(sets: DataFrame, boundary: int, percent: int, edges: DataFrame, rounds: int = 2) -> DataFrame:
-    """Edges that join the components of pairs with a large set.
+def _list_edges(sets: DataFrame, boundary: int, percent: int, edges: DataFrame, rounds: int = 2, every: bool = False) -> DataFrame:
+    """Edges of pairs with a large set, besides those given: all of them, or as many as join the same components.
 
     The order of all shingles has those of one document first, so of two sets that link, the first shingle in
     common stands no later in either than its size less the overlap that their sizes need: lists are scanned
-    with that condition. Every list first checks its members against one pivot, the member richest in common
+    with that condition, and for all edges every such pair of a list is checked. For components only, every list first checks its members against one pivot, the member richest in common
     shingles, which in a group of near copies is what they were copied from. What then lies in one
     component needs no more checks. After some rounds, every pair of a list that still lies in two
     components is checked, so no link between components is missed."""
@@ -193,7 +198,11 @@ def _list_edges(sets: DataFrame, boundary: int, percent: int, edges: DataFrame,
     lists = materialize(lists, "lists")
     near = F.expr(f"100 * least(n, pn) >= {percent} * greatest(n, pn)") & (F.greatest("n", "pn") > boundary)
     near = near & (F.col("pos") + need("n", "pn") <= F.col("n")) & (F.col("ppos") + need("n", "pn") <= F.col("pn"))
-    checked = edges.limit(0)
+    if every:
+        other = lists.select("tok", F.col("id").alias("pivot"), F.col("n").alias("pn"), F.col("pos").alias("ppos"))
+        found = lists.join(other, "tok").where((F.col("id") > F.col("pivot")) & near).select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
+        return materialize(edges.union(_verified(materialize(found, "pairs"), sets, percent)), "links")
+    checked = edges.limit(0).select("a", "b")
     for turn in range(rounds + 1):
         label = components(edges) if turn or boundary else None
         now = lists.withColumn("label", F.col("id")) if label is None else lists.join(label.withColumnRenamed("root", "label"), "id", "left").withColumn("label", F.coalesce("label", "id"))
@@ -229,22 +238,43 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
 
     Equal sets fall into classes first, by signature. A shingle of one document alone cannot be shared, so
     sets keep only the others, and those with too few of them are settled. Shingles are compared by
-    64-bit hashes; counts of shared ones are exact for every pair that is checked.
+    64-bit hashes; counts of shared ones are exact for every pair that is checked. Only as many links are
+    looked for as connect the components: linked_pairs finds all.
     """
+    return _joined(docs, words, percent, id_col, text_col, False)[0]
+
+
+def linked_pairs(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """The whole join: the rows of jaccard_join with n_links, the number of other ids that an id links with, and
+    all pairs (a, b, shared) of different sets that link.
+
+    a > b are the smallest ids of their sets and shared is the number of shingles in common; copies_of tells
+    the members of each set, which link with one another and with all members of the sets theirs links with.
+    The pairs of sets grow with the square of a group of near copies, as the result does."""
+    return _joined(docs, words, percent, id_col, text_col, True)
+
+
+def _joined(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str, every: bool) -> tuple[DataFrame, DataFrame]:
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows = materialize(shared_shingles(source, words, percent), "sets")
-    classes = rows.where("n > 0").groupBy("sig").agg(F.min("id").alias("rep"), F.min(F.when(F.col("tokens").isNotNull(), F.col("id"))).alias("carrier"))
+    classes = rows.where("n > 0").groupBy("sig").agg(F.min("id").alias("rep"), F.min(F.when(F.col("tokens").isNotNull(), F.col("id"))).alias("carrier"), F.count("*").alias("members"))
     classes = materialize(classes, "classes")
     sets = rows.where(F.col("tokens").isNotNull()).join(classes.where("carrier is not null").select(F.col("carrier").alias("id"), "rep"), "id").select(F.col("rep").alias("id"), "n", "k", "rich", "codes", "tokens")
     sets = materialize(sets, "candidates")
     boundary = _boundary(sets, percent)
-    edges = sets.limit(0).select(F.col("id").alias("a"), F.col("id").alias("b"))
+    edges = sets.limit(0).select(F.col("id").alias("a"), F.col("id").alias("b"), F.col("n").alias("shared"))
     if boundary:
-        edges = _verified(_subset_edges(sets, boundary, percent), sets, percent)
-    edges = _list_edges(sets, boundary, percent, materialize(edges, "small"))
+        edges = _verified(_subset_edges(sets, boundary, percent, every), sets, percent)
+    edges = _list_edges(sets, boundary, percent, materialize(edges, "small"), every=every)
     roots = components(edges)
     # the smallest id of a class is its representative, so the smallest representative is the smallest id
-    named = rows.drop("codes", "tokens", "k", "rich").join(classes.select("sig", "rep"), "sig", "left").join(roots.withColumnRenamed("id", "rep"), "rep", "left")
-    out = named.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("root", "rep", "id").alias("component_id"), F.coalesce("rep", "id").alias("copies_of"))
+    named = rows.drop("codes", "tokens", "k", "rich").join(classes.select("sig", "rep", "members"), "sig", "left").join(roots.withColumnRenamed("id", "rep"), "rep", "left")
+    columns = [F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("root", "rep", "id").alias("component_id"), F.coalesce("rep", "id").alias("copies_of")]
+    if every:
+        ways = edges.select(F.col("a").alias("rep"), F.col("b").alias("other")).union(edges.select("b", "a"))
+        ways = ways.join(classes.select(F.col("rep").alias("other"), F.col("members").alias("far")), "other").groupBy("rep").agg(F.sum("far").alias("far"))
+        named = named.join(ways, "rep", "left")
+        columns.append((F.coalesce("members", F.lit(1)) - 1 + F.coalesce("far", F.lit(0))).cast("long").alias("n_links"))
+    out = named.select(*columns)
     nulls = docs.where(F.col(id_col).isNull()).select(F.col(id_col).cast("long"), F.lit(None).cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"), F.lit(None).cast("long").alias("copies_of"))
-    return out.unionByName(nulls)
+    return out.unionByName(nulls, allowMissingColumns=True), edges

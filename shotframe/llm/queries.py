@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .common import shared_dir, table
 from .decontam import contaminated
-from .jaccard_join import jaccard_join
+from .jaccard_join import linked_pairs
 from .langid import fit, held_out, language_id
 from .packing import pack_documents
 from .secret_scan import joined_spans, secret_scan
@@ -38,7 +38,8 @@ def op3_whole_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join(table(spark, sf_dir, "documents"))
+    members, _ = linked_pairs(table(spark, sf_dir, "documents"))
+    return members.drop("n_links")  # the SQL has the other columns
 
 
 def op5_seekable_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
