@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import as_texts, materialize, text_chunks
-from .tokens import encoder
+from .tokens import alphabet, encoder
 
 
 def shortest_pack_first(histogram: dict[int, int], capacity: int) -> list[tuple[int, list[tuple[int, int]]]]:
@@ -71,12 +71,14 @@ def slots(patterns: list[tuple[int, list[tuple[int, int]]]]) -> dict[str, np.nda
 def encoded_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, id_col: str, text_col: str) -> DataFrame:
     """(id, start, length, ids_crc32, doc_tokens) of each document's pieces of at most capacity ids."""
 
+    letters = docs.sparkSession.sparkContext.broadcast(alphabet(path))
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = encoder(path), np.array([end_id], "<u4").tobytes()
-        for ids, texts in text_chunks(batches, 4 << 20):
+        enc, end = encoder(path, letters.value), np.array([end_id], "<u4").tobytes()
+        for ids, texts in text_chunks(batches):
             rows = []
             for i, x in zip(ids, enc.encode(as_texts(texts)), strict=True):
-                x += end
+                x = x.astype("<u4").tobytes() + end
                 for a in range(0, len(x), 4 * capacity):
                     part = x[a : a + 4 * capacity]
                     rows.append((i, a // 4, len(part) // 4, zlib.crc32(part), len(x) // 4))

@@ -23,7 +23,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import as_texts, materialize, squeeze, squeeze_ids, text_bytes, text_chunks, unsqueeze, unsqueeze_ids
-from .tokens import encoder
+from .tokens import alphabet, encoder
 
 # Fixed values of the public Zstandard formats.
 SKIPPABLE_DIRECTORY, SKIPPABLE_SEEK_TABLE, SEEKABLE_MAGIC, CHECKSUM_FLAG = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -124,17 +124,19 @@ def write_token_ids(docs: DataFrame, path: str, folder: str, end_id: int = 2, id
     source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).alias("text"))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), text_bytes(source) // (64 << 20))
 
+    letters = spark.sparkContext.broadcast(alphabet(path))
+
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, top = fs.FileSystem.from_uri(folder)
-        enc, end, file, to, n = encoder(path, 500_000, 700_000), np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId(), None, 0
+        enc, end, file, to = encoder(path, letters.value), np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId(), None
         name, draft = f"{top}/ids-{file:06d}.zst", f"{top}/.ids-{file:06d}-{TaskContext.get().taskAttemptId()}"
-        for ids, texts in text_chunks(batches, 4 << 20):
+        for ids, texts in text_chunks(batches):
             if to is None:
                 store.create_dir(top, recursive=True)
                 sink = store.open_output_stream(draft)
                 to = Writer(sink)
             for i, x in zip(ids, enc.encode(as_texts(texts)), strict=True):
-                to.add(i, x + end)
+                to.add(i, x.astype("<u4").tobytes() + end)
         if to is not None:
             to.close()
             sink.close()

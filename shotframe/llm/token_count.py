@@ -5,13 +5,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import as_texts, text_chunks
-from .tokens import PieceEncoder
+from .tokens import alphabet, counter
 
 
 def whole_tokens(path: str) -> frozenset[str]:
@@ -24,40 +23,18 @@ def whole_tokens(path: str) -> frozenset[str]:
     return frozenset(x for x, e in zip(texts, t.encode_batch_fast(texts, add_special_tokens=False), strict=True) if len(e.ids) == 1)
 
 
-class PieceCounter(PieceEncoder):
-    """Numbers of tokens instead of ids."""
-
-    joined = staticmethod(sum)
-
-    def __init__(self, path: str, proved: frozenset[str]):
-        super().__init__(path)
-        self.proved = proved
-
-    def _whole(self, text: str) -> int:
-        return len(self.whole.encode(text, add_special_tokens=False).ids) if text else 0
-
-    def _values(self, words: list[str]) -> list[int]:
-        rest = [w for w in words if w not in self.proved]
-        merged = dict(zip(rest, (len(x) // 4 for x in self._merge(rest)), strict=True)) if rest else {}
-        return [merged.get(w, 1) for w in words]
-
-
-_COUNTERS: dict[str, PieceCounter] = {}
-
-
 def token_counts(docs: DataFrame, path: str, limit: int = 512, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Number of tokens of every whole text by the vocabulary at path, without added special tokens.
 
     Returns id, n_bytes (UTF-8), n_tokens and over_limit (n_tokens > limit), one row per row of docs; null
     text is empty and has none, a null id stays null. Other columns are not read. The proved strings
-    are broadcast; they are bounded by the vocabulary. There is no shuffle."""
-    proved = docs.sparkSession.sparkContext.broadcast(whole_tokens(path))
+    and the classes of code points are broadcast; both are bounded by the vocabulary. There is no shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast((alphabet(path), whole_tokens(path)))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _COUNTERS:
-            _COUNTERS[path] = PieceCounter(path, proved.value)
-        for ids, texts in text_chunks(batches, 4 << 20):
-            counts = np.array(_COUNTERS[path].encode(as_texts(texts)), np.int64)
+        own = counter(path, *shared.value)
+        for ids, texts in text_chunks(batches):
+            counts = own.count(as_texts(texts))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([len(t) for t in texts], pa.int64()), pa.array(counts), pa.array(counts > limit)], ["id", "n_bytes", "n_tokens", "over_limit"])
 
     source = docs.select(F.col(id_col).cast("long"), F.col(text_col))

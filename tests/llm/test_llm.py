@@ -8,17 +8,19 @@ import zlib
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import oracle
-from shotframe.llm import decontam, langid, packing, queries, seekable, tiff, warc
+from shotframe.llm import decontam, langid, packing, queries, seekable, tiff, tokens, warc
 from shotframe.llm.components import components
 from shotframe.llm.jaccard_join import jaccard_join, least_common, linked_pairs, partners
 from shotframe.llm.secret_scan import redacted, secret_scan
 from shotframe.llm.substring_dedup import substring_dedup
 from shotframe.llm.token_count import token_counts, whole_tokens
-from shotframe.llm.tokens import encoder, vocabulary
+from shotframe.llm.tokens import WordEncoder, alphabet, encoder, vocabulary
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, id string, media string"
@@ -134,10 +136,27 @@ def test_encoder_equals_library(name, docs):
     rng = np.random.default_rng(3)
     parts = ["a", "B", "é", " ", "  ", "\n", "\n\n", " \n", "\t", "'s", "'ll", "12", "..", "!", "<|endoftext|>", "<|", "ß", "Σ", " ", "漢", "🙂", "́", "\x01", "\x1c", "\r\n", "İ", "ΑΣ", "_", "\x85", "\0"]
     texts = ["".join(rng.choice(parts, rng.integers(0, 14))) for _ in range(3000)] + [r.text for r in docs.limit(60).collect()]
-    e = encoder(vocabulary(name))
-    want = [np.array(x.ids, "<u4").tobytes() for x in e.whole.encode_batch(texts, add_special_tokens=False)]
-    assert e.encode(texts) == want
-    assert e.encode(texts) == want  # remembered
+    e = WordEncoder(vocabulary(name), alphabet(vocabulary(name)), most=500)  # too few for these texts
+    want = [x.ids for x in e.whole.encode_batch(texts, add_special_tokens=False)]
+    for _ in range(2):  # the second time some words are remembered
+        for a in range(0, len(texts), 300):
+            assert [x.tolist() for x in e.encode(texts[a : a + 300])] == want[a : a + 300]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_cuts_long_texts(name, monkeypatch):
+    monkeypatch.setattr(tokens, "AT_ONCE", 50)
+    e = WordEncoder(vocabulary(name), alphabet(vocabulary(name)))
+    texts = ["word  two\n\n three, it's 45 é " * 40, "x" * 200, " " * 120, "a <|endoftext|> b " * 30, "", "日本 " * 90]
+    assert [x.tolist() for x in e.encode(texts)] == [x.ids for x in e.whole.encode_batch(texts, add_special_tokens=False)]
+
+
+@given(st.lists(st.text(st.characters(exclude_categories=["Cs"]), max_size=40), max_size=5))
+@settings(max_examples=300, deadline=None)
+def test_encoder_on_any_text(texts):
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        e = encoder(vocabulary(name), alphabet(vocabulary(name)))
+        assert [x.tolist() for x in e.encode(texts)] == [x.ids for x in e.whole.encode_batch(texts, add_special_tokens=False)]
 
 
 def ids_of(df, name):
