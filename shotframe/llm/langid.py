@@ -4,6 +4,7 @@ one-versus-one linear support vector machines tell the languages within it apart
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -55,14 +56,12 @@ def _grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return (two * np.uint32(2654435761)) >> shift, ((three * np.uint32(2246822519)) >> shift) + np.uint32(half), begins
 
 
-def _counts(texts: list[bytes]) -> np.ndarray:
-    """Relative frequencies of the features, scaled to a length of about one."""
-    out = np.zeros((len(texts), DIMS), np.float32)
-    for i, t in enumerate(texts):
-        two, three, _ = _grams([t])
-        x = np.bincount(two, minlength=DIMS) + np.bincount(three, minlength=DIMS)
-        out[i] = x / len(two)
-    return out
+def _counts(text: bytes) -> tuple[bytes, bytes]:
+    """The text's features: their numbers, and relative frequencies scaled to a length of about one."""
+    two, three, _ = _grams([text])
+    x = np.bincount(two, minlength=DIMS) + np.bincount(three, minlength=DIMS)
+    at = np.flatnonzero(x)
+    return at.astype(np.uint16).tobytes(), (x[at] / len(two)).astype(np.float16).tobytes()
 
 
 def _machine(x: np.ndarray, y: np.ndarray, rounds: int = 80, decay: float = 1e-4) -> tuple[np.ndarray, float]:
@@ -89,26 +88,23 @@ def _machine(x: np.ndarray, y: np.ndarray, rounds: int = 80, decay: float = 1e-4
 class Tree:
     """The families, and in each its languages, with a machine for every two of them."""
 
-    def __init__(self, langs: list[str], x: np.ndarray, y: np.ndarray, known: dict[str, np.ndarray] | None = None):
+    def __init__(self, langs: list[str]):
         self.langs = langs
-        self.known = known or {}  # trigrams of each language
+        self.known: dict[str, np.ndarray] = {}  # trigrams of each language
         self.families = sorted({family(v) for v in langs})
-        kin = np.array([family(v) for v in langs])
         self.members = {f: [v for v in langs if family(v) == f] for f in self.families}
-        self.pairs: list[tuple[str, str]] = []  # of families, then of languages
-        weights, bias = [], []
-        scale = np.sqrt(np.square(x).sum(1).mean()) if len(x) else 1.0
-        for names, labels in ((self.families, kin[y] if len(y) else kin[:0]), *((m, np.array(langs)[y] if len(y) else kin[:0]) for m in self.members.values())):
-            for a, b in combinations(names, 2):
-                at = np.flatnonzero((labels == a) | (labels == b))
-                own = x[at]
-                own /= scale
-                w, c = _machine(own, np.where(labels[at] == a, 1, -1).astype(np.float32))
-                self.pairs.append((a, b))
-                weights.append(w / scale)
-                bias.append(c)
-        self.weights = np.array(weights, np.float32).reshape(len(weights), DIMS)
-        self.bias = np.array(bias)
+        self.pairs = [p for names in (self.families, *self.members.values()) for p in combinations(names, 2)]  # of families, then of languages
+        self.weights = np.zeros((len(self.pairs), DIMS), np.float32)
+        self.bias = np.zeros(len(self.pairs))
+
+    def duties(self, lang: str) -> list[tuple[int, int, float]]:
+        """Machines that learn from the language: number, its side, and the share of its sample: a family's
+        languages send so much that a side has two languages' samples at most."""
+        kin = family(lang)
+        share = min(1.0, 2 / len(self.members[kin]))
+        of_family = [(k, 1 if kin == self.pairs[k][0] else -1, share) for k in range(len(self.families) * (len(self.families) - 1) // 2) if kin in self.pairs[k]]
+        first = len(self.families) * (len(self.families) - 1) // 2
+        return of_family + [(k, 1 if lang == self.pairs[k][0] else -1, 1.0) for k in range(first, len(self.pairs)) if lang in self.pairs[k]]
 
     def predict(self, texts: list[bytes]) -> tuple[list[str], np.ndarray]:
         """Language and score of each text: the score is the product of the two steps' shares, from 0 to 1."""
@@ -161,33 +157,52 @@ class Tree:
 def fit(docs: DataFrame, per_language: int = 250, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Tree:
     """Learns from a sample of about per_language rows of each language (rows with null lang or text are left
     out): those whose hashed id falls below the share that is needed, so the sample does not depend on the
-    order of rows. Its features, per_language * DIMS floats a language, and the trigrams of each text fit the
-    driver."""
+    order of rows. Each machine is fitted by a task of its own, from two samples a side at most; the driver gets
+    its DIMS weights, and of each language the trigrams that it knows."""
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     sizes = {r.lang: r["count"] for r in known.groupBy("lang").count().orderBy("lang").collect()}
     langs = sorted(sizes)
     if not langs:
-        return Tree([], np.zeros((0, DIMS), np.float32), np.zeros(0, int))
+        return Tree([])
+    tree = Tree(langs)
     share = F.coalesce(*[F.when(F.col("lang") == v, F.lit(min(1.0, per_language / sizes[v]))) for v in langs])
     draw = F.pmod(F.xxhash64(F.coalesce("id", F.lit(0)), F.lit("langid")), F.lit(1 << 30)) / float(1 << 30)
+    duties = {v: tree.duties(v) for v in langs}
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each machine that learns from a text, and one (machine -1 - k) for what language k knows."""
         for names, texts in text_chunks(batches):
-            x = _counts(texts)
-            for i in range(0, len(x), 64):
-                yield pa.RecordBatch.from_arrays([pa.array(names[i : i + 64]), pa.array([v.astype(np.float16).tobytes() for v in x[i : i + 64]], pa.binary()), pa.array([np.unique(_raw_grams([t])[1]).tobytes() for t in texts[i : i + 64]], pa.binary())], ["lang", "x", "grams"])
-
-    rows = known.where(draw < share).select("lang", "text").mapInArrow(features, "lang string, x binary, grams binary").toArrow()
-    x = np.stack([np.frombuffer(v.as_py(), np.float16) for v in rows.column("x")]) if len(rows) else np.zeros((0, DIMS), np.float16)
-    y = np.array([langs.index(v) for v in rows.column("lang").to_pylist()], int)
-    known = {}
-    for k, v in enumerate(langs):
-        held = [np.frombuffer(rows.column("grams")[int(i)].as_py(), np.uint32) for i in np.flatnonzero(y == k)]
-        grams, texts = np.unique(np.concatenate(held or [np.empty(0, np.uint32)]), return_counts=True)
-        known[v] = grams[texts >= (2 if len(held) >= ENOUGH_TEXTS else 1)]
-    del rows
-    order = np.lexsort((*x[:, :8].T, y))  # the same machines whatever order the rows come in
-    return Tree(langs, x[order].astype(np.float32), y[order], known)
+            rows = []
+            for v, t in zip(names, texts, strict=True):
+                at, x = _counts(t)
+                rows += [(k, side, at, x) for k, side, part in duties[v] if part == 1 or zlib.crc32(t) < part * (1 << 32)]
+                rows.append((-1 - langs.index(v), 0, np.unique(_raw_grams([t])[1]).tobytes(), b""))
+            for i in range(0, len(rows), 256):
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows[i : i + 256], strict=True), (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)], ["machine", "side", "at", "x"])
+
+    def learned(t: pa.Table) -> pa.Table:
+        machine, at, x = t.column("machine")[0].as_py(), t.column("at").to_pylist(), t.column("x").to_pylist()
+        if machine < 0:
+            grams, texts = np.unique(np.concatenate([np.frombuffer(v, np.uint32) for v in at]), return_counts=True)
+            w, c = grams[texts >= (2 if len(at) >= ENOUGH_TEXTS else 1)], 0.0
+        else:
+            y, dense = np.array(t.column("side").to_pylist(), np.float32), np.zeros((len(at), DIMS), np.float32)
+            order = sorted(range(len(at)), key=lambda i: (y[i], at[i], x[i]))  # the same machine whatever order the rows come in
+            for row, i in enumerate(order):
+                dense[row, np.frombuffer(at[i], np.uint16)] = np.frombuffer(x[i], np.float16)
+            scale = float(np.sqrt(np.square(dense).sum(1).mean())) or 1.0
+            dense /= scale
+            w, c = _machine(dense, y[order])
+            w = (w / scale).astype(np.float32)
+        return pa.table({"machine": pa.array([machine], pa.int32()), "w": pa.array([w.tobytes()], pa.binary()), "bias": pa.array([c], pa.float64())})
+
+    rows = known.where(draw < share).select("lang", "text").mapInArrow(features, "machine int, side int, at binary, x binary")
+    for machine, w, bias in zip(*(c.to_pylist() for c in rows.groupBy("machine").applyInArrow(learned, "machine int, w binary, bias double").toArrow().columns), strict=True):
+        if machine < 0:
+            tree.known[langs[-1 - machine]] = np.frombuffer(w, np.uint32)
+        else:
+            tree.weights[machine], tree.bias[machine] = np.frombuffer(w, np.float32), bias
+    return tree
 
 
 def held_out(id_col: str = "doc_id") -> Column:
