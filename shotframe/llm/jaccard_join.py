@@ -18,6 +18,11 @@ from .components import components
 from .windows import bucket_bits, low_bytes, mix, runs, shingle_sets, split_by_bucket, whole_hashes
 
 BLOCK = 1_000_000
+#: Documents of a block that share a shingle from which on their postings stay with the documents: only counts
+#: go to the shingle's bucket.
+HOT = 64
+#: Sets, and shingles of sets, of one component that meet another block's to count links.
+LINK_SETS, LINK_SHINGLES = 1024, 500_000
 #: Sets above this size are always large: their subsets are too many.
 LARGEST_SMALL = 14
 
@@ -40,20 +45,37 @@ def shared_shingles(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """(id, n, sig, k, rich, codes, tokens) of each document: size and signature of its set, how common its
     shingles are on the whole, and, where k (the number of its shingles that another document has too) is
     enough for a link, those shingles, rarest first."""
-    bits = bucket_bits(text_bytes(docs))
+    bits, hot_from = bucket_bits(text_bytes(docs)), HOT
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Two kinds of rows: bucket >= 0, hashes of a block with their documents; -1 - g, a group's (id, n, sig)."""
+        """Rows for a bucket (0 or more): kind 0, hashes of a block with their documents; kind 1, hot hashes with
+        the groups that have them and how often. Rows for a group g (bucket -1 - g): kind 2, sizes and
+        signatures; kind 3, hot hashes with their documents."""
 
         def blocks():
             h, ids = (np.concatenate(x) for x in zip(*held, strict=True)) if held else (np.empty(0, np.uint64), np.empty(0, np.int64))
-            rows = [(b, low_bytes(h[at]), squeeze_ids(ids[at]), b"") for b, at in split_by_bucket(h, bits)]
+            order = np.argsort(h)
+            first = np.flatnonzero(np.concatenate(([True], np.diff(h[order]) != 0))) if len(h) else np.empty(0, int)
+            many = np.diff(np.append(first, len(h)))
+            hot = np.empty(len(h), bool)
+            hot[order] = np.repeat(many >= hot_from, many)
+            rows = [(b, 0, low_bytes(h[~hot][at]), squeeze_ids(ids[~hot][at]), b"") for b, at in split_by_bucket(h[~hot], bits)]
+            if hot.any():
+                h, ids = h[hot], ids[hot]
+                group = _group(ids, bits)
+                order = np.lexsort((h, group))
+                rows += [(-1 - int(group[order[a]]), 3, h[order[a:b]].tobytes(), squeeze_ids(ids[order[a:b]]), b"") for a, b in runs(group[order])]
+                order = np.lexsort((group, h))
+                h, group = h[order], group[order]
+                first = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (group[1:] != group[:-1]))))
+                many, h, group = np.diff(np.append(first, len(h))), h[first], group[first]
+                rows += [(b, 1, low_bytes(h[at]), squeeze_ids(group[at]), squeeze(many[at].astype(np.uint64))) for b, at in split_by_bucket(h, bits)]
             group = _group(np.array([x[0] for x in sizes], np.int64), bits)
             for g in np.unique(group):
                 own = [sizes[i] for i in np.flatnonzero(group == g)]
-                rows.append((-1 - int(g), squeeze(np.array([x[1] for x in own], np.uint64)), squeeze_ids(np.array([x[0] for x in own], np.int64)), b"".join(x[2] for x in own)))
+                rows.append((-1 - int(g), 2, squeeze(np.array([x[1] for x in own], np.uint64)), squeeze_ids(np.array([x[0] for x in own], np.int64)), b"".join(x[2] for x in own)))
             for i in range(0, len(rows), 64):
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i : i + 64], strict=True), (pa.int64(), *[pa.binary()] * 3), strict=True)], ["bucket", "h", "ids", "sig"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i : i + 64], strict=True), (pa.int64(), pa.int32(), *[pa.binary()] * 3), strict=True)], ["bucket", "kind", "h", "ids", "more"])
 
         held, sizes, seen, n = [], [], set(), 0
         for ids, texts in text_chunks(batches):
@@ -78,38 +100,63 @@ def shared_shingles(docs: DataFrame, words: int, percent: int) -> DataFrame:
             yield from blocks()
 
     def repeated(t: pa.Table) -> pa.Table:
+        """Rows for groups: kind 2 and 3 as they came; kind 4, shared hashes with their documents and how common they
+        are; kind 5, how common a group's hot hashes are."""
         bucket = t.column("bucket")[0].as_py()
+        names = ("g", "kind", "h", "ids", "more")
         if bucket < 0:
-            return pa.table({"g": pa.array([-1 - bucket] * len(t), pa.int64()), "h": t.column("h"), "ids": t.column("ids"), "sig": t.column("sig"), "code": pa.array([b""] * len(t), pa.binary())})
-        h = np.concatenate([whole_hashes(x, bucket, bits) for x in t.column("h").to_pylist()])
-        ids = np.concatenate([unsqueeze_ids(x) for x in t.column("ids").to_pylist()])
+            return pa.table([pa.array([-1 - bucket] * len(t), pa.int64()), *(t.column(k) for k in names[1:])], names=names)
+        parts: dict[int, list] = {0: [], 1: []}
+        for kind, h, ids, more in zip(*(t.column(k).to_pylist() for k in names[1:]), strict=True):
+            parts[kind].append((whole_hashes(h, bucket, bits), unsqueeze_ids(ids), unsqueeze(more).astype(np.int64) if kind else None))
+        none = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        h, ids = (np.concatenate([none[k], *(x[k] for x in parts[0])]) for k in (0, 1))
+        hot, hot_group, hot_many = (np.concatenate([none[k], *(x[k] for x in parts[1])]) for k in (0, 1, 2))
         order = np.lexsort((ids, h))
         h, ids = h[order], ids[order]
-        new = np.concatenate(([True], (h[1:] != h[:-1]) | (ids[1:] != ids[:-1])))
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (ids[1:] != ids[:-1])
         h, ids = h[new], ids[new]
-        first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
-        df = np.diff(np.append(first, len(h)))
-        code = np.repeat(np.minimum(255, np.floor(8 * np.log2(df))).astype(np.uint8), df)  # a coarse logarithm orders well enough
-        hit = np.repeat(df > 1, df)
-        h, ids, code = h[hit], ids[hit], code[hit]
-        group = _group(ids, bits)
-        order = np.lexsort((ids, group))
-        h, ids, code, group = h[order], ids[order], code[order], group[order]
-        rows = [(int(group[a]), h[a:b].tobytes(), squeeze_ids(ids[a:b]), b"", squeeze(code[a:b])) for a, b in runs(group)]
-        return pa.table({k: pa.array([r[i] for r in rows], pa.int64() if i == 0 else pa.binary()) for i, k in enumerate(("g", "h", "ids", "sig", "code"))})
+        distinct, where, df = np.unique(np.concatenate((h, hot)), return_inverse=True, return_counts=True)
+        if len(hot):
+            df = np.bincount(where, np.concatenate((np.ones(len(h)), hot_many)), len(distinct)).astype(np.int64)
+        code = np.minimum(255, np.floor(8 * np.log2(np.maximum(1, df)))).astype(np.uint8)[where]  # a coarse logarithm orders well enough
+        hit = df[where[: len(h)]] > 1
+        rows = []
+        group = _group(ids[hit], bits)
+        order = np.lexsort((ids[hit], group))
+        h, ids, own, group = h[hit][order], ids[hit][order], code[: len(hit)][hit][order], group[order]
+        rows += [(int(group[a]), 4, h[a:b].tobytes(), squeeze_ids(ids[a:b]), squeeze(own[a:b])) for a, b in runs(group)]
+        if len(hot):
+            order = np.lexsort((hot, hot_group))
+            hot, hot_group, code = hot[order], hot_group[order], code[len(hit) :][order]
+            rows += [(int(hot_group[a]), 5, hot[a:b].tobytes(), b"", squeeze(code[a:b])) for a, b in runs(hot_group)]
+        return pa.table([pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int64(), pa.int32(), *[pa.binary()] * 3))], names=names)
 
     def gathered(t: pa.Table) -> pa.Table:
-        sizes, parts = {}, []
-        for h, ids, sig, code in zip(*(t.column(k).to_pylist() for k in ("h", "ids", "sig", "code")), strict=True):
+        sizes, parts, direct, codes = {}, [], [], []
+        for kind, h, ids, more in zip(*(t.column(k).to_pylist() for k in ("kind", "h", "ids", "more")), strict=True):
+            if kind == 5:
+                codes.append((np.frombuffer(h, "<u8"), unsqueeze(more)))
+                continue
             ids = unsqueeze_ids(ids)
-            if code:
-                parts.append((ids, np.frombuffer(h, "<u8"), unsqueeze(code)))
+            if kind == 4:
+                parts.append((ids, np.frombuffer(h, "<u8"), unsqueeze(more)))
+            elif kind == 3:
+                direct.append((ids, np.frombuffer(h, "<u8")))
             else:
                 for j, (i, n) in enumerate(zip(ids.tolist(), unsqueeze(h).tolist(), strict=True)):
-                    sizes.setdefault(i, (n, sig[16 * j : 16 * j + 16]))
+                    sizes.setdefault(i, (n, more[16 * j : 16 * j + 16]))
+        if direct:
+            h, code = (np.concatenate(x) for x in zip(*codes, strict=True))
+            h, at = np.unique(h, return_index=True)
+            parts += [(ids, own, code[at][np.searchsorted(h, own)]) for ids, own in direct]
         ids, h, code = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint8))
         order = np.lexsort((h, code, ids))
         ids, h, code = ids[order], h[order], code[order]
+        new = np.ones(len(ids), bool)
+        new[1:] = (ids[1:] != ids[:-1]) | (h[1:] != h[:-1])  # an id with several texts may have come twice
+        ids, h, code = ids[new], h[new], code[new]
         rows = []
         for i, (n, sig) in sizes.items():
             a, b = np.searchsorted(ids, [i, i + 1])
@@ -118,7 +165,7 @@ def shared_shingles(docs: DataFrame, words: int, percent: int) -> DataFrame:
         kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.float64(), pa.list_(pa.int16()), pa.list_(pa.int64()))
         return pa.table({k: pa.array([r[i] for r in rows], kind) for i, (k, kind) in enumerate(zip(("id", "n", "sig", "k", "rich", "codes", "tokens"), kinds, strict=True))})
 
-    sent = docs.mapInArrow(hashed, "bucket long, h binary, ids binary, sig binary").groupBy("bucket").applyInArrow(repeated, "g long, h binary, ids binary, sig binary, code binary")
+    sent = docs.mapInArrow(hashed, "bucket long, kind int, h binary, ids binary, more binary").groupBy("bucket").applyInArrow(repeated, "g long, kind int, h binary, ids binary, more binary")
     return sent.groupBy("g").applyInArrow(gathered, "id long, n long, sig binary, k long, rich double, codes array<short>, tokens array<long>")
 
 
@@ -142,9 +189,9 @@ def _boundary(sets: DataFrame, percent: int) -> int:
     return at
 
 
-def _subset_edges(sets: DataFrame, boundary: int, percent: int, every: bool = False) -> DataFrame:
-    """Edges between small sets that share a subset of the size that a link between their sizes needs: all of
-    them, or as many as join the same components."""
+def _subset_edges(sets: DataFrame, boundary: int, percent: int) -> DataFrame:
+    """Edges between small sets that share a subset of the size that a link between their sizes needs: as many as
+    join the same components."""
 
     def subsets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -162,10 +209,6 @@ def _subset_edges(sets: DataFrame, boundary: int, percent: int, every: bool = Fa
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.bool_(), pa.bool_()))], ["key", "id", "is_low", "is_high"])
 
     hits = sets.where(F.col("n") <= boundary).select("id", "n", "tokens").mapInArrow(subsets, "key long, id long, is_low boolean, is_high boolean")
-    if every:
-        other = hits.where("is_high").select("key", F.col("id").alias("b"))
-        both = hits.where("is_low").select("key", F.col("id").alias("a")).join(other, "key").where("a <> b")
-        return both.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     hubs = hits.groupBy("key").agg(F.min(F.when(F.col("is_low"), F.col("id"))).alias("low"), F.min(F.when(F.col("is_high"), F.col("id"))).alias("high"), F.count("*").alias("m")).where("m > 1 and low is not null and high is not null")
     both = hits.join(hubs, "key")
     return both.where("is_low").select(F.col("id").alias("a"), F.col("high").alias("b")).union(both.where("is_high").select(F.col("id").alias("a"), F.col("low").alias("b"))).where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
@@ -179,12 +222,12 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(F.col("o") * 100 >= (F.col("na") + F.col("nb") - F.col("o")) * percent).select("a", "b", F.col("o").cast("long").alias("shared"))
 
 
-def _list_edges(sets: DataFrame, boundary: int, percent: int, edges: DataFrame, rounds: int = 2, every: bool = False) -> DataFrame:
-    """Edges of pairs with a large set, besides those given: all of them, or as many as join the same components.
+def _list_edges(sets: DataFrame, boundary: int, percent: int, edges: DataFrame, rounds: int = 2) -> DataFrame:
+    """Edges of pairs with a large set, besides those given: as many as join the same components.
 
     The order of all shingles has those of one document first, so of two sets that link, the first shingle in
     common stands no later in either than its size less the overlap that their sizes need: lists are scanned
-    with that condition, and for all edges every such pair of a list is checked. For components only, every list first checks its members against one pivot, the member richest in common
+    with that condition. Every list first checks its members against one pivot, the member richest in common
     shingles, which in a group of near copies is what they were copied from. What then lies in one
     component needs no more checks. After some rounds, every pair of a list that still lies in two
     components is checked, so no link between components is missed."""
@@ -198,10 +241,6 @@ def _list_edges(sets: DataFrame, boundary: int, percent: int, edges: DataFrame,
     lists = materialize(lists, "lists")
     near = F.expr(f"100 * least(n, pn) >= {percent} * greatest(n, pn)") & (F.greatest("n", "pn") > boundary)
     near = near & (F.col("pos") + need("n", "pn") <= F.col("n")) & (F.col("ppos") + need("n", "pn") <= F.col("pn"))
-    if every:
-        other = lists.select("tok", F.col("id").alias("pivot"), F.col("n").alias("pn"), F.col("pos").alias("ppos"))
-        found = lists.join(other, "tok").where((F.col("id") > F.col("pivot")) & near).select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
-        return materialize(edges.union(_verified(materialize(found, "pairs"), sets, percent)), "links")
     checked = edges.limit(0).select("a", "b")
     for turn in range(rounds + 1):
         label = components(edges) if turn or boundary else None
@@ -227,34 +266,87 @@ def _list_edges(sets: DataFrame, boundary: int, percent: int, edges: DataFrame,
     return edges
 
 
-def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _links_of(t: pa.Table, percent: int) -> tuple[list[int], list[int]]:
+    """(ids, far) of the sets in t, which has root, i, j, id, side, n, members and tokens: how many documents the
+    sets of the same root (and, of two blocks i and j, of the other side) that link with it have."""
+    ids, far = [], []
+    cross = t.column("i")[0].as_py() != t.column("j")[0].as_py()
+    root = np.array(t.column("root").to_pylist(), np.int64)
+    order = np.argsort(root, kind="stable")
+    for a, b in runs(root[order]):
+        own = t.take(pa.array(order[a:b]))
+        n, members, side = (np.array(own.column(k).to_pylist(), np.int64) for k in ("n", "members", "side"))
+        tokens = own.column("tokens").combine_chunks()
+        size, flat = np.diff(tokens.offsets.to_numpy()), tokens.flatten().to_numpy()
+        m = len(n)
+        _, token, df = np.unique(flat, return_inverse=True, return_counts=True)
+        of = np.repeat(np.arange(m), size)
+        common = np.zeros(m * m, np.int64)
+        order_ = np.argsort(token, kind="stable")
+        order_ = order_[(df[token[order_]] > 1) & (df[token[order_]] < 32)]
+        rare, who = token[order_], of[order_]
+        for step in range(1, 32):  # the pairs of a list of fewer than 32, step places apart
+            pair = np.flatnonzero(rare[step:] == rare[:-step])
+            if not len(pair):
+                break
+            x, y = who[pair], who[pair + step]
+            common += np.bincount(np.minimum(x, y) * m + np.maximum(x, y), minlength=m * m)
+        shared = common.reshape(m, m)
+        shared = shared + shared.T
+        wide = np.full(len(df), -1)
+        wide[df >= 32] = np.arange((df >= 32).sum())
+        column = wide[token]
+        for c in range(0, int((df >= 32).sum()), 1024):
+            at = (column >= c) & (column < c + 1024)
+            x = np.zeros((m, 1024), np.float32)
+            x[of[at], column[at] - c] = 1
+            shared += (x @ x.T).astype(np.int64)
+        link = shared * (100 + percent) >= percent * (n[:, None] + n[None, :])
+        if cross:  # pairs within a block are counted where it meets itself
+            link &= side[:, None] != side[None, :]
+        np.fill_diagonal(link, False)
+        ids += own.column("id").to_pylist()
+        far += (link @ members).tolist()
+    return ids, far
+
+
+def link_counts(sets: DataFrame, roots: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(rep, far): how many documents with other sets each set links with. Links lie within components, so each
+    component's sets meet in blocks of bounded size; counts leave a task, pairs do not. Small components
+    share a task."""
+    named = sets.select("id", "n", "tokens").join(roots.union(roots.select(F.col("root").alias("id"), "root").distinct()), "id")
+    named = named.join(classes.select(F.col("rep").alias("id"), "members"), "id")
+    size = named.groupBy("root").agg(F.count("*").alias("m"), F.sum(F.size("tokens")).alias("s"))
+    size = size.select("root", F.greatest(F.expr(f"(m + {LINK_SETS - 1}) div {LINK_SETS}"), F.expr(f"(s + {LINK_SHINGLES - 1}) div {LINK_SHINGLES}")).alias("blocks"))
+    named = materialize(named.join(size, "root"), "members")
+    total = int(named.agg(F.coalesce(F.sum(F.size("tokens")), F.lit(0))).first()[0])
+    small = named.where("blocks = 1").select("root", "id", "n", "members", "tokens", F.pmod(F.xxhash64("root"), F.lit(1 + total // LINK_SHINGLES)).alias("task"), F.lit(-1).alias("i"), F.lit(-1).alias("j"), F.lit(0).alias("side"))
+    # a set goes to the blocks that its own meets: as many as there are
+    wide = named.where("blocks > 1").withColumn("own", F.pmod(F.xxhash64("id", F.lit("block")), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    wide = wide.select("root", "id", "n", "members", "tokens", F.col("root").alias("task"), F.least("own", "other").cast("int").alias("i"), F.greatest("own", "other").cast("int").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"))
+
+    def counted(t: pa.Table) -> pa.Table:
+        ids, far = _links_of(t, percent)
+        return pa.table({"rep": pa.array(ids, pa.int64()), "far": pa.array(far, pa.int64())})
+
+    return small.union(wide).groupBy("task", "i", "j").applyInArrow(counted, "rep long, far long").groupBy("rep").agg(F.sum("far").alias("far"))
+
+
+def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", links: bool = False) -> DataFrame:
     """Groups documents whose sets of word shingles have a Jaccard similarity of percent / 100 or more.
 
     Returns id, n_shingles, component_id (smallest id reachable by links) and copies_of (smallest id with
-    the same set). A-Z are lower-cased; a text with fewer words than a shingle has one shingle; null text
+    the same set); with links also n_links, the number of other ids that an id links with, of which no
+    link is missing. A-Z are lower-cased; a text with fewer words than a shingle has one shingle; null text
     and text without words have none, link with nothing and stand alone. Rows with a null id are left out
-    of the join and returned with null component. An id names one text: repeated rows give one row.
-    Other columns are not read.
+    of the join and returned with nulls. An id names one text: repeated rows give one row, and of an id with
+    several texts one stands for it. An empty table gives an empty result. Other columns are not read.
 
     Equal sets fall into classes first, by signature. A shingle of one document alone cannot be shared, so
     sets keep only the others, and those with too few of them are settled. Shingles are compared by
-    64-bit hashes; counts of shared ones are exact for every pair that is checked. Only as many links are
-    looked for as connect the components: linked_pairs finds all.
+    64-bit hashes; counts of shared ones are exact for every pair that is checked. Candidates are checked as
+    long as they can still join components; links are then counted within components.
     """
-    return _joined(docs, words, percent, id_col, text_col, False)[0]
-
-
-def linked_pairs(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """The whole join: the rows of jaccard_join with n_links, the number of other ids that an id links with, and
-    all pairs (a, b, shared) of different sets that link.
-
-    a > b are the smallest ids of their sets and shared is the number of shingles in common; copies_of tells
-    the members of each set, which link with one another and with all members of the sets theirs links with.
-    The pairs of sets grow with the square of a group of near copies, as the result does."""
-    return _joined(docs, words, percent, id_col, text_col, True)
-
-
-def _joined(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str, every: bool) -> tuple[DataFrame, DataFrame]:
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows = materialize(shared_shingles(source, words, percent), "sets")
     classes = rows.where("n > 0").groupBy("sig").agg(F.min("id").alias("rep"), F.min(F.when(F.col("tokens").isNotNull(), F.col("id"))).alias("carrier"), F.count("*").alias("members"))
@@ -264,17 +356,15 @@ def _joined(docs: DataFrame, words: int, percent: int, id_col: str, text_col: st
     boundary = _boundary(sets, percent)
     edges = sets.limit(0).select(F.col("id").alias("a"), F.col("id").alias("b"), F.col("n").alias("shared"))
     if boundary:
-        edges = _verified(_subset_edges(sets, boundary, percent, every), sets, percent)
-    edges = _list_edges(sets, boundary, percent, materialize(edges, "small"), every=every)
+        edges = _verified(_subset_edges(sets, boundary, percent), sets, percent)
+    edges = _list_edges(sets, boundary, percent, materialize(edges, "small"))
     roots = components(edges)
     # the smallest id of a class is its representative, so the smallest representative is the smallest id
     named = rows.drop("codes", "tokens", "k", "rich").join(classes.select("sig", "rep", "members"), "sig", "left").join(roots.withColumnRenamed("id", "rep"), "rep", "left")
     columns = [F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("root", "rep", "id").alias("component_id"), F.coalesce("rep", "id").alias("copies_of")]
-    if every:
-        ways = edges.select(F.col("a").alias("rep"), F.col("b").alias("other")).union(edges.select("b", "a"))
-        ways = ways.join(classes.select(F.col("rep").alias("other"), F.col("members").alias("far")), "other").groupBy("rep").agg(F.sum("far").alias("far"))
-        named = named.join(ways, "rep", "left")
+    if links:
+        named = named.join(link_counts(sets, roots, classes, percent), "rep", "left")
         columns.append((F.coalesce("members", F.lit(1)) - 1 + F.coalesce("far", F.lit(0))).cast("long").alias("n_links"))
     out = named.select(*columns)
-    nulls = docs.where(F.col(id_col).isNull()).select(F.col(id_col).cast("long"), F.lit(None).cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"), F.lit(None).cast("long").alias("copies_of"))
-    return out.unionByName(nulls, allowMissingColumns=True), edges
+    nulls = docs.where(F.col(id_col).isNull()).select(F.col(id_col).cast("long"), *(F.lit(None).cast("long").alias(c) for c in out.columns[1:]))
+    return out.unionByName(nulls)

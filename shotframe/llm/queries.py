@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .common import shared_dir, table
 from .decontam import contaminated
-from .jaccard_join import linked_pairs
+from .jaccard_join import jaccard_join
 from .langid import fit, held_out, language_id
 from .packing import pack_documents
 from .secret_scan import joined_spans, secret_scan
@@ -38,8 +38,7 @@ def op3_whole_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    members, _ = linked_pairs(table(spark, sf_dir, "documents"))
-    return members.drop("n_links")  # the SQL has the other columns
+    return jaccard_join(table(spark, sf_dir, "documents"), links=True)
 
 
 def op5_seekable_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,8 +107,9 @@ n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s AS a JOIN s AS b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
 e AS (SELECT a, b FROM o JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b WHERE 100 * o >= 80 * (x.n + y.n - o)),
 r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
-SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, k.copies_of
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, k.copies_of, coalesce(l.n_links, 0) AS n_links
 FROM documents AS d LEFT JOIN n USING (doc_id)
+LEFT JOIN (SELECT a AS doc_id, count(*) AS n_links FROM e GROUP BY a) AS l USING (doc_id)
 JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) AS c USING (doc_id)
 JOIN (SELECT d.doc_id, least(d.doc_id, min(x.b)) AS copies_of FROM documents AS d
       LEFT JOIN (SELECT o.a, o.b FROM o JOIN n AS p ON p.doc_id = o.a JOIN n AS q ON q.doc_id = o.b WHERE o.o = p.n AND p.n = q.n) AS x ON x.a = d.doc_id

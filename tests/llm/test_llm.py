@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import oracle
+import shotframe.llm.jaccard_join as jaccard
 from shotframe.llm import decontam, langid, packing, queries, seekable, tiff, tokens, warc
 from shotframe.llm.components import components
-from shotframe.llm.jaccard_join import jaccard_join, least_common, linked_pairs, partners
+from shotframe.llm.jaccard_join import jaccard_join, least_common, partners
 from shotframe.llm.secret_scan import redacted, secret_scan
 from shotframe.llm.substring_dedup import substring_dedup
 from shotframe.llm.token_count import token_counts, whole_tokens
@@ -511,7 +512,11 @@ def test_pipeline_keeps_null_and_repeated_ids(spark, docs, edge):
     assert sorted(r.doc_id if r.doc_id is not None else -1 for r in packed) == [i for i, _ in four]
 
 
-def test_jaccard_join_finds_every_link(spark, edge):
+@pytest.mark.parametrize("small", [False, True])
+def test_jaccard_join_finds_every_link(spark, edge, small, monkeypatch):
+    if small:  # hot shingles and blocks of links at the size of this table
+        for name, value in (("HOT", 2), ("LINK_SETS", 3), ("LINK_SHINGLES", 150)):
+            monkeypatch.setattr(jaccard, name, value)
     rng = np.random.default_rng(12)
     rows = []
     for size in (5, 9, 14, 40, 60, 60):  # groups of near copies of small and large sets, with exact copies
@@ -520,17 +525,18 @@ def test_jaccard_join_finds_every_link(spark, edge):
             t = base[:]
             t[int(rng.integers(len(t)))] = str(rng.integers(0, 3))
             rows.append((len(rows), " ".join(t if rng.random() < 0.6 else base) + " tail" * int(rng.integers(0, 2))))
+    base = [f"v{i}" for i in range(60)]
+    rows += [(100 + i, " ".join(base[i % 3 : 60 - i % 4]) + f" x{i}") for i in range(50)]  # many different near copies
     for df in (spark.createDataFrame(rows, "doc_id long, text string").repartition(3), edge):
         sets = {}
         for r in df.where("doc_id is not null").collect():
             w = words_of((r.text or "").translate(LOW))
             sets[r.doc_id] = frozenset(zip(*[w[j:] for j in range(5)], strict=False)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
-        least = {}
-        for i in sorted(sets):
-            least.setdefault(sets[i], i)
         links = {(a, b) for a in sets for b in sets if a > b and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
-        members, pairs = linked_pairs(df)
-        got = {r.doc_id: r.n_links for r in members.collect()}
-        assert {i: n for i, n in got.items() if i is not None} == {i: sum(i in p for p in links) for i in sets}
-        want = {(a, b, len(sets[a] & sets[b])) for a, b in links if sets[a] != sets[b] and least[sets[a]] == a and least[sets[b]] == b}
-        assert sorted((r.a, r.b, r.shared) for r in pairs.collect()) == sorted(want)
+        members = jaccard_join(df, links=True).collect()
+        assert {r.doc_id: r.n_links for r in members if r.doc_id is not None} == {i: sum(i in p for p in links) for i in sets}
+        root = {i: i for i in sets}
+        for a, b in sorted(links, key=lambda p: p[::-1]):
+            x, y = sorted((root[a], root[b]))
+            root = {i: x if r == y else r for i, r in root.items()}
+        assert {r.doc_id: r.component_id for r in members if r.doc_id is not None} == root
