@@ -1,6 +1,7 @@
-"""Benchmark decontamination: a BM25 inverted index of the test items with block-max WAND. Every passage of
-every text is a query; items above the threshold are retrieved, then question and answer overlap are
-verified on word shingles."""
+"""Benchmark decontamination: a BM25 inverted index of the test items with block-max WAND. Every training text is
+a query, whole, as an item may be spread over it; all items above their threshold are retrieved, then question
+and answer overlap are verified on word shingles. Blocks are ranges of items: a block whose bounds (each term's
+largest impact there) do not add up to a threshold is skipped by every list."""
 
 from __future__ import annotations
 
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import as_bytes, text_chunks
-from .windows import rolled, word_hashes
+from .windows import rolled, runs, word_hashes
 
 #: Text of the items that are indexed and broadcast at a time; more are taken in further blocks.
 ITEM_BYTES = 16 << 20
@@ -43,7 +44,6 @@ class Index:
     shingles: list[np.ndarray]  # of each item, in order
     answer_from: list[int]  # the first shingle of its answer
     words: np.ndarray  # of each item
-    passage: int  # words in half a query
 
     def block_bounds(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
         """Postings of essential terms by block of items, with the largest impact; and each block's common rest."""
@@ -58,9 +58,27 @@ class Index:
         return begin, key[cut] % n if len(key) else cut, top, rest
 
 
+def answer_starts(n: int) -> int:
+    """The first shingle of the answer of an item of n shingles that does not say where it is: the last quarter."""
+    return max(0, n - max(1, n // 4))
+
+
+def most_hidden(words: np.ndarray, m: int, shingle: int) -> float:
+    """The most that the words in no shingle can weigh if m shingles of an item are missing: words at its ends hide
+    with a shingle each, and r words elsewhere with r + shingle - 1."""
+    if not len(words) or not m:
+        return 0.0
+    if m >= len(words):
+        return float(words.sum())
+    ends = np.concatenate(([0.0], np.cumsum(words[:m])))[:, None] + np.concatenate(([0.0], np.cumsum(words[::-1][:m])))
+    best = np.concatenate(([0.0], np.cumsum(np.sort(words)[::-1][:m])))
+    left = m - np.arange(m + 1)[:, None] - np.arange(m + 1)
+    return float(np.where(left >= 0, ends + best[np.maximum(0, left - shingle + 1)], 0).max())
+
+
 def build_index(ids: list[int], texts: list[bytes], shingle: int = 5, percent: int = 80, k1: float = 1.2, b: float = 0.75) -> Index:
-    """An item's threshold is the least score of a passage with percent of its shingles, so what verification
-    accepts is retrieved."""
+    """An item's threshold is the least score of a text that verification can accept: the item's own, less the
+    most that the words hidden by the shingles that may be missing can weigh."""
     h, counts = token_hashes(texts)
     ends = np.cumsum(counts)
     own = [h[e - c : e] for e, c in zip(ends, counts, strict=True)]
@@ -73,12 +91,15 @@ def build_index(ids: list[int], texts: list[bytes], shingle: int = 5, percent: i
     idf = np.log1p((len(texts) - df + 0.5) / (df + 0.5))
     impact = np.repeat(idf, df) * tf * (k1 + 1) / (tf + k1 * (1 - b + b * counts[item] / mean))
     total = np.bincount(item, impact, len(texts))
-    lost = np.maximum(1, counts - shingle + 1) * (100 - percent) // 100 + 1  # words that may be missing
-    per_item = np.bincount(item, minlength=len(texts))
-    order = np.lexsort((-impact, item))
-    rank = np.arange(len(order)) - np.repeat(np.cumsum(per_item) - per_item, per_item)
-    limit = total - np.bincount(item[order], np.where(rank < lost[item[order]], impact[order], 0), len(texts))
-    limit = np.maximum(limit, 1e-9 + total * 0.05)
+    n = np.where(counts >= shingle, counts - shingle + 1, np.minimum(counts, 1))
+    asked = np.array([answer_starts(int(x)) for x in n], np.int64)
+    needed = lambda x: -(-percent * x // 100)
+    lost = n - np.where(asked > 0, np.minimum(needed(n), needed(asked)), needed(n))  # m missing shingles hide m words at most
+    lost = np.where(n > 0, lost, 0)
+    posting = np.searchsorted(np.repeat(np.arange(len(terms)), df) * len(texts) + item, np.searchsorted(terms, h) * len(texts) + doc)
+    occurrence = impact[posting]  # of each word of each item, its term's impact
+    limit = total - np.array([most_hidden(occurrence[e - c : e], int(m), shingle) for e, c, m in zip(ends, counts, lost, strict=True)])
+    limit = np.maximum(limit, 1e-9 * (1 + total))  # rounding apart, no text with a word in common is left out then
     impact = impact / limit[item]
     # common terms: by falling df, as long as no item gets more than 0.3 from them
     common, essential = np.zeros(len(texts)), np.ones(len(terms), bool)
@@ -89,21 +110,27 @@ def build_index(ids: list[int], texts: list[bytes], shingle: int = 5, percent: i
         common[item[at]] += impact[at]
         essential[t] = False
     shingles = [rolled(w, shingle) if len(w) >= shingle else rolled(w, len(w)) if len(w) else np.empty(0, np.uint64) for w in own]
-    answers = [max(0, len(s) - max(1, len(s) // 4)) for s in shingles]
-    return Index(np.array(ids, np.int64), terms, begin, item, impact, common, essential, shingles, answers, counts, max(64, int(1.25 * max(counts, default=1))))
+    return Index(np.array(ids, np.int64), terms, begin, item, impact, common, essential, shingles, asked.tolist(), counts)
 
 
-def wand(index: Index, terms: np.ndarray, low: int, high: int) -> list[int]:
-    """Items from low to high - 1 whose score with the query's terms is 1 or more, document at a time: lists are
-    kept in order of their next item; the pivot is the first item whose lists' bounds reach 1."""
+def block_max_wand(index: Index, terms: np.ndarray, live: np.ndarray) -> list[int]:
+    """Items whose score with the query's terms is 1 or more, item at a time: lists are kept in order of their next
+    item; the pivot is the first item at which the lists' bounds reach 1. live: the blocks whose own bounds
+    do, in order; all lists leap over the others."""
     lists = []
-    for t in terms:
-        a, b = index.begin[t] + np.searchsorted(index.item[index.begin[t] : index.begin[t + 1]], [low, high])
-        if b > a:
-            lists.append([int(index.item[a]), int(a), int(b), float(index.impact[a:b].max())])
-    found = []
-    while lists:
-        lists.sort()
+    for t in terms.tolist():
+        a, b = int(index.begin[t]), int(index.begin[t + 1])
+        lists.append([0, a, b, float(index.impact[a:b].max())])
+    found, to = [], int(live[0]) * BLOCK
+    while True:
+        moved = []
+        for x in lists:  # on to item to
+            if index.item[x[1]] < to:
+                x[1] += int(np.searchsorted(index.item[x[1] : x[2]], to))
+            if x[1] < x[2]:
+                x[0] = int(index.item[x[1]])
+                moved.append(x)
+        lists = sorted(moved)
         bound, pivot = 0.0, -1
         for x in lists:
             bound += x[3]
@@ -111,61 +138,59 @@ def wand(index: Index, terms: np.ndarray, low: int, high: int) -> list[int]:
                 pivot = x[0]
                 break
         if pivot < 0:
-            break
-        if lists[0][0] == pivot:
-            score = sum(float(index.impact[x[1]]) for x in lists if x[0] == pivot)
-            if score >= 1 - 1e-9:
-                found.append(pivot)
-            for x in lists:
-                if x[0] == pivot:
-                    x[1] += 1
+            return found
+        k = int(np.searchsorted(live, pivot // BLOCK))
+        if k == len(live):
+            return found
+        if live[k] != pivot // BLOCK:
+            to = int(live[k]) * BLOCK
+        elif lists[0][0] < pivot:
+            to = pivot
         else:
-            for x in lists:
-                if x[0] < pivot:
-                    x[1] += int(np.searchsorted(index.item[x[1] : x[2]], pivot))
-        lists = [[int(index.item[x[1]]), *x[1:]] for x in lists if x[1] < x[2]]
-    return found
+            if sum(float(index.impact[x[1]]) for x in lists if x[0] == pivot) >= 1 - 1e-9:
+                found.append(pivot)
+            to = pivot + 1
 
 
-def _retrieved(index: Index, bounds: tuple, h: np.ndarray, counts: np.ndarray) -> set[tuple[int, int]]:
-    """(text, item) of every passage that reaches an item's threshold. A passage is two halves in a row."""
+def _retrieved(index: Index, bounds: tuple, h: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(text, item) of every text, whole, that reaches an item's threshold."""
+    begin, block, top, rest = bounds
     at = np.searchsorted(index.terms, h)
     at[at == len(index.terms)] = 0
-    term = np.where(index.terms[at] == h, at, -1)
-    begin, block, top, rest = bounds
-    first = np.cumsum(counts) - counts
+    hit = np.flatnonzero(index.terms[at] == h)
     doc = np.repeat(np.arange(len(counts)), counts)
-    halves = np.maximum(1, -(-counts // index.passage))
-    base = np.cumsum(halves) - halves
-    half = base[doc] + (np.arange(len(h)) - first[doc]) // index.passage
-    hit = np.flatnonzero(term >= 0)
-    hit = hit[index.essential[term[hit]]]
-    pair = np.unique(half[hit] * len(index.terms) + term[hit])
-    seg, t = pair // len(index.terms), pair % len(index.terms)
-    size = begin[t + 1] - begin[t]
-    flat = np.repeat(begin[t] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-    n = len(rest)
-    m = np.bincount(np.repeat(seg, size) * n + block[flat], top[flat], int(halves.sum()) * n).reshape(-1, n)
-    both = m.copy()
-    both[:-1] += np.where((np.repeat(np.arange(len(counts)), halves)[1:] == np.repeat(np.arange(len(counts)), halves)[:-1])[:, None], m[1:], 0)
-    out = set()
-    owner = np.repeat(np.arange(len(counts)), halves)
-    for s, k in zip(*np.nonzero(both + rest >= 1 - 1e-9), strict=True):
-        d = owner[s]
-        a = first[d] + (s - base[d]) * index.passage
-        words = term[a : min(a + 2 * index.passage, first[d] + counts[d])]
-        out.update((int(d), i) for i in wand(index, np.unique(words[words >= 0]), int(k) * BLOCK, min(len(index.ids), int(k) * BLOCK + BLOCK)))
-    return out
-
-
-def contaminated(docs: DataFrame, items: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """Pairs of a document and a test item of which the document holds percent or more of the word shingles.
+    pair = np.unique(doc[hit] * len(index.terms) + at[hit])
+    doc, term = pair // len(index.terms), pair % len(index.terms)
+    key = index.essential[term]
+    size = begin[term[key] + 1] - begin[term[key]]
+    # a few texts at a time, by what their lists have: of one text it is the index itself at most
+    load = np.cumsum(np.bincount(doc[key], size, len(counts)))
+    groups = np.unique(load // 1_000_000, return_index=True)[1]
+    for first, last in zip(groups.tolist(), [*groups[1:].tolist(), len(counts)], strict=True):
+        some = (doc[key] >= first) & (doc[key] < last)
+        n = size[some]
+        if not n.sum():
+            continue
+        flat = np.repeat(begin[term[key][some]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        place, where = np.unique(np.repeat(doc[key][some], n) * len(rest) + block[flat], return_inverse=True)
+        good = place[np.bincount(where, top[flat]) + rest[place % len(rest)] >= 1 - 1e-9]
+        owner, live = good // len(rest), good % len(rest)
+        for a, b in runs(owner):
+            d = int(owner[a])
+            x, y = np.searchsorted(doc, [d, d + 1])
+            yield from ((d, i) for i in block_max_wand(index, term[x:y], live[a:b]))
+
+
+def contaminated(docs: DataFrame, items: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", need_answer: bool = False) -> DataFrame:
+    """Pairs of a document and a test item that the document holds: percent or more of the word shingles of its
+    question, or of all its shingles. With need_answer, as much of the answer as well.
 
     Returns id, item, question_overlap and answer_overlap (shares of the shingles of an item's first three
-    quarters and of its last quarter that the text holds) and overlap (of all of them). Words are compared
-    without case and punctuation; an item with fewer words than a shingle counts as one. Items without
-    words and null texts match nothing; null item ids are left out; null document ids are kept. Ties and
-    repeated rows give a row each. Other columns are not read.
+    quarters and of its last quarter that the text holds, wherever in it they are), overlap (of all of them) and
+    answered (whether it holds percent of the answer). Words are compared without case and punctuation; an
+    item with fewer words than a shingle counts as one, and is all answer. Items without words and null texts
+    match nothing; null item ids are left out; null document ids are kept. Ties and repeated rows give a row
+    each; empty tables give none. Other columns are not read.
 
     Items are indexed on the driver and broadcast up to ITEM_BYTES of text at a time; a larger set is taken
     in blocks, each over all documents. Nothing is shuffled."""
@@ -176,12 +201,12 @@ def contaminated(docs: DataFrame, items: DataFrame, shingle: int = 5, percent: i
     for k in range(blocks):
         some = known.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k).orderBy("item", "text").toArrow()
         index = build_index(some.column("item").to_pylist(), as_bytes(some.column("text").combine_chunks()), shingle, percent)
-        found = _search(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col)), spark.sparkContext.broadcast((index, index.block_bounds())), shingle, percent)
+        found = _search(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col)), spark.sparkContext.broadcast((index, index.block_bounds())), shingle, percent, need_answer)
         out = found if out is None else out.union(found)
     return out.withColumnRenamed("id", id_col).withColumnRenamed("item", item_col)
 
 
-def _search(docs: DataFrame, shared, shingle: int, percent: int) -> DataFrame:
+def _search(docs: DataFrame, shared, shingle: int, percent: int, need_answer: bool) -> DataFrame:
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, bounds = shared.value
         for ids, texts in text_chunks(batches):
@@ -196,10 +221,12 @@ def _search(docs: DataFrame, shared, shingle: int, percent: int) -> DataFrame:
                 if (d, k) not in held:
                     held[d, k] = np.unique(rolled(words, k))
                 hit = np.isin(want, held[d, k])
-                if 100 * hit.sum() >= percent * len(want):
-                    cut = index.answer_from[i]
-                    rows.append((ids[d], int(index.ids[i]), float(hit[:cut].mean()) if cut else 1.0, float(hit[cut:].mean()), float(hit.mean())))
+                cut = index.answer_from[i]
+                whole, asked, answer = (100 * int(x.sum()) >= percent * len(x) > 0 for x in (hit, hit[:cut], hit[cut:]))
+                if (whole or asked) and (answer or not need_answer):
+                    rows.append((ids[d], int(index.ids[i]), float(hit[:cut].mean()) if cut else 1.0, float(hit[cut:].mean()), float(hit.mean()), answer))
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), *[pa.float64()] * 3), strict=True)], ["id", "item", "question_overlap", "answer_overlap", "overlap"])
+                kinds = (pa.int64(), pa.int64(), *[pa.float64()] * 3, pa.bool_())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["id", "item", "question_overlap", "answer_overlap", "overlap", "answered"])
 
-    return docs.mapInArrow(searched, "id long, item long, question_overlap double, answer_overlap double, overlap double")
+    return docs.mapInArrow(searched, "id long, item long, question_overlap double, answer_overlap double, overlap double, answered boolean")
