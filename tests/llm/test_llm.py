@@ -18,7 +18,7 @@ import shotframe.llm.jaccard_join as jaccard
 from shotframe.llm import decontam, langid, packing, queries, seekable, tiff, tokens, warc
 from shotframe.llm.components import components
 from shotframe.llm.jaccard_join import jaccard_join, least_common, partners
-from shotframe.llm.secret_scan import redacted, secret_scan
+from shotframe.llm.secret_scan import RULES, Rule, candidates, redacted, secret_scan, trigram_postings, trigram_query
 from shotframe.llm.substring_dedup import substring_dedup
 from shotframe.llm.token_count import token_counts, whole_tokens
 from shotframe.llm.tokens import WordEncoder, alphabet, encoder, vocabulary
@@ -324,6 +324,41 @@ def brute_spans(text):
     return sorted((m.start(), k, m.end(), kind) for k, (kind, (p, g, n)) in enumerate(rules.items()) for m in re.finditer(p, text or "", re.ASCII) if len(m[g]) >= n)
 
 
+def test_trigram_queries_come_from_the_patterns():
+    rng = np.random.default_rng(4)
+    q = {r.kind: {frozenset(x) for x in trigram_query(r.pattern)} for r in RULES}
+    of = lambda *words: {frozenset(w[i : i + 3] for i in range(len(w) - 2)) for w in words}
+    assert q["assign"] == of("password", "passwd", "secret", "token", "api_key", "apikey")
+    assert q["access"] == of("akia") and q["hex"] == set() and q["github"] == of("ghp_", "gho_", "ghu_", "ghs_", "ghr_")
+    assert q["web_token"] == {frozenset(("eyj", ".ey"))} and q["private_key"] == {of("-----begin ").pop() | of("private key-----").pop()}
+    assert trigram_query("abc|de") == [] and trigram_query("(abc)*") == [] and trigram_query("a.c") == []
+    assert trigram_query("(?:foo|ba[rz])+qux") == [["bar", "qux"], ["baz", "qux"], ["foo", "qux"]]
+    with pytest.raises(ValueError):
+        trigram_query(r"\p{L}(")
+    for pattern in ("ab[cd]+e(fgh|i?jkl)", "(x|yz){2,3}w+abc", "(?i:AbC)d?ef", "[^a]bcd|efgh", "a{2}b{2,}cde?"):  # no match lacks its trigrams
+        query, hits = trigram_query(pattern), 0
+        for _ in range(20000):
+            t = "".join(rng.choice(list("abcdefghijklwxyzABC"[: int(rng.integers(3, 19))]), 9))
+            if re.search(pattern, t):
+                hits += 1
+                assert not query or any(all(g in t.lower() for g in x) for x in query), (pattern, t)
+
+
+def test_postings_and_candidates(spark, edge, docs):
+    for df in (edge, docs):
+        source = df.select(F.col("doc_id").alias("id"), "text")
+        postings = trigram_postings(source)
+        texts = {r.id: r.text.lower() for r in source.where("id is not null and text is not null").collect()}
+        held = {g: set() for r in RULES for x in r.query for g in x}
+        for r in postings.collect():
+            held[r.trigram] |= set(r.ids)
+        assert held == {g: {i for i, t in texts.items() if g in t} for g in held}
+        got = {(r.id, x.kind) for r in candidates(postings).collect() for x in RULES if x.query and r[f"may_{x.kind}"]}
+        assert got == {(i, x.kind) for i, t in texts.items() for x in RULES if x.query and any(all(g in t for g in y) for y in x.query)}
+    only = (Rule("digits", r"[0-9]{2}"),)  # no mandatory trigram: every text is searched
+    assert {(r.doc_id, r.spans[0].start) for r in secret_scan(docs, only).where("size(spans) > 0").collect()} == {(r.doc_id, re.search("[0-9]{2}", r.text).start()) for r in docs.collect() if r.text and re.search("[0-9]{2}", r.text)}
+
+
 def test_secret_scan(spark, edge, docs):
     rng = np.random.default_rng(6)
     parts = ["secret", "Token", "PASSWORD", "api_key", "apikey", "passwd", " ", "=", ":", '"', "'", "AKIA", "ABCDEFGHIJKLMNOP", "0123456789abcdef", "dead", "xyz1", "é🙂", "\n", "a1b2c3d4"]
