@@ -117,39 +117,38 @@ def block_max_wand(index: Index, terms: np.ndarray, live: np.ndarray) -> list[in
     """Items whose score with the query's terms is 1 or more, item at a time: lists are kept in order of their next
     item; the pivot is the first item at which the lists' bounds reach 1. live: the blocks whose own bounds
     do, in order; all lists leap over the others."""
-    lists = []
-    for t in terms.tolist():
-        a, b = int(index.begin[t]), int(index.begin[t + 1])
-        lists.append([0, a, b, float(index.impact[a:b].max())])
-    found, to = [], int(live[0]) * BLOCK
+    a, size = index.begin[terms], index.begin[terms + 1] - index.begin[terms]
+    at = np.repeat(a - (np.cumsum(size) - size), size) + np.arange(size.sum())
+    alive = np.zeros(-(-len(index.ids) // BLOCK), bool)
+    alive[live] = True
+    ok = alive[index.item[at] // BLOCK]
+    at, owner = at[ok], np.repeat(np.arange(len(terms)), size)[ok]
+    first = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1]))) if len(at) else np.empty(0, int)
+    impact, end = index.impact[at], len(index.ids)
+    bound = np.maximum.reduceat(impact, first) if len(at) else impact
+    # all lists in one row, each with an end behind it
+    rank = np.cumsum(np.concatenate(([0], owner[1:] != owner[:-1])))[: len(at)]
+    item = np.insert(index.item[at], np.append(first[1:], len(at)), end)
+    impact = np.insert(impact, np.append(first[1:], len(at)), 0.0)
+    key = np.insert(rank, np.append(first[1:], len(at)), np.arange(len(first))) * (end + 1) + item
+    begin = first + np.arange(len(first))
+    own = np.arange(len(first)) * (end + 1)
+    now, found = begin.copy(), []
     while True:
-        moved = []
-        for x in lists:  # on to item to
-            if index.item[x[1]] < to:
-                x[1] += int(np.searchsorted(index.item[x[1] : x[2]], to))
-            if x[1] < x[2]:
-                x[0] = int(index.item[x[1]])
-                moved.append(x)
-        lists = sorted(moved)
-        bound, pivot = 0.0, -1
-        for x in lists:
-            bound += x[3]
-            if bound >= 1 - 1e-9:
-                pivot = x[0]
-                break
-        if pivot < 0:
+        here = item[now]
+        order = np.argsort(here, kind="stable")
+        p = int(np.searchsorted(np.cumsum(bound[order]), 1 - 1e-9))
+        if p == len(order) or here[order[p]] == end:
             return found
-        k = int(np.searchsorted(live, pivot // BLOCK))
-        if k == len(live):
-            return found
-        if live[k] != pivot // BLOCK:
-            to = int(live[k]) * BLOCK
-        elif lists[0][0] < pivot:
-            to = pivot
+        pivot = here[order[p]]
+        if here[order[0]] == pivot:
+            same = here == pivot
+            if impact[now[same]].sum() >= 1 - 1e-9:
+                found.append(int(pivot))
+            now[same] += 1
         else:
-            if sum(float(index.impact[x[1]]) for x in lists if x[0] == pivot) >= 1 - 1e-9:
-                found.append(pivot)
-            to = pivot + 1
+            back = here < pivot
+            now[back] = np.searchsorted(key, own[back] + pivot)
 
 
 def _retrieved(index: Index, bounds: tuple, h: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int, int]]:

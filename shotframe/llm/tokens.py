@@ -18,11 +18,11 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Words that a worker's table holds; when it is full, those not met since it was last full make room.
-WORDS = 1 << 20
+WORDS = 1 << 19
 #: Code points that an alphabet classifies; texts with later ones go whole to the library.
 CODES = 0x20000
 #: Code points that are cut and looked up at a time; a longer text is cut at spaces between words.
-AT_ONCE = 1 << 20
+AT_ONCE = 1 << 19
 SPACE, LETTER, NUMBER, OTHER, ODD, BREAK = range(6)
 _BREAK = CODES
 #: Stands between words; later than all code points of an alphabet.
