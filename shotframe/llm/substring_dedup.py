@@ -23,6 +23,27 @@ def _group(ids: np.ndarray, bits: int) -> np.ndarray:
     return ((ids.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
+def _least(h: np.ndarray, check: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Of each window, the smallest document that has it."""
+    order = np.argsort(h)
+    if (np.diff(h[order]) == 0)[np.diff(check[order].astype(np.int64)) != 0].any():  # different windows of equal first hash
+        order = np.lexsort((check, h))
+    a, c = h[order], check[order]
+    first = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (c[1:] != c[:-1])))) if len(h) else np.empty(0, int)
+    out = np.empty_like(ids)
+    if len(h):
+        out[order] = np.repeat(np.minimum.reduceat(ids[order], first), np.diff(np.append(first, len(h))))
+    return out
+
+
+def _by_group(ids: np.ndarray, pos: np.ndarray, bits: int) -> list[tuple[int, bytes, bytes]]:
+    """(group, ids, window starts) of windows to remove."""
+    group = _group(ids, bits)
+    order = np.lexsort((pos, ids, group))
+    ids, pos, group = ids[order], pos[order], group[order]
+    return [(int(group[a]), squeeze_ids(ids[a:b]), squeeze(pos[a:b])) for a, b in runs(group)]
+
+
 def substring_dedup(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Removes each word covered by a window whose word sequence also starts in a document with a smaller id.
 
@@ -32,28 +53,32 @@ def substring_dedup(docs: DataFrame, window: int = 13, id_col: str = "doc_id", t
     get the same result, once a row. Other columns are not read. Texts of fewer words than a window
     lose nothing; an empty table gives an empty result.
 
-    Each task sends the hashes of its windows to their buckets in blocks; a bucket finds for each hash
-    its smallest document and answers with the window starts to remove, so that a passage common to all
-    documents costs what any other window costs. Two windows count as equal if their 64-bit hashes are.
+    Each task counts the windows of a block first: of windows that repeat in it only those of the smallest
+    document are sent on, the others are known to go. A bucket finds for each hash the smallest document
+    of all blocks and answers with the window starts to remove, so that a passage common to all documents
+    costs a row a block. Two windows count as equal if their hashes, 96 bits in all, are.
     """
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     bits = bucket_bits(text_bytes(source))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def blocks():
-            h, ids, pos = (np.concatenate(x) for x in zip(*held, strict=True))
-            rows = [(b, low_bytes(h[at]), squeeze_ids(ids[at]), squeeze(pos[at])) for b, at in split_by_bucket(h, bits)]
+            h, check, ids, pos = (np.concatenate(x) for x in zip(*held, strict=True))
+            least = _least(h, check, ids)
+            known = ids > least  # a smaller document of this block has the window
+            rows = [(b, low_bytes(h[~known][at]), check[~known][at].tobytes(), squeeze_ids(ids[~known][at]), squeeze(pos[~known][at])) for b, at in split_by_bucket(h[~known], bits)]
+            rows += [(-1 - g, b"", b"", i, p) for g, i, p in _by_group(ids[known], pos[known], bits)]
             for i in range(0, len(rows), 64):
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i : i + 64], strict=True), (pa.int64(), *[pa.binary()] * 3), strict=True)], ["bucket", "h", "ids", "pos"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i : i + 64], strict=True), (pa.int64(), *[pa.binary()] * 4), strict=True)], ["bucket", "h", "check", "ids", "pos"])
 
         held, n = [], 0
         for ids, texts in text_chunks(batches):
             order = sorted((x, i) for i, x in enumerate(ids) if x is not None)
             if not order:
                 continue
-            w, doc, pos, _ = window_hashes([texts[i] for _, i in order], window)
+            w, check, doc, pos = window_hashes([texts[i] for _, i in order], window)
             if len(w):
-                held.append((w, np.array([x for x, _ in order], np.int64)[doc], pos.astype(np.uint32)))
+                held.append((w, check, np.array([x for x, _ in order], np.int64)[doc], pos.astype(np.uint32)))
                 n += len(w)
             if n >= BLOCK:
                 yield from blocks()
@@ -63,20 +88,14 @@ def substring_dedup(docs: DataFrame, window: int = 13, id_col: str = "doc_id", t
 
     def repeated(t: pa.Table) -> pa.Table:
         bucket = t.column("bucket")[0].as_py()
+        if bucket < 0:
+            return pa.table({"g": pa.array([-1 - bucket] * len(t), pa.int64()), "ids": t.column("ids"), "pos": t.column("pos")})
         h = np.concatenate([whole_hashes(x, bucket, bits) for x in t.column("h").to_pylist()])
+        check = np.concatenate([np.frombuffer(x, np.uint32) for x in t.column("check").to_pylist()])
         ids = np.concatenate([unsqueeze_ids(x) for x in t.column("ids").to_pylist()])
         pos = np.concatenate([unsqueeze(x) for x in t.column("pos").to_pylist()])
-        order = np.argsort(h)
-        h, ids, pos = h[order], ids[order], pos[order]
-        first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
-        least = np.repeat(np.minimum.reduceat(ids, first), np.diff(np.append(first, len(h))))
-        hit = ids > least
-        ids, pos = ids[hit], pos[hit]
-        order = np.lexsort((pos, ids))
-        ids, pos = ids[order], pos[order]
-        group = _group(ids, bits)
-        order = np.argsort(group, kind="stable")
-        rows = [(int(group[order[a]]), squeeze_ids(ids[order[a:b]]), squeeze(pos[order[a:b]])) for a, b in runs(group[order])]
+        hit = ids > _least(h, check, ids)
+        rows = _by_group(ids[hit], pos[hit], bits)
         return pa.table({"g": pa.array([r[0] for r in rows], pa.int64()), "ids": pa.array([r[1] for r in rows], pa.binary()), "pos": pa.array([r[2] for r in rows], pa.binary())})
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,7 +131,7 @@ def substring_dedup(docs: DataFrame, window: int = 13, id_col: str = "doc_id", t
                 out[k].append(v)
         return pa.table({"id": pa.array(out["id"], pa.int64()), "n_words": pa.array(out["n_words"], pa.int64()), "n_removed": pa.array(out["n_removed"], pa.int64()), "kept_text": pa.array(out["kept_text"], pa.string()), "removed": pa.array(out["removed"], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))})
 
-    found = source.mapInArrow(hashed, "bucket long, h binary, ids binary, pos binary").groupBy("bucket").applyInArrow(repeated, "g long, ids binary, pos binary")
+    found = source.mapInArrow(hashed, "bucket long, h binary, check binary, ids binary, pos binary").groupBy("bucket").applyInArrow(repeated, "g long, ids binary, pos binary")
     found = materialize(found, "repeats")
     texts = source.mapInArrow(sent, "g long, id long, z binary")
     return texts.groupBy("g").cogroup(found.groupBy("g")).applyInArrow(cut, "id long, n_words long, n_removed long, kept_text string, removed array<struct<start: long, end: long>>").withColumnRenamed("id", id_col)

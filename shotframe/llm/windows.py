@@ -13,6 +13,8 @@ import numpy as np
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
 _ROLL = np.uint64(0xD1342543DE82EF95)
+#: For a second hash of the same windows, independent of the first.
+_CHECK = np.uint64(0xAF251AF3B0F025B5)
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _POWERS: list[np.ndarray] = []
@@ -49,26 +51,26 @@ def word_hashes(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np
     return mix(h ^ ((ends - starts).astype(np.uint64) << np.uint64(40))), counts
 
 
-def rolled(h: np.ndarray, k: int) -> np.ndarray:
+def rolled(h: np.ndarray, k: int, base: np.uint64 = _ROLL) -> np.ndarray:
     """Rabin-Karp hash of the k words from each word on (of all words in a row)."""
     n = len(h) - k + 1
     if n <= 0:
         return np.empty(0, np.uint64)
     w = h[:n].copy()
     for j in range(1, k):
-        w *= _ROLL
+        w *= base
         w += h[j : j + n]
     return mix(w ^ np.uint64(k))
 
 
-def window_hashes(texts: list[bytes], k: int, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of every window of k words within one text: hash, text number, first word; and words of each text."""
+def window_hashes(texts: list[bytes], k: int, lower: bool = False) -> tuple[np.ndarray, ...]:
+    """Of every window of k words within one text: hash, a further 32 bits of hash, text number, first word."""
     h, counts = word_hashes(texts, lower)
     doc = np.repeat(np.arange(len(texts)), counts)
     pos = np.arange(len(h)) - np.repeat(np.cumsum(counts) - counts, counts)
-    w = rolled(h, k)
+    w, check = rolled(h, k), rolled(h, k, _CHECK)
     ok = np.flatnonzero(pos[: len(w)] + k <= counts[doc[: len(w)]])
-    return w[ok], doc[ok], pos[ok], counts
+    return w[ok], (check[ok] >> np.uint64(32)).astype(np.uint32), doc[ok], pos[ok]
 
 
 def shingle_sets(texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
