@@ -53,10 +53,11 @@ def pack_bits(data: bytes) -> bytes:
     return b"".join(out)
 
 
-def lzw_decode(data: bytes) -> bytes:
-    """Codes of 9 to 12 bits, high bits first; a code grows longer one entry before the table needs it."""
+def lzw_decode(data: bytes, need: int | None = None) -> bytes:
+    """Codes of 9 to 12 bits, high bits first; a code grows longer one entry before the table needs it. Ends when
+    there are need bytes; ValueError on a code that the table does not have yet."""
     first = [bytes([i]) for i in range(256)] + [b"", b""]
-    table, width, bits, n, last, out = first[:], 9, 0, 0, None, []
+    table, width, bits, n, last, out, made = first[:], 9, 0, 0, None, [], 0
     for byte in data:
         bits = (bits << 8 | byte) & 0xFFFFFF
         n += 8
@@ -69,6 +70,8 @@ def lzw_decode(data: bytes) -> bytes:
         elif code == END:
             break
         else:
+            if code > len(table) or code == len(table) and (last is None or len(table) >= 4096):
+                raise ValueError(f"LZW code {code} beyond the table")
             if last is None:
                 entry = table[code]
             else:
@@ -78,6 +81,9 @@ def lzw_decode(data: bytes) -> bytes:
                     width += 1
             out.append(entry)
             last = entry
+            made += len(entry)
+            if need is not None and made >= need:
+                break
     return b"".join(out)
 
 
@@ -121,66 +127,115 @@ def lzw_encode(data: bytes) -> bytes:
     return bytes(out)
 
 
-def _decoded(data: bytes, scheme: int) -> bytes:
+def _decoded(data: bytes, scheme: int, need: int) -> bytes:
+    """The need bytes of a strip or tile."""
     if scheme == NONE:
-        return data
-    if scheme == LZW:
-        return lzw_decode(data)
-    if scheme in (DEFLATE, DEFLATE_OLD):
-        return zlib.decompress(data)
-    if scheme == PACKBITS:
-        return unpack_bits(data)
-    raise ValueError(f"compression {scheme} is not read")
-
-
-def _unpredicted(a: np.ndarray, predictor: int) -> np.ndarray:
-    """a: rows, columns, samples."""
-    if predictor == 1:
-        return a
+        out = data
+    elif scheme == LZW:
+        out = lzw_decode(data, need)
+    elif scheme in (DEFLATE, DEFLATE_OLD):
+        out = zlib.decompressobj().decompress(data, max(1, need))
+    elif scheme == PACKBITS:
+        out = unpack_bits(data)
+    else:
+        raise ValueError(f"compression {scheme} is not read")
+    if len(out) < need:
+        raise ValueError(f"a strip or tile has {len(out)} of {need} bytes")
+    return out[:need]
+
+
+def _block(raw: bytes, rows: int, width: int, samples: int, kind: np.dtype, bits: int, predictor: int) -> np.ndarray:
+    """Rows, columns and samples of a decoded strip or tile, its predictor undone; samples of less than a byte get
+    one each."""
+    if bits < 8:
+        if predictor != 1:
+            raise ValueError(f"predictor {predictor} over {bits} bits a sample is not undone")
+        flat = np.unpackbits(np.frombuffer(raw, np.uint8)).reshape(rows, -1)[:, : width * samples * bits].reshape(rows, width, samples, bits)
+        return flat @ (1 << np.arange(bits - 1, -1, -1)).astype(np.uint8)
+    if predictor == 3:  # bytes of a row's samples, most significant first in planes, as differences
+        size = bits // 8
+        if size == 1:
+            raise ValueError("predictor 3 needs samples of 16 bits or more")
+        planes = np.cumsum(np.frombuffer(raw, np.uint8).reshape(rows, -1, samples), axis=1, dtype=np.uint8).reshape(rows, size, width * samples)
+        return np.ascontiguousarray(planes.transpose(0, 2, 1)).view(f">u{size}").reshape(rows, width, samples).astype(f"=u{size}")
+    a = np.frombuffer(raw, kind).reshape(rows, width, samples).astype(kind.newbyteorder("="))
     if predictor == 2:
         return np.cumsum(a, axis=1, dtype=a.dtype)
-    raise ValueError(f"predictor {predictor} is not undone")
+    if predictor != 1:
+        raise ValueError(f"predictor {predictor} is not undone")
+    return a
+
+
+def _directory(data: bytes, order: str, at: int) -> tuple[dict[int, tuple], int]:
+    """Tags of the directory at a place, and where the next one is."""
+    (n,) = struct.unpack_from(order + "H", data, at)
+    tags: dict[int, tuple] = {}
+    for k in range(n):
+        tag, kind, count = struct.unpack_from(order + "HHI", data, at + 2 + 12 * k)
+        size = TYPE_BYTES.get(kind, 1) * count
+        place = at + 10 + 12 * k if size <= 4 else struct.unpack_from(order + "I", data, at + 10 + 12 * k)[0]
+        if kind in (1, 3, 4) and place + size <= len(data):
+            tags[tag] = struct.unpack_from(f"{order}{count}{ {1: 'B', 3: 'H', 4: 'I'}[kind] }".replace(" ", ""), data, place)
+    return tags, struct.unpack_from(order + "I", data, at + 2 + 12 * n)[0]
+
+
+def _page(data: bytes, order: str, tags: dict[int, tuple]) -> dict:
+    one = lambda tag, default=None: tags[tag][0] if tags.get(tag) else default
+    width, height, bits, spp = one(WIDTH), one(HEIGHT), one(BITS, 1), one(SAMPLES, 1)
+    scheme, predictor, planar = one(COMPRESSION, NONE), one(PREDICTOR, 1), one(PLANAR, 1) == 2 and spp > 1
+    if not width or not height or not spp:
+        raise ValueError("a page without width, height or samples")
+    if bits not in (1, 2, 4, 8, 16, 32, 64) or len(set(tags.get(BITS, (8,)))) > 1:
+        raise ValueError(f"bits a sample {tags.get(BITS)} are not read")
+    kind = np.dtype(f"{order}u{max(1, bits // 8)}")
+    tiled = TILE_OFFSETS in tags
+    offsets, counts = (tags[TILE_OFFSETS], tags[TILE_COUNTS]) if tiled else (tags[STRIP_OFFSETS], tags[STRIP_COUNTS])
+    w, h = (one(TILE_WIDTH), one(TILE_HEIGHT)) if tiled else (width, min(one(ROWS_PER_STRIP, height), height))
+    if not w or not h:
+        raise ValueError("strips or tiles without size")
+    if width * height * spp * max(1, bits // 8) > 4096 * (sum(counts) + 1):  # beyond what any scheme can pack into them
+        raise ValueError(f"{width} x {height} samples in {sum(counts)} bytes")
+    across, down = -(-width // w), -(-height // h)
+    planes, own = (spp, 1) if planar else (1, spp)
+    if len(offsets) != across * down * planes or len(counts) != len(offsets):
+        raise ValueError(f"{len(offsets)} strips or tiles of {across * down * planes}")
+    image = np.zeros((height, width, spp), kind.newbyteorder("<"))
+    for k, (a, b) in enumerate(zip(offsets, counts, strict=True)):
+        plane, place = divmod(k, across * down)
+        top, left = place // across * h, place % across * w
+        rows = h if tiled else min(h, height - top)
+        raw = _decoded(data[a : a + b], scheme, rows * -(-w * own * bits // 8))
+        block = _block(raw, rows, w, own, kind, bits, predictor)[: height - top, : width - left]
+        image[top : top + block.shape[0], left : left + block.shape[1], plane : plane + own] = block
+    return {"width": width, "height": height, "bits": bits, "samples_per_pixel": spp, "compression": scheme, "predictor": predictor, "samples": image.tobytes()}
+
+
+#: What damaged bytes can raise.
+DAMAGE = (ValueError, KeyError, IndexError, TypeError, OverflowError, ZeroDivisionError, MemoryError, struct.error, zlib.error)
 
 
 def pages(data: bytes) -> Iterator[dict]:
     """Each page: width, height, bits, samples_per_pixel, compression, predictor, samples (rows of pixels of
-    little-endian samples). Raises ValueError or struct.error on what is no TIFF file of such pages."""
+    little-endian samples; of less than 8 bits, a byte each); or, of a page that cannot be read, error. A
+    damaged chain of directories ends with such a page. ValueError or struct.error on what is no TIFF file."""
     order = {b"II": "<", b"MM": ">"}.get(data[:2])
     if not order or struct.unpack_from(order + "H", data, 2)[0] != 42:
         raise ValueError("no TIFF file")
     at, seen = struct.unpack_from(order + "I", data, 4)[0], set()
     while at:
-        if at in seen:
-            raise ValueError("the directories form a ring")
-        seen.add(at)
-        (n,) = struct.unpack_from(order + "H", data, at)
-        tags: dict[int, tuple] = {}
-        for k in range(n):
-            tag, kind, count = struct.unpack_from(order + "HHI", data, at + 2 + 12 * k)
-            size = TYPE_BYTES.get(kind, 1) * count
-            place = at + 10 + 12 * k if size <= 4 else struct.unpack_from(order + "I", data, at + 10 + 12 * k)[0]
-            if kind in (1, 3, 4):
-                tags[tag] = struct.unpack_from(f"{order}{count}{ {1: 'B', 3: 'H', 4: 'I'}[kind] }".replace(" ", ""), data, place)
-        at = struct.unpack_from(order + "I", data, at + 2 + 12 * n)[0]
-        one = lambda tag, default=None: tags[tag][0] if tag in tags else default
-        width, height, bits, spp = one(WIDTH), one(HEIGHT), one(BITS, 1), one(SAMPLES, 1)
-        scheme, predictor = one(COMPRESSION, NONE), one(PREDICTOR, 1)
-        if width is None or height is None or bits not in (8, 16, 32) or one(PLANAR, 1) != 1 or len(set(tags.get(BITS, (8,)))) > 1:
-            raise ValueError("only chunky pages of 8, 16 or 32 bits a sample are read")
-        kind = np.dtype(f"{order}u{bits // 8}")
-        image = np.zeros((height, width, spp), kind.newbyteorder("<"))
-        tiled = TILE_OFFSETS in tags
-        offsets, counts = (tags[TILE_OFFSETS], tags[TILE_COUNTS]) if tiled else (tags[STRIP_OFFSETS], tags[STRIP_COUNTS])
-        w, h = (one(TILE_WIDTH), one(TILE_HEIGHT)) if tiled else (width, min(one(ROWS_PER_STRIP, height), height))
-        across = -(-width // w)
-        for k, (a, b) in enumerate(zip(offsets, counts, strict=True)):
-            top, left = k // across * h, k % across * w
-            rows = h if tiled else min(h, height - top)
-            raw = _decoded(data[a : a + b], scheme)
-            block = np.frombuffer(raw, kind, rows * w * spp).reshape(rows, w, spp).astype(kind.newbyteorder("="))
-            block = _unpredicted(block, predictor)[: height - top, : width - left]
-            image[top : top + block.shape[0], left : left + block.shape[1]] = block
-        yield {"width": width, "height": height, "bits": bits, "samples_per_pixel": spp, "compression": scheme, "predictor": predictor, "samples": image.tobytes()}
+        try:
+            if at in seen:
+                raise ValueError("the directories form a ring")
+            seen.add(at)
+            tags, after = _directory(data, order, at)
+        except DAMAGE as e:
+            yield {"error": f"{type(e).__name__}: {e}"[:200]}
+            return
+        try:
+            yield _page(data, order, tags)
+        except DAMAGE as e:
+            yield {"error": f"{type(e).__name__}: {e}"[:200]}
+        at = after
 
 
 def tiff(samples: bytes, width: int = 64, page_rows: int = 2048, compression: int = DEFLATE, predictor: int = 2, tiles: bool = False, strip_rows: int = 512) -> bytes:
@@ -232,10 +287,12 @@ PAGE = "page int, n_pages int, width int, height int, bits int, samples_per_pixe
 def tiff_pages(df: DataFrame, media_col: str = "media", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row per page of the TIFF file in media_col, in order, with the columns keep of its row.
 
-    page counts from 0. A null file, or one that cannot be read, gives one row with null page and the
-    reason in error (other pages of such a file are not given). Clashing column names are the
-    caller's to rename; only keep and media_col are read. Narrow: pages stay beside their file's."""
-    kept = df.select(*keep, F.col(media_col).cast("binary").alias("media"))
+    page counts from 0. A page that cannot be read has its reason in error and null samples; a null file, or
+    one that is no TIFF file, gives one row with null page and the reason. Repeated rows give their pages each,
+    an empty table none. A kept column that is called like one of the result gets _kept behind its name;
+    other columns are not read. Narrow: pages stay beside their file's."""
+    own = {x.split()[0] for x in PAGE.split(", ")}
+    kept = df.select(*(F.col(c).alias(f"{c}_kept" if c in own else c) for c in keep), F.col(media_col).cast("binary").alias("media"))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1]), PAGE])
     names = [x.split()[0] for x in PAGE.split(", ")]
 
@@ -254,8 +311,8 @@ def tiff_pages(df: DataFrame, media_col: str = "media", keep: tuple[str, ...] =
                     if data is None:
                         raise ValueError("null")
                     found = list(pages(data))
-                    found = [p | {"page": k, "n_pages": len(found)} for k, p in enumerate(found)]
-                except (ValueError, KeyError, IndexError, struct.error, zlib.error) as e:
+                    found = [p | {"page": k, "n_pages": len(found)} for k, p in enumerate(found)] or [{"error": "no page"}]
+                except DAMAGE as e:
                     found = [{"error": f"{type(e).__name__}: {e}"[:200]}]
                 index += [i] * len(found)
                 rows += found
@@ -273,7 +330,8 @@ def text_media(docs: DataFrame, width: int = 64, id_col: str = "doc_id", text_co
     """Stores every whole text (null: empty) as a TIFF file of 8-bit samples: UTF-8, zeros up to a positive
     multiple of width. Returns id, n_bytes and media. The scheme depends on the payload alone, so that equal
     texts give equal files and every scheme is in use: one in sixteen LZW, one PackBits, two deflate
-    tiles, the others deflate strips."""
+    tiles, the others deflate strips. A row for each row: null ids stay null, repeated rows are stored each, an
+    empty table gives none. Other columns are not read."""
     from .common import text_chunks
 
     def stored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,22 +348,28 @@ def text_media(docs: DataFrame, width: int = 64, id_col: str = "doc_id", text_co
 
 def page_digests(read: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     """Of each file whose pages tiff_pages gave, one row: the columns keep, payload_bytes, payload_sha256,
-    tail_crc32 (of the last 64 bytes) and feature (mean, deviation, entropy and roughness of the samples).
-    The pages of a file follow each other, so nothing is shuffled or gathered."""
+    tail_crc32 (of the last 64 bytes), feature (mean, deviation, entropy and roughness of the samples) and
+    error. A file with a page that could not be read has the first reason in error and nulls for the rest. Null
+    and repeated rows give a row each, an empty table none. The pages of a file follow each other, so nothing
+    is shuffled or gathered."""
     from hashlib import sha256
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in read.select(*keep).schema.fields), "payload_bytes long, payload_sha256 string, tail_crc32 long, feature string"])
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in read.select(*keep).schema.fields), "payload_bytes long, payload_sha256 string, tail_crc32 long, feature string, error string"])
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size, sha, tail, histogram, rough = 0, None, b"", None, 0
+        size, sha, tail, histogram, rough, bad = 0, None, b"", None, 0, None
         for b in batches:
             at, rows = [], []
-            col = {k: b.column(b.schema.get_field_index(k)) for k in ("page", "n_pages", "samples")}
-            for i, (page, n, samples) in enumerate(zip(col["page"].to_pylist(), col["n_pages"].to_pylist(), col["samples"].to_pylist(), strict=True)):
-                if page is None:
+            col = {k: b.column(b.schema.get_field_index(k)) for k in ("page", "n_pages", "samples", "error")}
+            for i, (page, n, samples, error) in enumerate(zip(*(x.to_pylist() for x in col.values()), strict=True)):
+                if page is None or page == 0:
+                    size, sha, tail, histogram, rough, bad = 0, sha256(), b"", np.zeros(256, np.int64), 0, None
+                bad = bad or error
+                if bad:
+                    if page is None or page == n - 1:
+                        at.append(i)
+                        rows.append((None, None, None, None, bad))
                     continue
-                if page == 0:
-                    size, sha, tail, histogram, rough = 0, sha256(), b"", np.zeros(256, np.int64), 0
                 a = np.frombuffer(samples, np.uint8)
                 size += len(a)
                 sha.update(samples)
@@ -318,10 +382,10 @@ def page_digests(read: DataFrame, keep: tuple[str, ...]) -> DataFrame:
                     dev = float(np.sqrt(max(0.0, share @ np.square(np.arange(256) - mean))))
                     some = share[share > 0]
                     at.append(i)
-                    rows.append((size, sha.hexdigest(), zlib.crc32(tail), f"{mean:.4f};{dev:.4f};{-float(some @ np.log2(some)):.4f};{rough / max(1, size):.4f}"))
+                    rows.append((size, sha.hexdigest(), zlib.crc32(tail), f"{mean:.4f};{dev:.4f};{-float(some @ np.log2(some)):.4f};{rough / max(1, size):.4f}", None))
             if rows:
                 index = pa.array(at, pa.int64())
-                own = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.string(), pa.int64(), pa.string()), strict=True)]
-                yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(k)).take(index) for k in keep), *own], [*keep, "payload_bytes", "payload_sha256", "tail_crc32", "feature"])
+                own = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string()), strict=True)]
+                yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(k)).take(index) for k in keep), *own], [*keep, "payload_bytes", "payload_sha256", "tail_crc32", "feature", "error"])
 
-    return read.select(*keep, "page", "n_pages", "samples").mapInArrow(digest, schema)
+    return read.select(*keep, "page", "n_pages", "samples", "error").mapInArrow(digest, schema)

@@ -126,7 +126,71 @@ def test_tiff_query_and_damaged_files(spark, edge, docs):
     got = dict_of(read)
     assert read.count() == edge.count() and got[3].payload_bytes == got[4].payload_bytes == 64
     bad = spark.createDataFrame([(1, b"no"), (2, None), (3, tiff.tiff(b"\0" * 64)[:40])], "doc_id long, media binary")
-    assert all(r.page is None and r.error for r in tiff.tiff_pages(bad).collect())
+    assert all(r.samples is None and r.error for r in tiff.tiff_pages(bad).collect())
+    got = dict_of(tiff.page_digests(tiff.tiff_pages(bad), ("doc_id",)))
+    assert set(got) == {1, 2, 3} and all(r.error and r.payload_bytes is None for r in got.values())
+    clash = spark.createDataFrame([(5, tiff.tiff(b"\1" * 64), "w")], "page long, media binary, width string")
+    (r,) = tiff.tiff_pages(clash, keep=("page", "width")).collect()
+    assert (r.page_kept, r.width_kept, r.page, r.width) == (5, "w", 0, 64)
+
+
+def tiff_of(pages, order="<"):
+    """A file of one-strip pages: (fields, stored bytes) each."""
+    out, link = bytearray(struct.pack(order + "2sHI", b"II" if order == "<" else b"MM", 42, 0)), 4
+    for fields, strips in pages:
+        places = []
+        for x in strips:
+            places.append(len(out))
+            out += x
+        lists = len(out)
+        out += struct.pack(f"{order}{2 * len(strips)}I", *places, *map(len, strips))
+        one = len(strips) == 1
+        own = sorted([*((t, 1, v) for t, v in fields.items()), (273, len(strips), places[0] if one else lists), (279, len(strips), len(strips[0]) if one else lists + 4 * len(strips))])
+        struct.pack_into(order + "I", out, link, len(out))
+        out += struct.pack(order + "H", len(own)) + b"".join(struct.pack(order + "HHII", t, 4, n, v) for t, n, v in own)
+        link = len(out)
+        out += struct.pack(order + "I", 0)
+    return bytes(out)
+
+
+def test_tiff_planes_bits_and_float_predictor():
+    rng = np.random.default_rng(1)
+    for size, order in ((2, "<"), (4, "<"), (4, ">"), (8, ">")):  # predictor 3: bytes in planes, then differences
+        a = rng.integers(0, 256, (3, 5, size), dtype=np.uint8)  # most significant byte first
+        planes = a.transpose(0, 2, 1).reshape(3, -1)
+        stored = np.diff(planes, axis=1, prepend=np.zeros((3, 1), np.uint8)).astype(np.uint8).tobytes()
+        (p,) = tiff.pages(tiff_of([({256: 5, 257: 3, 258: 8 * size, 259: 8, 277: 1, 278: 3, 317: 3}, [zlib.compress(stored)])], order))
+        assert p["samples"] == a[:, :, ::-1].tobytes()
+    rgb = rng.integers(0, 256, (4, 6, 3), dtype=np.uint8)
+    (p,) = tiff.pages(tiff_of([({256: 6, 257: 4, 258: 8, 259: 1, 277: 3, 278: 2, 284: 2}, [rgb[y : y + 2, :, k].tobytes() for k in range(3) for y in (0, 2)])]))
+    assert p["samples"] == rgb.tobytes() and p["samples_per_pixel"] == 3
+    for bits in (1, 2, 4):
+        a = rng.integers(0, 1 << bits, (3, 7), dtype=np.uint8)
+        rows = np.packbits(np.unpackbits(a[:, :, None], axis=2)[:, :, 8 - bits :].reshape(3, -1), axis=1)
+        (p,) = tiff.pages(tiff_of([({256: 7, 257: 3, 258: bits, 259: 1, 277: 1, 278: 3}, [rows.tobytes()])]))
+        assert p["samples"] == a.tobytes() and p["bits"] == bits
+
+
+def test_tiff_damage_spares_other_pages():
+    good = ({256: 4, 257: 1, 258: 8, 259: 1, 277: 1, 278: 1}, [b"abcd"])
+    for bad in ({256: 0}, {257: 0}, {277: 0}, {278: 0}, {256: 1 << 31, 257: 1 << 31}, {258: 3}, {259: 7}, {259: 5}, {259: 8}, {317: 9}, {256: 40}, {322: 0, 323: 0}):
+        found = list(tiff.pages(tiff_of([good, (good[0] | bad, good[1]), good])))
+        assert [p.get("samples") for p in found] == [b"abcd", None, b"abcd"] and found[1]["error"] or bad == {322: 0, 323: 0}
+    ring = bytearray(tiff_of([good, good]))
+    ring[-4:] = ring[4:8]
+    assert [("error" in p) for p in tiff.pages(bytes(ring))] == [False, False, True]
+    whole = tiff.tiff(bytes(range(256)) * 64, compression=tiff.LZW, page_rows=64)
+    rng = np.random.default_rng(5)
+    for _ in range(400):  # any damage gives pages or errors, nothing else
+        x = bytearray(whole)
+        for at in rng.integers(2, len(x), 3):
+            x[at] = rng.integers(256)
+        try:
+            list(tiff.pages(bytes(x[: int(rng.integers(8, len(x) + 1))])))
+        except tiff.DAMAGE:
+            pass
+    with pytest.raises(ValueError):
+        tiff.lzw_decode(b"\x80\x7f\xff")
 
 
 # 3, 5, 6
