@@ -228,21 +228,54 @@ def xss_dark_mean(spark: SparkSession, d: str) -> DataFrame:
     return rounded(profiles.dark_mean(profile_shots(spark, d), "p", ~F.col("xray")), "dark")
 
 
-@query(f"""WITH {PROFILES}, k AS (SELECT q_idx, avg(v) AS dark FROM cells WHERE NOT xray GROUP BY q_idx),
-s AS (SELECT shot, scan, xray, laser, q_idx, v - dark AS v FROM cells JOIN k USING (q_idx)),
-n AS (SELECT shot, avg(abs(v)) FILTER (q_idx > 9 AND q_idx < 35) AS norm FROM s GROUP BY shot),
-x AS (SELECT scan, xray, laser, q_idx, v / norm AS v FROM s JOIN n USING (shot))
-SELECT scan, CAST(q_idx AS INTEGER) AS q_idx, round(avg(v) FILTER (xray AND laser), 5) + 0.0 AS "on", round(avg(v) FILTER (xray AND NOT laser), 5) + 0.0 AS off,
- round(coalesce(avg(v) FILTER (xray AND laser) - avg(v) FILTER (xray AND NOT laser), 0), 5) + 0.0 AS diff, count(*) FILTER (xray AND laser) AS n_on, count(*) FILTER (xray AND NOT laser) AS n_off
-FROM x GROUP BY scan, q_idx""")
+ONE_SIDED = {"on": "xray AND laser AND scan NOT IN (2, 3)", "off": "xray AND NOT laser AND scan NOT IN (1, 3)"}
+
+
+def patterns(spark: SparkSession, d: str) -> DataFrame:
+    """Shots with a (phi, q) pattern of two rows; scans 1 and 2 have shots of one side only, 3 of none."""
+    row = lambda f: F.transform("p", f)
+    return profile_shots(spark, d).select("shot", "scan", "xray", (on() & ~F.col("scan").isin(2, 3)).alias("on_"), (off() & ~F.col("scan").isin(1, 3)).alias("off_"), F.array(row(lambda x: F.abs(x) + 1), row(lambda x: x * x + 1)).alias("azav"))
+
+
+def sided(a: str, b: str, digits: int) -> str:
+    return f"""round({a}, {digits}) + 0.0 AS "on", round({b}, {digits}) + 0.0 AS off, round(coalesce({a}, 0) - coalesce({b}, 0), {digits}) + 0.0 AS diff, count(*) FILTER (WHERE {ONE_SIDED['on']}) AS n_on, count(*) FILTER (WHERE {ONE_SIDED['off']}) AS n_off"""
+
+
+SIDED = sided(f"avg(v) FILTER (WHERE {ONE_SIDED['on']})", f"avg(v) FILTER (WHERE {ONE_SIDED['off']})", 6)
+
+
+@query(f"""WITH {PROFILES}, a AS (SELECT shot, scan, xray, laser, q_idx, abs(v) + 1 AS x, v * v + 1 AS y FROM cells),
+k AS (SELECT q_idx, avg(x + y) AS dark FROM a WHERE NOT xray GROUP BY q_idx),
+n AS (SELECT shot, (avg(x) FILTER (q_idx > 9 AND q_idx < 35) + avg(y) FILTER (q_idx > 9 AND q_idx < 35)) / 2 AS norm FROM a GROUP BY shot),
+z AS (SELECT scan, xray, laser, q_idx, (x + y - dark) / norm AS v FROM a JOIN k USING (q_idx) JOIN n USING (shot))
+SELECT CAST(scan AS DOUBLE) AS scan, CAST(q_idx AS INTEGER) AS q_idx, {SIDED} FROM z GROUP BY ALL""")
 def xss_scan_diff(spark: SparkSession, d: str) -> DataFrame:
-    p = profile_shots(spark, d)
-    dark = profiles.dark_array(profiles.dark_mean(p, "p", ~F.col("xray")))
-    clean = N.array_subtract(F.col("p"), F.array(*[F.lit(x) for x in dark]))
-    size = profiles.range_mean(F.transform("c", lambda x: F.abs(x)), AXIS, 9, 35)  # test vectors have both signs
-    rows = profiles.exploded(p.withColumn("c", clean).select("scan", "xray", "laser", N.array_divide(F.col("c"), size).alias("c")), "c")
-    out = differences.on_off_means(rows, ["scan", "q_idx"], F.col("v"), on(), off())
-    return rounded(out.withColumn("diff", N.nan_to_num(F.col("diff"))), "on", "off", "diff", digits=5)
+    out = profiles.scattering_difference(patterns(spark, d), "azav", AXIS, "scan", F.col("on_"), F.col("off_"), ~F.col("xray"), 9, 35)
+    return rounded(out, "on", "off", "diff")
+
+
+@query(f"""WITH {PROFILES}, w AS (SELECT shot, scan, xray, laser, (avg(abs(v) + 1) FILTER (q_idx > 9 AND q_idx < 35) + avg(v * v + 1) FILTER (q_idx > 9 AND q_idx < 35)) / 2 AS norm,
+ sum(abs(v) + 1) FILTER (q_idx < 4) AS raw FROM cells GROUP BY ALL), z AS (SELECT scan, xray, laser, raw / norm AS v FROM w)
+SELECT CAST(scan AS INTEGER) AS bin, scan - 0.5e0 AS lo, scan + 0.5e0 AS hi, CAST(scan AS DOUBLE) AS center,
+ round(coalesce(avg(v) FILTER (WHERE {ONE_SIDED['on']}), 0), 6) AS "on", round(coalesce(avg(v) FILTER (WHERE {ONE_SIDED['off']}), 0), 6) AS off,
+ round(coalesce(avg(v) FILTER (WHERE {ONE_SIDED['on']}) - avg(v) FILTER (WHERE {ONE_SIDED['off']}), 0), 6) + 0.0 AS diff,
+ count(*) FILTER (WHERE {ONE_SIDED['on']}) AS n_on, count(*) FILTER (WHERE {ONE_SIDED['off']}) AS n_off FROM z GROUP BY ALL""")
+def xas_water_norm(spark: SparkSession, d: str) -> DataFrame:
+    """Absorption over the water ring's norm; a side without shots is 0, and so is the difference."""
+    s = patterns(spark, d).withColumn("water", profiles.pattern_norm(F.col("azav"), AXIS, 9, 35)).withColumn("raw", N.array_total(F.slice(F.get("azav", F.lit(0)), 1, 4)))
+    norm = differences.normaliser(s, F.col("water"), F.lit(1.0))
+    out = differences.absorption_by_energy(s, "scan", [i - 0.5 for i in range(11)], N.divide(F.col("raw"), norm), F.col("on_"), F.col("off_"))
+    return rounded(out, "on", "off", "diff").withColumns({c: F.col(c).cast("long") for c in ("n_on", "n_off")})
+
+
+@query(f"""WITH {PROFILES}, z AS (SELECT scan, xray, laser, q_idx, v FROM cells)
+SELECT CAST(scan AS DOUBLE) AS scan, CAST(q_idx AS INTEGER) AS q_idx, {SIDED} FROM z GROUP BY ALL""")
+def xes_scan_diff_sides(spark: SparkSession, d: str) -> DataFrame:
+    """Emission by scan: a side without shots counts as 0 in the difference."""
+    p = profile_shots(spark, d).withColumn("scan", F.col("scan").cast("double"))
+    rows = profiles.exploded(p.select("scan", (on() & ~F.col("scan").isin(2, 3)).alias("on_"), (off() & ~F.col("scan").isin(1, 3)).alias("off_"), "p"), "p")
+    out = differences.by_scan(p, rows, F.col("v"), F.col("on_"), F.col("off_"), spark.range(64).select(F.col("id").cast("int").alias("q_idx")), skip_nan=False)
+    return rounded(out, "on", "off", "diff")
 
 
 @query(f"WITH {PROFILES} SELECT CAST(q_idx AS INTEGER) AS q_idx, round(sum(v) FILTER (xray AND laser) / count(*), 6) + 0.0 AS value FROM cells GROUP BY q_idx")

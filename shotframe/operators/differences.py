@@ -28,6 +28,18 @@ def by_edges(df: DataFrame, scan: Column, edges: list[float], value: Column, on:
     return bins.join(found, "bin", "left").select("bin", "lo", "hi", "center", *[F.coalesce(c, zero).alias(c) for c in ("on", "off", "diff")], *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_on", "n_off")])
 
 
+def by_scan(shots: DataFrame, rows: DataFrame, value: Column, on: Column, off: Column, elements: DataFrame | None = None, skip_nan: bool = True, scan: str = "scan", sides: bool = True) -> DataFrame:
+    """on_off_means of rows by scan value, with a row for every scan value of shots (a NaN there counts as 0) and
+    every one of elements (a small table, such as the numbers of a profile's elements). sides: the difference
+    counts a side without shots, or with a NaN mean, as 0; else it is null or NaN there."""
+    found = on_off_means(rows.where(F.col(scan).isNotNull() & ~F.isnan(scan)), [scan, *(elements.columns if elements is not None else ())], value, on, off, skip_nan)
+    grid = shots.select(N.nan_to_num(F.col(scan).cast("double")).alias(scan)).distinct()
+    if elements is not None:
+        grid = grid.crossJoin(elements)  # set points times elements
+    out = grid.join(found, grid.columns, "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in ("n_on", "n_off")})
+    return out.withColumn("diff", N.nan_to_num(F.col("on")) - N.nan_to_num(F.col("off"))) if sides else out
+
+
 def absorption_by_energy(df: DataFrame, energy: str, edges: list[float], value: Column, on: Column, off: Column) -> DataFrame:
     """Absorption over energy bins whose last one is closed; two bins or fewer give no spectrum."""
     out = by_edges(df, F.col(energy), edges, value, on, off, closed_last=True, clean=True)

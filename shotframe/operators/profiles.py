@@ -37,14 +37,32 @@ def dark_array(dark: DataFrame) -> list[float]:
     return [r.dark for r in dark.orderBy("q_idx").collect()]
 
 
-def scattering_difference(df: DataFrame, profile: str, axis: list[float], dark: list[float], scan: str, on: Column, off: Column, low: float = 0.9, high: float = 3.5) -> DataFrame:
-    """(scan, q_idx, on, off, diff): dark-subtracted profiles over their mean in an axis range, averaged without
-    NaN by scan value and element."""
-    from shotframe.operators.differences import on_off_means
-
-    clean = N.array_subtract(F.col(profile), F.array(*[F.lit(float(x)) for x in dark])) if dark else F.col(profile)
-    normed = df.withColumn("_p", clean).withColumn("_n", range_mean(F.col("_p"), axis, low, high))
-    rows = exploded(normed.select(scan, on.alias("_on_shot"), off.alias("_off_shot"), N.array_divide(F.col("_p"), F.col("_n")).alias("_p")), "_p")
-    rows = rows.where(F.col(scan).isNotNull())
-    out = on_off_means(rows, [scan, "q_idx"], F.col("v"), F.col("_on_shot"), F.col("_off_shot"))
-    return out.withColumn("diff", N.nan_to_num(F.col("diff")))
+def pattern_norm(patterns: Column, axis: list[float], low: float, high: float) -> Column:
+    """Norm of a (phi, q) pattern: the mean over the axis range of each phi row, then the mean over phi, both without
+    NaN. Of the raw pattern, whatever is subtracted from its profile."""
+    at = in_range(axis, low, high)
+    if not at:
+        return F.lit(N.NAN)
+    rows = F.transform(patterns, lambda row: N.array_mean(F.slice(row, at[0] + 1, len(at)) if at == list(range(at[0], at[-1] + 1)) else F.transform(F.array(*map(F.lit, at)), lambda i: F.get(row, i))))
+    return N.array_mean(rows)
+
+
+def normalised(df: DataFrame, patterns: str, axis: list[float], dark: list[float], keep: tuple[str, ...], low: float = 0.9, high: float = 3.5) -> DataFrame:
+    """(keep, q_idx, v): a row per shot and element, the profile (sum over phi) less the dark one, over the pattern's
+    norm. The norm is found once a shot, before elements part."""
+    wide = df.select(*keep, pattern_norm(F.col(patterns), axis, low, high).alias("_n"), F.posexplode(N.row_totals(F.col(patterns))).alias("q_idx", "_p"))
+    less = F.get(F.array(*[F.lit(float(x)) for x in dark]), F.col("q_idx")) if dark else F.lit(0.0)
+    return wide.select(*keep, "q_idx", N.divide(F.col("_p") - less, F.col("_n")).alias("v"))
+
+
+def scattering_difference(df: DataFrame, patterns: str, axis: list[float], scan: str, on: Column, off: Column, xray_off: Column, low: float = 0.9, high: float = 3.5, bins: DataFrame | None = None) -> DataFrame:
+    """(scan, q_idx, on, off, diff, n_on, n_off): normalised profiles averaged without NaN by scan value and
+    element, for every scan value of df (or of bins) and every element. on and off are null where a side has no shots; the
+    difference counts such a side as 0. A NaN scan belongs to no bin."""
+    from shotframe.operators.differences import by_scan
+
+    s = df.select(F.col(scan).cast("double").alias("scan"), on.alias("_on_shot"), off.alias("_off_shot"), xray_off.alias("_dark_shot"), F.col(patterns).alias("_patterns"))
+    dark = dark_array(dark_mean(s.withColumn("_profile", N.row_totals(F.col("_patterns"))), "_profile", F.col("_dark_shot")))
+    rows = normalised(s, "_patterns", axis, dark, ("scan", "_on_shot", "_off_shot"), low, high)
+    elements = df.sparkSession.range(len(axis)).select(F.col("id").cast("int").alias("q_idx"))
+    return by_scan(bins if bins is not None else s, rows, F.col("v"), F.col("_on_shot"), F.col("_off_shot"), elements)

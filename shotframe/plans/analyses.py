@@ -29,54 +29,81 @@ def _shots(spark: SparkSession, p: Scattering) -> tuple[DataFrame, Column, Colum
     return s, filters.combine(f, filters.DEFAULT), filters.combine(f, filters.LASER_OFF), name
 
 
-def _edges(s: DataFrame, name: str | None, bins: int) -> list[float] | None:
-    return binning.equal_width_edges(s, "scan", bins) if name == "lxt_fast" else None
+def _binned(s: DataFrame, name: str | None, bins: int, lower: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Shots with the scan value that names their bin, and all bins: set points as they are; of fast delays equal-width
+    bins by their centres (lower: by their lower edges, with the last edge as a bin that nothing falls into); of a
+    table without a scan one bin of all shots."""
+    if name is None:
+        s = s.withColumn("scan", F.lit(1.0))
+    if name is None or "lxt_fast" not in name:
+        return s, s
+    edges = binning.equal_width_edges(s, "scan", bins)
+    names = edges if lower else [(a + b) / 2 for a, b in zip(edges, edges[1:], strict=False)]
+    at = binning.assign_bin(F.col("scan"), edges)
+    s = s.withColumn("scan", F.get(F.array(*map(F.lit, names)), at)) if names else s
+    return s, s.sparkSession.createDataFrame([(float(x),) for x in names], "scan double")
 
 
-def _by_scan(s: DataFrame, name: str | None, bins: int, value: Column, on: Column, off: Column, keys: list[str], skip_nan: bool) -> DataFrame:
-    """Means by scan value, by equal-width bins for fast delays, or of all shots together without a scan."""
-    edges = _edges(s, name, bins)
-    if edges:
-        s = s.withColumn("bin", binning.assign_bin(F.col("scan"), edges)).where("bin is not null")
-        s = s.withColumn("scan", F.element_at(F.array(*[F.lit((a + b) / 2) for a, b in zip(edges, edges[1:], strict=False)]), F.col("bin") + 1))
-    elif name is None:
-        s = s.withColumn("scan", F.lit(1.0))
-    return differences.on_off_means(s.where(~F.isnan("scan")), ["scan", *keys], value, on, off, skip_nan)
+def _axis(spark: SparkSession, p: Scattering) -> list[float]:
+    return spark.read.parquet(f"{p.path}.q").orderBy("idx").toPandas()["q"].tolist()  # one number a q bin
 
 
 def scattering(spark: SparkSession, values: dict[str, Any]) -> DataFrame:
-    """(scan, q_idx, on, off, diff): profiles less the dark mean over their mean in the q range."""
+    """(scan, q_idx, on, off, diff): profiles less the dark mean over the patterns' mean in the q range, for every bin."""
     p = build(Scattering, values)
     s, on, off, name = _shots(spark, p)
-    axis = spark.read.parquet(f"{p.path}.q").orderBy("idx").toPandas()["q"].tolist()  # one number a q bin
-    s = s.withColumn("profile", N.row_totals(F.col("azav")))
-    dark = profiles.dark_array(profiles.dark_mean(s, "profile", F.col("xray") == 0))
-    clean = N.array_subtract(F.col("profile"), F.array(*map(F.lit, dark))) if dark else F.col("profile")
-    norm = N.array_divide(F.col("c"), profiles.range_mean(F.col("c"), axis, *p.q_range))
-    rows = s.withColumn("c", clean).select("scan", on.alias("on_"), off.alias("off_"), F.posexplode(norm).alias("q_idx", "v"))
-    out = _by_scan(rows, name, p.bins, F.col("v"), F.col("on_"), F.col("off_"), ["q_idx"], True)
-    return out.withColumn("diff", N.nan_to_num(F.col("diff")))
+    s, bins = _binned(s.withColumn("on_", on).withColumn("off_", off), name, p.bins, lower=True)
+    return profiles.scattering_difference(s, "azav", _axis(spark, p), "scan", F.col("on_"), F.col("off_"), F.col("xray") == 0, *p.q_range, bins=bins)
 
 
 def absorption(spark: SparkSession, values: dict[str, Any]) -> DataFrame:
-    """(bin, lo, hi, center, on, off, diff): signal over the monitor by photon energy."""
+    """(bin, lo, hi, center, on, off, diff): signal by photon energy, over the water ring's mean scattering, or over the
+    monitor if that is negative in any shot or there are no patterns."""
     p = build(Absorption, values)
     s, on, off, _ = _shots(spark, p)
-    return differences.absorption_by_energy(s, p.energy, binning.ccm_edges(s, p.energy, p.set_point), N.divide(F.col("xas_raw"), F.col("ipm")), on, off)
+    norm = F.col("ipm")
+    if "azav" in s.columns:
+        s = s.withColumn("water", profiles.pattern_norm(F.col("azav"), _axis(spark, p), *p.water_range))
+        norm = differences.normaliser(s, F.col("water"), F.col("ipm"))
+    return differences.absorption_by_energy(s, p.energy, binning.ccm_edges(s, p.energy, p.set_point), N.divide(F.col("xas_raw"), norm), on, off)
+
+
+def absorption_scan(spark: SparkSession, values: dict[str, Any]) -> DataFrame:
+    """(scan, on, off, diff): signal over the monitor for every bin of the scan; NaN where a side has no shots. Two bins
+    or fewer give no rows."""
+    p = build(Absorption, values)
+    s, on, off, name = _shots(spark, p)
+    s, bins = _binned(s.withColumn("on_", on).withColumn("off_", off), name, p.bins)
+    out = differences.by_scan(bins, s, N.divide(F.col("xas_raw"), F.col("ipm")), F.col("on_"), F.col("off_"), skip_nan=False, sides=False)
+    out = out.withColumns({c: F.coalesce(c, F.lit(N.NAN)) for c in ("on", "off", "diff")})
+    return out if out.select("scan").distinct().count() > 2 else out.limit(0)
 
 
 def emission(spark: SparkSession, values: dict[str, Any]) -> DataFrame:
-    """(scan, pixel, on, off, diff): spectra from the brightest window, over the monitor."""
+    """(scan, pixel, on, off, diff): spectra from the brightest window, over the monitor, for every bin."""
     p = build(Emission, values)
     s, on, off, name = _shots(spark, p)
     if p.rotation:
         s = images.rotated(s, p.rotation, "roi_area")
-    wide = s.select("shot", "scan", "ipm", on.alias("on_"), off.alias("off_"), F.posexplode("roi_area").alias("row", "r")).select("*", F.posexplode("r").alias("col", "value")).drop("r")
+    s, bins = _binned(s.withColumn("on_", on).withColumn("off_", off), name, p.bins)
+    wide = s.select("shot", "scan", "ipm", "on_", "off_", F.posexplode("roi_area").alias("row", "r")).select("*", F.posexplode("r").alias("col", "value")).drop("r")
     keys = ("shot", "scan", "ipm", "on_", "off_")
     axis, pixel = ("row", "col") if p.transpose else ("col", "row")
     spectra = images.window_spectrum(wide, p.half_width, axis, keys).withColumnRenamed(pixel, "pixel")
-    out = _by_scan(spectra, name, p.bins, N.divide(F.col("value"), F.col("ipm")), F.col("on_"), F.col("off_"), ["pixel"], False)
-    return out.withColumn("diff", N.nan_to_num(F.col("diff")))
+    pixels = s.select(F.explode(F.sequence(F.lit(0), (F.size(F.get("roi_area", F.lit(0))) if p.transpose else F.size("roi_area")) - 1)).alias("pixel")).distinct()
+    return differences.by_scan(bins, spectra, N.divide(F.col("value"), F.col("ipm")), F.col("on_"), F.col("off_"), pixels, skip_nan=False)
+
+
+def overlap(spark: SparkSession, values: dict[str, Any]) -> DataFrame:
+    """(scan, on, off, diff): the scattering difference ten elements beyond the solvent maximum along the scan, which is
+    what fits.fit_overlap is given."""
+    p = build(Scattering, values)
+    out = scattering(spark, values)
+    top = out.groupBy("q_idx").agg(F.sum(N.nan_to_num(F.col("on"))).alias("v")).orderBy(F.desc("v"), "q_idx").first()  # a row per element
+    if top is None:
+        return out.drop("q_idx")
+    at = min(top.q_idx + 10, len(_axis(spark, p)) - 1)
+    return out.where(F.col("q_idx") == at).drop("q_idx").orderBy("scan")
 
 
 def find_peaks(spark: SparkSession, values: dict[str, Any]) -> DataFrame:
@@ -111,5 +138,5 @@ def concatenate(spark: SparkSession, values: dict[str, Any]) -> str:
     return p.out
 
 
-for _name, _run in (("scattering", scattering), ("absorption", absorption), ("emission", emission), ("find_peaks", find_peaks), ("geometry", geometry_search), ("concatenate", concatenate)):
+for _name, _run in (("scattering", scattering), ("overlap", overlap), ("absorption", absorption), ("absorption_scan", absorption_scan), ("emission", emission), ("find_peaks", find_peaks), ("geometry", geometry_search), ("concatenate", concatenate)):
     register(Task(_name, _run))

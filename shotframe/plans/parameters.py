@@ -42,7 +42,8 @@ class Thresholds:
 
 @dataclass
 class Scattering:
-    """Columns of the shot table by name. path: '' for the producer's last result in the ledger."""
+    """Columns of the shot table by name. path: where the table lies; plans.pipeline.last_result finds the last one that a
+    task has recorded in the ledger."""
 
     ipm: str
     path: str = ""
@@ -57,6 +58,7 @@ class Scattering:
 class Absorption(Scattering):
     energy: str = "ccm"
     set_point: str | None = None
+    water_range: tuple[float, float] = (1.5, 3.5)
 
 
 @dataclass

@@ -118,18 +118,31 @@ class Graph:
             if name not in always and any(done[n].task_status != COMPLETED for n in self.needs[name] if n in done):
                 done[name] = Result(name)
                 continue
-            done[name] = lookup(name).run(spark, parameters.get(name, {}))
+            try:
+                task = lookup(name)
+            except KeyError as e:
+                done[name] = Result(name, FAILED, summary=str(e.args[0]))
+                continue
+            done[name] = task.run(spark, parameters.get(name, {}))
         return done
 
 
-#: Workflows: which analyses follow which.
+#: Workflows of registered analyses: which follow which. External programs have no task here, nor have graphs of them.
 WORKFLOWS = {
-    "shots": Graph({"producer": [], "scattering": ["producer"], "absorption": ["producer"], "emission": ["producer"]}),
-    "crystals": Graph({"find_peaks": [], "index": ["find_peaks"], "concatenate": ["index"], "merge": ["concatenate"], "compare": ["merge"], "manipulate": ["merge"], "solve": ["manipulate"]}),
-    "geometry": Graph({"powder": [], "geometry": ["powder"]}),
+    "shots": Graph({"scattering": [], "overlap": ["scattering"], "absorption": [], "absorption_scan": ["absorption"], "emission": []}),
+    "crystals": Graph({"find_peaks": []}),
+    "geometry": Graph({"geometry": []}),
 }
 
 
+def last_result(entries: DataFrame, task_output: str = "path") -> str | None:
+    """The output of the latest valid entry of a task in the ledger, as default for a parameter left empty."""
+    from shotframe.operators.ledger import latest_entry
+
+    row = latest_entry(entries, task_output).first()
+    return row[0] if row else None
+
+
 def html_report(path: str, title: str, tables: dict[str, DataFrame], rows: int = 500) -> str:
     """Writes small results (the first rows of each) as a plain page of tables under path/title/report.html."""
     parts = [f"<h1>{html.escape(title)}</h1>"]
@@ -143,9 +156,9 @@ def html_report(path: str, title: str, tables: dict[str, DataFrame], rows: int =
     return str(to)
 
 
-def display_path(scan_name: str | None, run: int | str) -> str:
-    """Where a scan's report is shown: by the kind of scan, and the run with four digits (0 if it is no number)."""
-    name = scan_name or ""
-    kind = "lens_scans" if "lens" in name else "power_scans" if "lxe" in name else "time_scans" if "lxt" in name else "scans"
-    number = int(run) if str(run).isdigit() else 0
-    return f"{kind}/r{number:04d}"
+def display_path(scan_name: str | None, run: int | str, kind: str = "XSS") -> str:
+    """Where a scan's report is shown: by the kind of scan, then the run with four digits (0 if it is no number), the
+    scan's name (By_Event without one) and the kind of analysis. Without a scan's report of its own: kind/run_kind."""
+    name = scan_name or "By_Event"
+    folder = "lens_scans" if "lens" in name else "power_scans" if "lxe_opa" in name else "time_scans"
+    return f"{folder}/{int(run) if str(run).isdigit() else 0:04d}_{name}_{kind}"

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from shotframe.operators import images, kernels, sinks
 from shotframe.plans import analyses, parameters
-from shotframe.plans.pipeline import COMPLETED, Graph
+from shotframe.plans.pipeline import COMPLETED, WORKFLOWS
 
 IMAGE = "array<array<double>>"
 
@@ -27,10 +27,26 @@ def shots(spark, tmp_path_factory):
 def test_graph_of_analyses(spark, shots):
     path, rows = shots
     base = {"path": path, "ipm": "ipm5/sum", "scan": "lens_v", "thresholds": {"min_iscat": 1.0}}
-    out = Graph({"scattering": [], "absorption": [], "emission": ["absorption"]}).run(spark, {"scattering": base, "absorption": base | {"energy": "ccm", "set_point": "ccm_set"}, "emission": base})
+    energy = base | {"energy": "ccm", "set_point": "ccm_set"}
+    out = WORKFLOWS["shots"].run(spark, {"scattering": base, "overlap": base, "absorption": energy, "absorption_scan": energy, "emission": base})
     assert all(r.task_status == COMPLETED for r in out.values()), [r.summary for r in out.values()]
     assert out["scattering"].payload.count() == 3 * 8
-    assert out["absorption"].payload.count() == 5
+    assert out["overlap"].payload.count() == 3 and out["absorption_scan"].payload.count() == 3
+    az, raw, e = np.array([r[5] for r in rows]), np.array([r[6] for r in rows]), np.array([r[7] for r in rows])
+    x0, l0 = (np.array([r[k] for r in rows]) == 1 for k in (1, 2))
+    norm = az[:, :, 3:6].mean((1, 2))  # q strictly between 1.5 and 3.5
+    c = np.unique(e)
+    edges = np.concatenate((c[:1], (c[1:] + c[:-1]) / 2, c[-1:]))
+    absorbed = {r.bin: r for r in out["absorption"].payload.collect()}
+    assert len(absorbed) == 5
+    for k, r in absorbed.items():
+        at = x0 & (e >= edges[k]) & ((e < edges[k + 1]) if k < 4 else (e <= edges[5]))
+        assert (r.on, r.off) == pytest.approx(tuple((raw / norm)[at & x].mean() if (at & x).any() else 0.0 for x in (l0, ~l0)))
+    fast = base | {"scan": "lxt_fast"}
+    spark.read.parquet(path).withColumnRenamed("scan/lens_v", "scan/lxt_fast").write.mode("overwrite").parquet(path + "f")
+    spark.read.parquet(path + ".q").write.mode("overwrite").parquet(path + "f.q")
+    got = analyses.scattering(spark, fast | {"path": path + "f", "bins": 4}).collect()
+    assert len(got) == 5 * 8 and all(r["diff"] == 0 for r in got if r.scan == 2.0)  # five edges; nothing falls beyond the last
     got = {(r.scan, r.pixel): r["diff"] for r in out["emission"].payload.collect()}
     a = np.array([r[9] for r in rows])
     g = int(a.sum((0, 1)).argmax())

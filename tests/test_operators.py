@@ -77,19 +77,25 @@ def test_empty_bins_get_rows_and_two_bins_no_spectrum(spark):
 
 def test_scattering_difference_equals_numpy(spark):
     rng = np.random.default_rng(5)
-    p = rng.uniform(1, 2, (40, 8))
-    p[3, 2] = NAN
-    rows = [(i % 3, i % 2 == 0, p[i].tolist()) for i in range(40)]
-    df = spark.createDataFrame(rows, "scan int, l boolean, p array<double>")
+    az = rng.uniform(1, 2, (60, 3, 8))
+    az[3, 1, 2] = az[7, 0] = NAN
+    xray, laser, scan = np.arange(60) % 5 != 0, np.arange(60) % 2 == 0, (np.arange(60) % 4).astype(float)
+    laser[scan == 1], laser[scan == 2] = True, False  # one-sided bins
+    dropped = scan == 3  # an empty one
+    rows = [(float(s), bool(x and y and not d), bool(x and not y and not d), bool(not x), p.tolist()) for s, x, y, d, p in zip(scan, xray, laser, dropped, az)]
+    df = spark.createDataFrame(rows, "scan double, l boolean, o boolean, dark boolean, az array<array<double>>")
     axis = [float(i) for i in range(8)]
-    out = profiles.scattering_difference(df, "p", axis, [0.5] * 8, "scan", F.col("l"), ~F.col("l"), 0.9, 5.5).collect()
-    q = p - 0.5
-    q = q / np.nanmean(q[:, 1:6], axis=1)[:, None]
+    out = profiles.scattering_difference(df, "az", axis, "scan", F.col("l"), F.col("o"), F.col("dark"), 0.9, 5.5).collect()
+    p = np.nansum(az, axis=1)
+    p = p - np.nanmean(p[~xray], axis=0)
+    with np.errstate(all="ignore"):
+        p = (p.T / np.nanmean(np.nanmean(az[..., 1:6], axis=-1), axis=-1)).T
+    assert len(out) == 4 * 8
     for r in out:
-        at = np.array([s == r.scan for s, _, _ in rows])
-        on = np.array([x for _, x, _ in rows])
-        want = np.nanmean(q[at & on, r.q_idx]) - np.nanmean(q[at & ~on, r.q_idx])
-        assert r["diff"] == pytest.approx(want)
+        at = (scan == r.scan) & xray & ~dropped
+        on, off = (np.nanmean(p[at & x, r.q_idx]) if (at & x).any() else NAN for x in (laser, ~laser))
+        assert (r.on is None) == np.isnan(on) and (r.off is None) == np.isnan(off)
+        assert r["diff"] == pytest.approx(np.nan_to_num(on) - np.nan_to_num(off))
 
 
 def test_dark_of_one_value_is_zero(spark):

@@ -5,14 +5,14 @@ from pyspark.sql import functions as F
 
 from shotframe.operators.ledger import Ledger, flatten
 from shotframe.plans import config
-from shotframe.plans.pipeline import COMPLETED, FAILED, PENDING, Graph, Task, display_path, html_report, lookup, register
+from shotframe.plans.pipeline import COMPLETED, FAILED, PENDING, WORKFLOWS, Graph, Task, display_path, html_report, lookup, register
 from shotframe.streaming import reductions
 
 
-@pytest.mark.parametrize("text,want", [("/p/{{ experiment }}/file_r{{ run:04d }}.in", "/p/X/file_r0012.in"), ("{{ run:04d }}", 12), ("out_{{ run }}_one", "out_12_one"), ("{{ Other.deep }}", "USE ME!"), ("{{ $RUNX:04d }}", 7), ("{{ $MISSING_X }}", "{{ $MISSING_X }}"), ("1e3", 1000.0)])
+@pytest.mark.parametrize("text,want", [("/p/{{ experiment }}/file_r{{ run:04d }}.in", "/p/X/file_r0012.in"), ("{{ run:04d }}", 12), ("out_{{ run }}_one", "out_12_one"), ("{{ Other.deep }}", "as it is"), ("{{ $RUNX:04d }}", 7), ("{{ $MISSING_X }}", "{{ $MISSING_X }}"), ("1e3", 1000.0)])
 def test_substitution(monkeypatch, text, want):
     monkeypatch.setenv("RUNX", "7")
-    tasks = {"T": {"a": text, "n": {"b": text}, "l": [text], "i": 3}, "Other": {"deep": "USE ME!"}}
+    tasks = {"T": {"a": text, "n": {"b": text}, "l": [text], "i": 3}, "Other": {"deep": "as it is"}}
     out = config.substitute({"experiment": "X", "run": 12}, tasks)
     assert out["T"]["a"] == want and out["T"]["n"]["b"] == want and out["T"]["l"] == [text] and out["T"]["i"] == 3
 
@@ -50,7 +50,7 @@ def test_tasks_and_graphs(spark):
 
 def test_report_and_paths(spark, tmp_path):
     path = html_report(str(tmp_path), "scan", {"t": spark.range(2)})
-    assert os.path.exists(path) and display_path("lxt_ttc", "12") == "time_scans/r0012" and display_path(None, "x") == "scans/r0000"
+    assert os.path.exists(path) and display_path("lxt_ttc", "12", "XAS") == "time_scans/0012_lxt_ttc_XAS" and display_path(None, "x") == "time_scans/0000_By_Event_XSS" and display_path("lens_v", 3, "XES") == "lens_scans/0003_lens_v_XES" and display_path("lxe_opa", 3) == "power_scans/0003_lxe_opa_XSS"
 
 
 def test_flatten():
@@ -85,3 +85,11 @@ def test_streams_equal_batches(spark, tmp_path):
     assert key(spark.table("mem_powder")) == key(reductions.powder_max(whole, F.col("n")))
     reductions.run_to_memory(reductions.stream_run_sums(live, F.col("n") == 0), "mem_sums")
     assert key(spark.table("mem_sums")) == key(reductions.run_sums(whole, F.col("n") == 0))
+
+
+def test_unknown_tasks_fail_and_shipped_graphs_know_theirs(spark):
+    from shotframe.plans import analyses  # noqa: F401  registers the tasks
+
+    out = Graph({"no such task": [], "after": ["no such task"]}).run(spark, {})
+    assert out["no such task"].task_status == FAILED and out["after"].task_status == PENDING
+    assert all(lookup(name) for g in WORKFLOWS.values() for name in g.needs)
