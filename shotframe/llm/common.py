@@ -21,10 +21,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A fresh folder under spark.checkpoint.dir; a temporary one only where that is unset."""
+    """A fresh folder under spark.checkpoint.dir. Where that is unset, a temporary one in local mode; on a cluster,
+    whose machines would not see it, an error."""
     top = spark.conf.get("spark.checkpoint.dir", "")
     if not top:
-        top = _OWN.setdefault("dir", tempfile.mkdtemp(prefix="spark-shotframe-"))
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if "dir" not in _OWN:
+            _OWN["dir"] = tempfile.mkdtemp(prefix="spark-shotframe-")
+        top = _OWN["dir"]
     return f"{top.rstrip('/')}/shotframe-{uuid.uuid4().hex}"
 
 

@@ -3,6 +3,7 @@ compared from the root, and only mismatching branches are descended, down to the
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from hashlib import sha256
@@ -17,13 +18,16 @@ from .common import materialize
 
 #: Children of a node.
 FANOUT = 16
+#: The length of what lies behind a file's last record, whatever it is.
+TO_END = -1
 NAME = "part-{:06d}.warc.gz"
 
 
-def record(url: Column, body: Column, date: str = "2024-01-01T00:00:00Z") -> Column:
-    """A WARC/1.0 resource record of a page, as UTF-8 text; null url or body is empty."""
-    url, body = F.coalesce(url, F.lit("")), F.coalesce(body, F.lit(""))
-    own = F.md5(F.concat_ws("\n", url, body).cast("binary"))
+def record(url: Column, body: Column, named: Column, date: str = "2024-01-01T00:00:00Z") -> Column:
+    """A WARC/1.0 resource record of a page, as UTF-8 text; null url or body is empty, and white space and control
+    characters of a url are left out. named goes into the record's id beside url and body."""
+    url, body = F.regexp_replace(F.coalesce(url, F.lit("")), r"[\x00-\x20\x7f]", ""), F.coalesce(body, F.lit(""))  # a header holds no line break
+    own = F.md5(F.concat_ws("\n", named, url, body).cast("binary"))
     uuid = F.concat_ws("-", *[F.substring(own, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
     head = [F.lit("WARC/1.0"), F.lit("WARC-Type: resource"), F.concat(F.lit("WARC-Target-URI: "), url), F.lit(f"WARC-Date: {date}"), F.concat(F.lit("WARC-Record-ID: <urn:uuid:"), uuid, F.lit(">")), F.lit("Content-Type: text/html"), F.concat(F.lit("Content-Length: "), F.octet_length(body).cast("string")), F.lit("")]
     return F.concat(F.concat_ws("\r\n", *head), F.lit("\r\n"), body, F.lit("\r\n\r\n"))
@@ -34,7 +38,7 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
     (its number in the file), id, offset and length. A file is moved into place when whole, so a task
     that runs twice does no harm. Null ids come first; repeated rows are written each, ordered by content. An
     empty table gives no files. Other columns are not read."""
-    rows = pages.select(F.col(id_col).cast("long").alias("id"), record(F.col(url_col), F.col(body_col)).alias("record"))
+    rows = pages.select(F.col(id_col).cast("long").alias("id"), record(F.col(url_col), F.col(body_col), F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("record"))
     parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,11 +125,16 @@ def leaves(manifest: DataFrame, folder: str) -> DataFrame:
                         f = store.open_input_file(f"{top}/{NAME.format(file)}")
                     except FileNotFoundError:
                         f = None
-                data = b""
+                own, end = sha256(b"\0"), offset + length
                 if f is not None and offset < f.size():
                     f.seek(offset)
-                    data = f.read(length)
-                out.append((file, seq, offset, offset + length, sha256(b"\0" + data).hexdigest()))
+                    if length == TO_END:
+                        while data := f.read(1 << 20):
+                            own.update(data)
+                        end = f.size()
+                    else:
+                        own.update(f.read(length))
+                out.append((file, seq, offset, end, own.hexdigest()))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if k == 4 else pa.int64()) for k, c in enumerate(zip(*out, strict=True))], ["file", "node", "start", "end", "hash"])
         if f is not None:
@@ -157,10 +166,30 @@ def merkle_root(roots: DataFrame) -> str:
             return some[0].hash if some else sha256(b"").hexdigest()
 
 
+def _with_tails(manifest: DataFrame, folders: tuple[str, ...]) -> DataFrame:
+    """The manifest, for each file a row of what lies behind its last record, and a row for each file of the folders
+    that the manifest does not name. Names of files, no more, are listed on the driver."""
+    found = set()
+    for folder in folders:
+        store, top = fs.FileSystem.from_uri(folder)
+        names = (x.base_name for x in store.get_file_info(fs.FileSelector(top, allow_not_found=True)))
+        found |= {int(m[1]) for m in map(re.compile(r"part-(\d+)\.warc\.gz").fullmatch, names) if m}
+    spark = manifest.sparkSession
+    tails = manifest.groupBy("file").agg((F.max("seq") + 1).alias("seq"), F.max(F.col("offset") + F.col("length")).alias("offset"))
+    present = spark.createDataFrame([(x,) for x in sorted(found)], "file long")
+    more = present.join(tails, "file", "left_anti").select("file", F.lit(0).cast("long").alias("seq"), F.lit(0).cast("long").alias("offset"))
+    rows = tails.select("file", "seq", "offset").union(more).select("file", "seq", F.lit(None).cast("long").alias("id"), "offset", F.lit(TO_END).cast("long").alias("length"))
+    return materialize(manifest.select("file", "seq", "id", "offset", "length").union(rows), "places")
+
+
 def audit(manifest: DataFrame, folder: str, replica: str) -> DataFrame:
-    """Compares a replica with the folder: one row per record of the manifest with its hash in either, and damaged.
+    """Compares a replica with the folder: one row per record of the manifest with its hash in either, and damaged;
+    and a row with null id and length for each file that has other bytes behind its last record, or that the
+    manifest does not name and that differs.
 
-    Equal roots end the audit; else each level's nodes are compared only under parents that differ."""
+    Null and repeated ids keep a row per record, since places name them; an empty manifest and empty folders give
+    no rows. Equal roots end the audit; else each level's nodes are compared only under parents that differ."""
+    manifest = _with_tails(manifest, (folder, replica))
     top = manifest.agg(F.max("seq")).first()[0] or 0
     depth = 1
     while FANOUT**depth <= top:
@@ -176,6 +205,6 @@ def audit(manifest: DataFrame, folder: str, replica: str) -> DataFrame:
             differ = a.select("file", "node", "hash").join(b.select("file", "node", F.col("hash").alias("other")), ["file", "node"]).where("hash <> other").select("file", "node", "other")
     out = manifest.join(left[0].select("file", F.col("node").alias("seq"), "hash"), ["file", "seq"])
     if differ is None:
-        return out.withColumn("replica_hash", F.col("hash")).withColumn("damaged", F.lit(False))
+        return out.where(F.col("length") != TO_END).withColumn("replica_hash", F.col("hash")).withColumn("damaged", F.lit(False))
     found = differ.select("file", F.col("node").alias("seq"), "other")
-    return out.join(found, ["file", "seq"], "left").withColumn("replica_hash", F.coalesce("other", "hash")).withColumn("damaged", F.col("other").isNotNull()).drop("other")
+    return out.join(found, ["file", "seq"], "left").withColumn("replica_hash", F.coalesce("other", "hash")).withColumn("damaged", F.col("other").isNotNull()).drop("other").where((F.col("length") != TO_END) | F.col("damaged")).withColumn("length", F.when(F.col("length") != TO_END, F.col("length")))

@@ -586,6 +586,12 @@ def test_warc_audit(spark, tmp_path):
     warc.copy_warc(manifest, a, c, lambda i, x: bytes([x[0] ^ 1]) + x[1:] if i in (5, 77, 299) else x)
     out = warc.audit(manifest, a, c)
     assert sorted(r.id for r in out.where("damaged").collect()) == [5, 77, 299] and out.count() == 300
+    warc.copy_warc(manifest, a, f"{b}2")
+    with open(sorted((tmp_path / "b2").iterdir())[1], "ab") as f:
+        f.write(b"more")  # behind the last record
+    (tmp_path / "b2" / "part-000777.warc.gz").write_bytes(b"a file too many")
+    out = warc.audit(manifest, a, f"{b}2")
+    assert out.count() == 302 and {(r.file, r.id, r.length) for r in out.where("damaged").collect()} == {(1, None, None), (777, None, None)}
     next(iter(sorted((tmp_path / "c").iterdir()))).unlink()  # a lost file: all of its records
     lost = {r.id for r in warc.audit(manifest, a, c).where("damaged").collect()}
     assert lost == {5, 77, 299} | {r.id for r in manifest.where("file = 0").collect()}
