@@ -452,7 +452,11 @@ def fit_overlap_gaussian(spark: SparkSession, d: str) -> DataFrame:
     return fits.gaussian_fits(curve, ["curve"], "x", "y")
 
 
-@query()
+@query(f"""WITH {SHOTS}, c AS (SELECT user_id % 4 AS curve, scan, avg(ipm) AS y FROM shots GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY curve ORDER BY scan) - 1 AS i, count(*) OVER (PARTITION BY curve) AS n FROM c),
+t AS (SELECT a.curve, a.scan, sum(b.y) AS s FROM r AS a JOIN r AS b ON a.curve = b.curve AND b.i BETWEEN (a.n - 1) // 2 + a.i - a.n // 2 + 1 AND (a.n - 1) // 2 + a.i GROUP BY ALL),
+m AS (SELECT curve, max(s) AS top FROM t GROUP BY curve)
+SELECT t.curve, CAST(min(scan) AS DOUBLE) AS t0 FROM t JOIN m ON t.curve = m.curve AND s >= top - 1e-9 GROUP BY t.curve""")
 def convolution_t0(spark: SparkSession, d: str) -> DataFrame:
     curve = shots(spark, d).groupBy((F.col("user_id") % 4).alias("curve"), "scan").agg(F.avg("ipm").alias("y")).withColumn("x", F.col("scan").cast("double"))
     return fits.step_times(curve, ["curve"], "x", "y")
@@ -494,8 +498,7 @@ def ledger_latest_for_run(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {LEDGER} SELECT coalesce((SELECT arg_max(out_value, id) FROM entries WHERE valid_flag = 1 AND tag = 'none'), (SELECT arg_max(out_value, id) FROM entries WHERE valid_flag = 1 AND tag = '1-URGENT')) AS out_value")
 def ledger_latest_with_fallback(spark: SparkSession, d: str) -> DataFrame:
     e = entries(spark, d)
-    a, b = (ledger.latest_entry(e.where(F.col("tag") == t), "out_value").withColumnRenamed("out_value", n) for t, n in (("none", "a"), ("1-URGENT", "b")))
-    return a.crossJoin(b).select(F.coalesce("a", "b").alias("out_value"))  # one row each
+    return ledger.first_known([ledger.latest_entry(e.where(F.col("tag") == t), "out_value") for t in ("none", "1-URGENT")], "out_value")
 
 
 @query(f"WITH {LEDGER} SELECT e.id, e.status, e.valid_flag, gen.experiment AS gen_experiment, gen.run AS gen_run, exe.env AS exec_env FROM entries AS e JOIN gen ON e.gen_cfg_id = gen.id JOIN exe ON e.exec_cfg_id = exe.id")
@@ -548,11 +551,10 @@ def text_lines_concat(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT l_orderkey AS k, l_linenumber AS n, round(10 / l_quantity, 6) AS resolution, l_discount AS value FROM lineitem")
 def shell_table_parse(spark: SparkSession, d: str) -> DataFrame:
-    text = F.concat_ws("  ", F.lit(""), "l_quantity", "l_discount", "l_tax")
-    rows = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n"), text.alias("line"))
-    parts = F.split(F.trim("line"), r"\s+")
-    t = rows.select("k", "n", F.transform(parts, lambda x: x.try_cast("double")).alias("columns"))
-    return t.select("k", "n", F.round(F.lit(10.0) / F.get("columns", F.lit(0)), 6).alias("resolution"), F.get("columns", F.lit(1)).alias("value"))
+    line = F.concat_ws("  ", F.lit(""), "l_quantity", "l_discount", "l_tax")
+    rows = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n"), line.alias("line"))
+    shells = textscan.shells(textscan.shell_table(rows, keep=("k", "n")), keep=("k", "n"))
+    return shells.withColumn("resolution", F.round("resolution", 6))
 
 
 @query("SELECT c_custkey AS id, c_mktsegment || '_Run' || lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') AS name FROM customer")

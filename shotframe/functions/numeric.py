@@ -64,12 +64,16 @@ def step_time(x: np.ndarray, y: np.ndarray) -> float:
     return float(x[int(np.argmax(step_response(y)))]) if len(x) else float("nan")
 
 
-def fwhm(x: np.ndarray, y: np.ndarray) -> float:
-    """Distance of the two crossings of half the maximum; of a fitted gaussian if there are not just two."""
+def fwhm(x: np.ndarray, y: np.ndarray, places: np.ndarray | None = None) -> float:
+    """Distance of the two crossings of half the maximum, along places if given; of a gaussian fitted over x if there
+    are not just two."""
+    if not len(y):
+        return float("nan")
+    along = x if places is None else places
     d = y - y.max() / 2
     cross = np.flatnonzero(d[:-1] * d[1:] < 0)
     if len(cross) == 2:
-        roots = x[cross] - d[cross] * (x[cross + 1] - x[cross]) / (d[cross + 1] - d[cross])
+        roots = along[cross] - d[cross] * (along[cross + 1] - along[cross]) / (d[cross + 1] - d[cross])
         return float(roots[1] - roots[0])
     return fit_gaussian(x, y)["sigma"] * float(np.sqrt(8 * np.log(2)))
 

@@ -38,6 +38,12 @@ def ccm_edges(df: DataFrame, readback: str, set_point: str | None) -> list[float
     return midpoint_edges(df, set_point) if set_point and set_point in df.columns else unique_edges(df, readback)
 
 
+def bin_names(edges: list[float], lower: bool = False) -> list[float]:
+    """What bins are called: their centres, or (lower) their lower edges with the last edge as one bin more, which
+    nothing falls into."""
+    return list(edges) if lower else [(a + b) / 2 for a, b in zip(edges, edges[1:], strict=False)]
+
+
 def distinct_values(df: DataFrame, column: str, fill_nan: bool = True) -> DataFrame:
     """(bin, value) of the distinct values in order; a NaN counts as 0, as it does where scans are cleaned first."""
     c = F.col(column).cast("double")

@@ -33,6 +33,17 @@ def step_times(curves: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
     return _per_curve(curves, keys, x, y, "t0 double", lambda a, b: {"t0": K.step_time(a, b)})
 
 
+def step_traces(curves: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
+    """Keys, trace (the curve convolved with a step), center (place of its maximum), t0 and fwhm, the width counted in
+    bins where the trace crosses half its maximum twice."""
+
+    def fit(a: np.ndarray, b: np.ndarray) -> dict:
+        trace = K.step_response(b)
+        return {"trace": trace.tolist(), "center": int(trace.argmax()), "t0": K.step_time(a, b), "fwhm": K.fwhm(a, trace, np.arange(len(a), dtype=float))}
+
+    return _per_curve(curves, keys, x, y, "trace array<double>, center int, t0 double, fwhm double", fit)
+
+
 def overlap(curves: DataFrame, keys: list[str], x: str, y: str, scan_name: str) -> DataFrame:
     """A step for laser timing scans (lxt in the name), a gaussian for others."""
     return step_times(curves, keys, x, y) if "lxt" in scan_name else gaussian_fits(curves, keys, x, y)

@@ -24,6 +24,13 @@ def _per_image(shots: DataFrame, image: str, name: str, kind: str, arrow: pa.Dat
     return shots.mapInArrow(run, schema)
 
 
+def stacked(shots: DataFrame, *steps: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Shots through several reductions, each seeing the columns that the ones before it made."""
+    for step in steps:
+        shots = shots.transform(step)
+    return shots
+
+
 def groups(mask: np.ndarray) -> tuple[np.ndarray, int]:
     """Numbers of the connected groups (sides touching) of a mask, from 1 on."""
     label = np.zeros(mask.shape, int)

@@ -141,6 +141,21 @@ def latest_entry(task: DataFrame, parameter: str, valid_only: bool = True, gen:
     return t.agg(F.max_by(F.col(f"`{parameter}`"), "id").alias(parameter))
 
 
+def selected(rows: DataFrame, column: str, conditions: dict[str, Any] | None = None) -> DataFrame:
+    """The column of the rows that meet all conditions; a condition of None is met by null."""
+    for k, v in (conditions or {}).items():
+        rows = rows.where(F.col(f"`{k}`").eqNullSafe(F.lit(v)))
+    return rows.select(F.col(f"`{column}`").alias(column))
+
+
+def first_known(lookups: list[DataFrame], name: str) -> DataFrame:
+    """One row: the value of the first lookup (each one row of one column) that found any."""
+    from functools import reduce
+
+    one = [x.toDF(f"_{i}") for i, x in enumerate(lookups)]
+    return reduce(DataFrame.crossJoin, one).select(F.coalesce(*[f"_{i}" for i in range(len(one))]).alias(name))  # one row each
+
+
 def linked(task: DataFrame, gen: DataFrame, run: DataFrame) -> DataFrame:
     """Entries with the columns of their header and execution settings, under gen_ and exec_."""
     g = gen.select(*[F.col(f"`{c}`").alias(f"gen_{c}") for c in gen.columns])

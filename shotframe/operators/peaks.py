@@ -66,6 +66,11 @@ def find_peaks(shots: DataFrame, image: str = "image", npix_min: int = 2, npix_m
     return shots.mapInArrow(found, schema).withColumn("n_peaks", F.size("peaks"))
 
 
+def image_counts(shots: DataFrame, image: str = "image") -> DataFrame:
+    """One row: events, and those without an image, which the finder passes over."""
+    return shots.agg(F.count("*").alias("events"), F.count_if(F.col(image).isNull()).alias("no_image"))
+
+
 def hits(shots: DataFrame, min_peaks: int = 2, max_peaks: int = 2048, n_peaks: str = "n_peaks") -> DataFrame:
     return shots.where(F.col(n_peaks).between(min_peaks, max_peaks))
 

@@ -48,10 +48,10 @@ def indexing_rate(lines: DataFrame, line: str = "line") -> DataFrame:
     return c.select("n_indexed", "n_chunks", rate(F.col("n_indexed"), F.col("n_chunks")).alias("rate"))
 
 
-def shell_table(lines: DataFrame, line: str = "line") -> DataFrame:
-    """(columns: array of double) of the lines that begin with a number; others, as the header, are left out."""
+def shell_table(lines: DataFrame, line: str = "line", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(keep, columns: array of double) of the lines that begin with a number; others, as the header, are left out."""
     parts = F.split(F.trim(line), r"\s+")
-    return lines.select(F.transform(parts, lambda x: x.try_cast("double")).alias("columns")).where(F.get("columns", F.lit(0)).isNotNull())
+    return lines.select(*keep, F.transform(parts, lambda x: x.try_cast("double")).alias("columns")).where(F.get("columns", F.lit(0)).isNotNull())
 
 
 def figure_of_merit(header: str) -> str:
@@ -59,9 +59,9 @@ def figure_of_merit(header: str) -> str:
     return header.split()[2]
 
 
-def shells(table: DataFrame) -> DataFrame:
+def shells(table: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """(resolution in Angstrom, value) of each shell; the first column is in 1/nm."""
-    return table.select((F.lit(10.0) / F.nullif(F.get("columns", F.lit(0)), F.lit(0.0))).alias("resolution"), F.get("columns", F.lit(1)).alias("value"))
+    return table.select(*keep, (F.lit(10.0) / F.nullif(F.get("columns", F.lit(0)), F.lit(0.0))).alias("resolution"), F.get("columns", F.lit(1)).alias("value"))
 
 
 def with_peak_lists(lines: DataFrame, line: str = "line", order: str = "line_no") -> DataFrame:
@@ -93,3 +93,22 @@ def run_name(experiment: Column, run: Column) -> Column:
 def number_or_text(c: Column) -> Column:
     """A whole number, else a number, else the text itself, each as text in its plain form."""
     return F.coalesce(F.when(c.rlike("^[0-9]+$"), c.try_cast("bigint").cast("string")), c.try_cast("double").cast("string"), c)
+
+
+def base_name(path: Column) -> Column:
+    """What follows the last slash."""
+    return F.substring_index(path, "/", -1)
+
+
+def folder_name(path: Column) -> Column:
+    """What precedes the last slash; empty without one."""
+    return F.regexp_extract(path, r"^(.*)/[^/]*$", 1)
+
+
+def extension(path: Column) -> Column:
+    """The last dot of a file's name and what follows; empty without one, or if the name only begins with it."""
+    return F.regexp_extract(base_name(path), r"^.+(\.[^.]*)$", 1)
+
+
+def last_token(c: Column, separator: str) -> Column:
+    return F.substring_index(c, separator, -1)

@@ -38,7 +38,7 @@ def _binned(s: DataFrame, name: str | None, bins: int, lower: bool = False) -> t
     if name is None or "lxt_fast" not in name:
         return s, s
     edges = binning.equal_width_edges(s, "scan", bins)
-    names = edges if lower else [(a + b) / 2 for a, b in zip(edges, edges[1:], strict=False)]
+    names = binning.bin_names(edges, lower)
     at = binning.assign_bin(F.col("scan"), edges)
     s = s.withColumn("scan", F.get(F.array(*map(F.lit, names)), at)) if names else s
     return s, s.sparkSession.createDataFrame([(float(x),) for x in names], "scan double")

@@ -35,6 +35,7 @@ class Task:
     before: list[Callable[[dict], Any]] = field(default_factory=list)
     after: list[Callable[[Any], Any]] = field(default_factory=list)
     hooks: dict[str, list[Callable[[str, Any], None]]] = field(default_factory=dict)
+    result_from: str | None = None  #: the parameter that is the result, as of a task that writes a file it was given
 
     def hook(self, signal: str, call: Callable[[str, Any], None]) -> Task:
         self.hooks.setdefault(signal, []).append(call)
@@ -52,6 +53,8 @@ class Task:
             for step in self.before:
                 step(parameters)
             result.payload = self.transform(spark, parameters)
+            if self.result_from is not None:
+                result.payload = parameters[self.result_from]
             parts = [step(result.payload) for step in self.after]
             result.summary = ";".join(f"{k}: {v}" for p in parts if isinstance(p, dict) for k, v in p.items() if v not in (None, ""))
             result.task_status = COMPLETED
@@ -135,6 +138,30 @@ WORKFLOWS = {
 }
 
 
+#: Parameters that may be left empty, and where the ledger has their value: a task and a column, in order of preference.
+LINEAGE = {
+    ("scattering", "path"): [("shots", "result.payload")],
+    ("overlap", "path"): [("shots", "result.payload"), ("scattering", "path")],
+    ("absorption", "path"): [("shots", "result.payload"), ("scattering", "path")],
+    ("absorption_scan", "path"): [("shots", "result.payload"), ("absorption", "path")],
+    ("emission", "path"): [("shots", "result.payload"), ("scattering", "path")],
+    ("concatenate", "in_dir"): [("find_peaks", "out")],
+    ("concatenate", "tag"): [("find_peaks", "tag")],
+}
+
+
+def filled(ledger: Any, task: str, values: dict[str, Any], run: Any = None, experiment: str | None = None) -> dict[str, Any]:
+    """Parameters with the empty ones taken from the last valid entry of the run that has them; the rest as they are."""
+    out = dict(values)
+    for (name, parameter), sources in LINEAGE.items():
+        if name == task and out.get(parameter) in (None, ""):
+            found = (ledger.latest(t, column, run=run, experiment=experiment) for t, column in sources)
+            value = next((v for v in found if v not in (None, "")), None)
+            if value is not None:
+                out[parameter] = value
+    return out
+
+
 def last_result(entries: DataFrame, task_output: str = "path") -> str | None:
     """The output of the latest valid entry of a task in the ledger, as default for a parameter left empty."""
     from shotframe.operators.ledger import latest_entry
@@ -148,8 +175,10 @@ def html_report(path: str, title: str, tables: dict[str, DataFrame], rows: int =
     parts = [f"<h1>{html.escape(title)}</h1>"]
     for name, df in tables.items():
         head = "".join(f"<th>{html.escape(c)}</th>" for c in df.columns)
-        body = "".join("<tr>" + "".join(f"<td>{html.escape(str(v))}</td>" for v in r) + "</tr>" for r in df.limit(rows).collect())
-        parts.append(f"<h2>{html.escape(name)}</h2><table><tr>{head}</tr>{body}</table>")
+        found = df.limit(rows + 1).collect()
+        body = "".join("<tr>" + "".join(f"<td>{html.escape(str(v))}</td>" for v in r) + "</tr>" for r in found[:rows])
+        more = f"<p>The first {rows} rows; there are more.</p>" if len(found) > rows else ""
+        parts.append(f"<h2>{html.escape(name)}</h2><table><tr>{head}</tr>{body}</table>{more}")
     to = Path(path) / title / "report.html"
     to.parent.mkdir(parents=True, exist_ok=True)
     to.write_text("<!doctype html><meta charset=utf-8>" + "".join(parts))

@@ -68,9 +68,14 @@ def read_hdf5(spark: SparkSession, path: str, columns: list[str] | None = None,
     return spark.range(0, total, 1, partitions).mapInPandas(read, schema)
 
 
+def numbers(line: Column, separator: str = ",") -> Column:
+    """The numbers of a delimited line; null where a part is none."""
+    return F.transform(F.split(line, separator), lambda x: F.trim(x).try_cast("double"))
+
+
 def read_numbers(spark: SparkSession, path: str, separator: str = ",") -> DataFrame:
     """Delimited numbers as (line_text, values)."""
-    return spark.read.text(path).select(F.col("value").alias("line_text"), F.transform(F.split("value", separator), lambda x: F.trim(x).try_cast("double")).alias("values"))
+    return spark.read.text(path).select(F.col("value").alias("line_text"), numbers(F.col("value"), separator).alias("values"))
 
 
 def sniff(path: str) -> str:
@@ -89,6 +94,13 @@ def read_image(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame(pd.DataFrame({"row": r.ravel(), "col": c.ravel(), "value": image.ravel().astype(float)}))
 
 
+def read_mask(spark: SparkSession, path: str | None) -> DataFrame | None:
+    """(row, col, value) of a mask file, Parquet or .npy; None without one."""
+    if not path:
+        return None
+    return read_image(spark, path) if path.endswith(".npy") else spark.read.parquet(path).select("row", "col", "value")
+
+
 def write_hits(hits: DataFrame, folder: str, peaks_col: str = "peaks") -> None:
     """Hits as Parquet: files of tasks together are the whole table, so there is no master to build."""
     hits.write.mode("overwrite").parquet(f"{folder}/hits")

@@ -24,7 +24,8 @@ def stream_run_sums(pixels: DataFrame, dropped: Column, keys: tuple[str, ...] =
 
 
 def stream_hit_counts(shots: DataFrame, hit: Column, time: str = "ts", window: str = "1 hour", late: str = "10 minutes") -> DataFrame:
-    """(start, events, hits) by window of event time; shots later than the watermark are left out."""
+    """(start, events, hits) by window of event time. In append and update mode shots later than the watermark are left
+    out and windows leave the state; complete mode keeps all windows and takes late shots too."""
     timed = shots.withColumn(time, F.col(time).cast("timestamp"))  # watermarks need an instant
     by = timed.withWatermark(time, late).groupBy(F.window(time, window))
     return by.agg(F.count("*").alias("events"), F.count_if(hit).alias("hits")).select(F.col("window.start").alias("start"), "events", "hits")
@@ -38,6 +39,26 @@ def run_to_memory(df: DataFrame, name: str, mode: str = "complete", checkpoint:
     return query
 
 
+def run_to_files(df: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
+    """All data that is there now, as Parquet files: windows once the watermark has passed their end. The last ones follow
+    with later data, from the checkpoint."""
+    query = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(folder)
+    query.awaitTermination()
+    return query
+
+
+def progress_step(number: Column) -> Column:
+    """Whether a running count is one to report: each tenth of the first hundred, hundredth of the first thousand,
+    thousandth from then on."""
+    each = lambda n: number % n == 0
+    return ((number < 100) & each(10)) | ((number < 1000) & each(100)) | each(1000)
+
+
+def counted(df: DataFrame, name: str, hit: Column) -> DataFrame:
+    """df with its counts of events and hits observed under a name, for listeners: no pass of its own."""
+    return df.observe(name, F.count(F.lit(1)).alias("events"), F.count_if(hit).alias("hits"))
+
+
 def once_first(save, each):
     """A foreachBatch function: save sees the first batch, each sees every one."""
 
