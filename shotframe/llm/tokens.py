@@ -15,6 +15,8 @@ from itertools import chain
 
 import numpy as np
 
+from .windows import span_hashes
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Words that a worker's table holds; when it is full, those not met since it was last full make room.
@@ -27,8 +29,7 @@ SPACE, LETTER, NUMBER, OTHER, ODD, BREAK = range(6)
 _BREAK = CODES
 #: Stands between words; later than all code points of an alphabet.
 _MARK = "\U0010ffff"
-_UP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-_POWERS: list[np.ndarray] = []
+_KEYS = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def vocabulary(name: str) -> str:
@@ -37,19 +38,6 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def _powers(n: int) -> list[np.ndarray]:
-    """Powers of the two odd bases modulo 2**64, and of their inverses."""
-    if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, 1 << 20) + 2
-        _POWERS[:] = [np.cumprod(np.concatenate(([np.uint64(1)], np.full(size - 1, x, np.uint64)))) for b in _UP for x in (int(b), pow(int(b), -1, 1 << 64))]
-    return _POWERS
-
-
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(29))
-
-
 @dataclass(frozen=True)
 class Alphabet:
     """Of a vocabulary's pre-tokenizer: the class of each code point, what the normalizer makes of it (None: it has
@@ -251,14 +239,8 @@ class WordEncoder:
             c = self.letters.lower[c]
         begin, end = self._tokens(c, kind)
         word_owner = np.searchsorted(np.cumsum(sizes + 1), begin, side="right")
-        h = []
-        up1, down1, up2, down2 = _powers(len(c))
-        for up, down in ((up1, down1), (up2, down2)):
-            sums = np.empty(len(c) + 1, np.uint64)
-            sums[0] = 0
-            np.cumsum((c + np.uint64(1)) * up[: len(c)], out=sums[1:])
-            h.append(_mixed((sums[end] - sums[begin]) * down[begin] ^ (end - begin).astype(np.uint64) << np.uint64(40)))
-        h, check = h
+        raw_words = c.tobytes()
+        h, check = (span_hashes(raw_words, 4 * begin, 4 * end, key) for key in _KEYS)
         h[h == 0] = 1
         slot = self.table.find(h, check)
         missing = np.flatnonzero(slot < 0)

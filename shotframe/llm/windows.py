@@ -1,54 +1,65 @@
 """Hashes of words and of word windows over many documents at once, and their exchange in blocks.
 
-A word is a maximal run of bytes other than 0x20 and 0x09-0x0D. Word hashes come from one prefix sum
-over the bytes (a Rabin-Karp fingerprint modulo 2^64, then mixed); window hashes roll over word hashes.
+A word is a maximal run of bytes other than 0x20 and 0x09-0x0D. A word's hash takes eight bytes at a time, each
+step a keyed mix of all that came before (so no arithmetic of bytes survives to collide by structure), and a long
+word's comes from BLAKE2; window hashes roll over word hashes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 
-_MASK = (1 << 64) - 1
-_BASE = 0x9E3779B97F4A7C15
+_KEY = np.uint64(0x9E3779B97F4A7C15)
 _ROLL = np.uint64(0xD1342543DE82EF95)
-#: For a second hash of the same windows, independent of the first.
+#: For a second hash of the same windows.
 _CHECK = np.uint64(0xAF251AF3B0F025B5)
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
-_POWERS: list[np.ndarray] = []
+#: Keeps the first 0 to 8 bytes of a little-endian word.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
+#: Words of more bytes are hashed by BLAKE2.
+LONG_WORD = 256
 LOW56 = np.uint64((1 << 56) - 1)
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, 1 << 21)
-        _POWERS[:] = [np.cumprod(np.concatenate(([np.uint64(1)], np.full(size - 1, x, np.uint64)))) for x in (_BASE, pow(_BASE, -1, 1 << 64))]
-    return _POWERS[0], _POWERS[1]
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return h ^ (h >> np.uint64(31))
 
 
+def span_hashes(joined: bytes, starts: np.ndarray, ends: np.ndarray, key: np.uint64 = _KEY) -> np.ndarray:
+    """64-bit hash of joined[start:end] for each pair. Spans of up to eight bytes never collide with one of their length."""
+    padded = np.frombuffer(joined + bytes(8), np.uint8)
+    eight = np.ndarray((len(joined) + 1,), "<u8", padded.data, 0, (1,))  # the eight bytes from each place on
+    size = (ends - starts).astype(np.int64)
+    h = mix(size.astype(np.uint64) * _ROLL ^ key)
+    active = np.flatnonzero(size <= LONG_WORD)
+    at = 0
+    while len(active):
+        block = eight[starts[active] + at] & _FIRST[np.minimum(size[active] - at, 8)]
+        h[active] = mix(h[active] ^ block) + key
+        at += 8
+        active = active[size[active] > at]
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        h[i] = int.from_bytes(blake2b(joined[starts[i] : ends[i]], digest_size=8, key=key.tobytes()).digest(), "little")
+    return h
+
+
 def word_hashes(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each word of all texts in order, and the number of words of each text."""
     joined = b" ".join(texts) + b" "
-    buf = np.frombuffer(joined.lower() if lower else joined, np.uint8)  # bytes.lower() is A-Z only
-    word = np.concatenate(([0], (~_SPACE[buf]).view(np.int8), [0]))
+    if lower:
+        joined = joined.lower()  # of bytes: A-Z only
+    word = np.concatenate(([0], (~_SPACE[np.frombuffer(joined, np.uint8)]).view(np.int8), [0]))
     step = np.diff(word)
     starts, ends = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
     begins = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
     counts = np.diff(np.searchsorted(starts, begins))
-    up, down = _powers(len(buf))
-    sums = np.empty(len(buf) + 1, np.uint64)
-    sums[0] = 0
-    np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * up[: len(buf)], out=sums[1:])
-    h = (sums[ends] - sums[starts]) * down[starts]
-    return mix(h ^ ((ends - starts).astype(np.uint64) << np.uint64(40))), counts
+    return span_hashes(joined, starts, ends), counts
 
 
 def rolled(h: np.ndarray, k: int, base: np.uint64 = _ROLL) -> np.ndarray:
