@@ -3,13 +3,13 @@ one-versus-one linear support vector machines tell the languages within it apart
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
@@ -27,7 +27,7 @@ FAMILIES = {
 }
 #: Hashed features: byte bigrams and trigrams, each in half of the space.
 DIMS = 1 << 13
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 #: The trigram of three spaces, which tells nothing.
 _BLANK = 0x202020
 #: From so many texts of a language on, a trigram is known if two of them hold it: one odd text makes nothing known.
@@ -156,8 +156,8 @@ class Tree:
 
 def fit(docs: DataFrame, per_language: int = 250, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Tree:
     """Learns from a sample of about per_language rows of each language (rows with null lang or text are left
-    out): those whose hashed id falls below the share that is needed, so the sample does not depend on the
-    order of rows. Each machine is fitted by a task of its own, from two samples a side at most; the driver gets
+    out): those whose hash of id and text falls below the share that is needed, so the sample does not depend on
+    the order of rows, nor on ids that are null or repeat; repeated texts of a language count once. Each machine is fitted by a task of its own, from two samples a side at most; the driver gets
     its DIMS weights, and of each language the trigrams that it knows."""
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     sizes = {r.lang: r["count"] for r in known.groupBy("lang").count().orderBy("lang").collect()}
@@ -166,7 +166,7 @@ def fit(docs: DataFrame, per_language: int = 250, id_col: str = "doc_id", text_c
         return Tree([])
     tree = Tree(langs)
     share = F.coalesce(*[F.when(F.col("lang") == v, F.lit(min(1.0, per_language / sizes[v]))) for v in langs])
-    draw = F.pmod(F.xxhash64(F.coalesce("id", F.lit(0)), F.lit("langid")), F.lit(1 << 30)) / float(1 << 30)
+    draw = F.pmod(F.xxhash64(F.coalesce("id", F.lit(0)), F.lit("langid"), "text"), F.lit(1 << 30)) / float(1 << 30)
     duties = {v: tree.duties(v) for v in langs}
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,7 +196,7 @@ def fit(docs: DataFrame, per_language: int = 250, id_col: str = "doc_id", text_c
             w = (w / scale).astype(np.float32)
         return pa.table({"machine": pa.array([machine], pa.int32()), "w": pa.array([w.tobytes()], pa.binary()), "bias": pa.array([c], pa.float64())})
 
-    rows = known.where(draw < share).select("lang", "text").mapInArrow(features, "machine int, side int, at binary, x binary")
+    rows = known.where(draw < share).select("lang", "text").distinct().mapInArrow(features, "machine int, side int, at binary, x binary")
     for machine, w, bias in zip(*(c.to_pylist() for c in rows.groupBy("machine").applyInArrow(learned, "machine int, w binary, bias double").toArrow().columns), strict=True):
         if machine < 0:
             tree.known[langs[-1 - machine]] = np.frombuffer(w, np.uint32)
