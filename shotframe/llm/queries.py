@@ -9,6 +9,7 @@ from .common import shared_dir, table
 from .decontam import contaminated
 from .jaccard_join import jaccard_join
 from .langid import fit, held_out, language_id
+from .minhash import minhash_near_dedup
 from .packing import pack_documents
 from .secret_scan import joined_spans, secret_scan
 from .seekable import read_token_ids, write_token_ids
@@ -82,6 +83,10 @@ def op10_merkle_fixity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(manifest, f"{folder}/a", f"{folder}/b").select(F.col("id").alias("page_id"), "file", "offset", "length", "hash", "replica_hash", "damaged")
 
 
+def op11_minhash_hamming_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_near_dedup(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
 QUERIES = {
     "op1_hierarchical_language_id": op1_hierarchical_language_id,
     "op2_tiff_media": op2_tiff_media,
@@ -93,6 +98,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_bm25_decontamination": op9_bm25_decontamination,
     "op10_merkle_fixity_audit": op10_merkle_fixity_audit,
+    "op11_minhash_hamming_join": op11_minhash_hamming_join,
 }
 
 ORACLE_SQL = {
@@ -114,6 +120,21 @@ JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) AS c USING (
 JOIN (SELECT d.doc_id, least(d.doc_id, min(x.b)) AS copies_of FROM documents AS d
       LEFT JOIN (SELECT o.a, o.b FROM o JOIN n AS p ON p.doc_id = o.a JOIN n AS q ON q.doc_id = o.b WHERE o.o = p.n AND p.n = q.n) AS x ON x.a = d.doc_id
       GROUP BY d.doc_id) AS k USING (doc_id)
+""",
+    "op11_minhash_hamming_join": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, hash(array_to_string(ws[i : i + 1], ' ')) AS g
+  FROM w, unnest(generate_series(1, greatest(len(ws) - 1, CASE WHEN len(ws) > 0 THEN 1 ELSE 0 END))) AS t(i)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s AS a JOIN s AS b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM o JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b WHERE 100 * o >= 80 * (x.n + y.n - o)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, c.component_id = d.doc_id AS kept
+FROM documents AS d LEFT JOIN n USING (doc_id)
+JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) AS c USING (doc_id)
 """,
     "op8_substring_dedup": r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
