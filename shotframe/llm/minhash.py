@@ -1,9 +1,9 @@
 """MinHash near-dedup by a multi-index Hamming join.
 
-A set of shingles has a signature of SYMBOLS minimum hashes, of which b = 8 bits each are kept. Signatures that differ
-in at most DISTANCE symbols are found by pigeonhole: cut into (DISTANCE + 1) / 2 chunks, two such signatures
-have a chunk in which they differ in one symbol at most. Every chunk is indexed once for each symbol that may be wrong, with
-that symbol left out, so that two signatures share a key exactly if a chunk of theirs has at most one error.
+A set of shingles has a signature of minimum hashes. The first SYMBOLS of them, with b = 8 bits each, are indexed: signatures
+that differ there in at most DISTANCE symbols are found by pigeonhole: cut into (DISTANCE + 1) / 2 chunks, two such signatures
+have a chunk in which they differ in one symbol at most. Every chunk is indexed once for each symbol that may be wrong, with that symbol left out, so that two signatures share a key exactly if a chunk of theirs has at most
+one error. Pairs that are found are judged by the whole signature, WHOLE minima of b = 4 bits each, then on their sets.
 """
 
 from __future__ import annotations
@@ -18,12 +18,17 @@ from pyspark.sql import functions as F
 
 from .common import materialize, squeeze_ids, text_chunks, unsqueeze_ids
 from .components import components
-from .windows import low_bytes, mix, shingle_sets, split_by_bucket, whole_hashes
+from .windows import low_bytes, mix, runs, shingle_sets, split_by_bucket, whole_hashes
 
 #: Symbols of a signature, and in how many of them two signatures of a pair may differ. Of two sets with a Jaccard
 #: similarity of 0.8 each symbol differs with probability 0.2, so that one pair in 2 million at the very threshold
 #: differs in more than 49 of 128; pairs further above it are lost far more rarely still.
 SYMBOLS, DISTANCE = 128, 49
+#: Symbols of the whole signature and in how many of them a pair may differ: one pair in 1.5 million at the threshold has more.
+WHOLE, WHOLE_DISTANCE = 1024, 254
+_UNLIKE = np.array([(x & 15 > 0) + (x >> 4 > 0) for x in range(256)], np.uint8)
+#: Members of a list that meet another block's, and bytes of signatures that are compared at a time.
+MEET, COMPARED = 2048, 1 << 25
 #: Keys that a task gathers before it sends them on, and that a bucket is to hold.
 BLOCK, BUCKET = 1_000_000, 500_000
 #: Shingles whose minima are taken at once: they stay in a core's cache.
@@ -35,9 +40,9 @@ def _seeds(symbols: int) -> tuple[np.ndarray, np.ndarray]:
     return x[:symbols], x[symbols:] | np.uint64(1)
 
 
-def signatures(h: np.ndarray, count: np.ndarray, symbols: int = SYMBOLS) -> np.ndarray:
-    """One row of symbols bytes for each set; h has the sets' 64-bit hashes one after the other, count their sizes
-    (one at least)."""
+def signatures(h: np.ndarray, count: np.ndarray, symbols: int = WHOLE) -> np.ndarray:
+    """One row of symbols bytes for each set: the top byte of each minimum, mixed. h has the sets' 64-bit hashes one after the
+    other, count their sizes (one at least)."""
     out = np.empty((len(count), symbols), np.uint8)
     flip, times = _seeds(symbols)
     ends = np.cumsum(count)
@@ -52,6 +57,11 @@ def signatures(h: np.ndarray, count: np.ndarray, symbols: int = SYMBOLS) -> np.n
     return out
 
 
+def packed(sig: np.ndarray) -> np.ndarray:
+    """The indexed symbols as they are, and all symbols with four bits each, two in a byte."""
+    return np.concatenate((sig[:, :SYMBOLS], sig[:, ::2] & 15 | sig[:, 1::2] << 4), axis=1)
+
+
 def chunks(symbols: int, distance: int) -> list[range]:
     """(distance + 1) / 2 chunks: if each had two errors or more, there would be more than distance."""
     parts = (distance + 2) // 2
@@ -79,7 +89,7 @@ def signed_sets(docs: DataFrame, words: int) -> DataFrame:
             h, count = shingle_sets(texts, words)
             ends = np.cumsum(count)
             some = np.flatnonzero(count)
-            sig = signatures(h, count[some]) if len(some) else np.empty((0, SYMBOLS), np.uint8)
+            sig = packed(signatures(h, count[some])) if len(some) else ()
             same = [blake2b(h[e - c : e].tobytes(), digest_size=16).digest() if c else None for e, c in zip(ends.tolist(), count.tolist(), strict=True)]
             row = iter(sig)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(count, pa.int64()), pa.array(same, pa.binary()), pa.array([next(row).tobytes() if c else None for c in count], pa.binary())], ["id", "n", "same", "sig"])
@@ -98,7 +108,7 @@ def shared_keys(signed: DataFrame, rows: int, distance: int = DISTANCE) -> DataF
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def blocks():
-            sig = np.frombuffer(b"".join(s for _, s in held), np.uint8).reshape(len(held), -1)
+            sig = np.frombuffer(b"".join(s for _, s in held), np.uint8).reshape(len(held), -1)[:, :SYMBOLS]
             ids = np.array([i for i, _ in held], np.int64)
             order = np.argsort(ids)
             sig, ids = sig[order], ids[order]
@@ -147,8 +157,9 @@ def shared_keys(signed: DataFrame, rows: int, distance: int = DISTANCE) -> DataF
 
 
 def _distance(pairs: DataFrame, signed: DataFrame) -> DataFrame:
-    """pairs (a, b, ...) with the number of symbols in which their signatures differ: apart."""
-    both = pairs.join(signed.select(F.col("id").alias("a"), F.col("sig").alias("sa")), "a").join(signed.select(F.col("id").alias("b"), F.col("sig").alias("sb")), "b")
+    """pairs (a, b, ...) with the number of indexed symbols in which their signatures differ: apart."""
+    sig = F.substring("sig", 1, SYMBOLS)
+    both = pairs.join(signed.select(F.col("id").alias("a"), sig.alias("sa")), "a").join(signed.select(F.col("id").alias("b"), sig.alias("sb")), "b")
     kept = pairs.columns
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,47 +205,82 @@ def _near(percent: int, n: str, m: str) -> Column:
     return F.expr(f"100 * least({n}, {m}) >= {percent} * greatest({n}, {m})")
 
 
+def _near_pairs(t: pa.Table, percent: int) -> pa.Table:
+    """(a, b) of the members of t's lists (key, id, n, label, side, sig) that lie in different components, have sizes that can
+    link, and whose whole signatures are near; of two blocks' members only pairs of both sides."""
+    key, ids, n, label, side = (t.column(c).to_numpy() for c in ("key", "id", "n", "label", "side"))
+    sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint8).reshape(len(ids), -1)[:, SYMBOLS:]
+    order = np.argsort(key, kind="stable")
+    found = [np.empty((0, 2), np.int64)]
+    for a, b in runs(key[order]):
+        own = order[a:b]
+        names, of, many = np.unique(label[own], return_inverse=True, return_counts=True)
+        if len(names) < 2:
+            continue
+        rest = np.flatnonzero(of != many.argmax())  # a pair of two components has a member outside the largest
+        step = max(1, COMPARED // (len(own) * sig.shape[1]))
+        for k in range(0, len(rest), step):
+            u = own[rest[k : k + step]]
+            x, y = np.nonzero((label[u][:, None] != label[own]) & (100 * np.minimum(n[u][:, None], n[own]) >= percent * np.maximum(n[u][:, None], n[own])) & ((side[u][:, None] != side[own]) | (side[own] < 0)))
+            near = _UNLIKE[sig[u[x]] ^ sig[own[y]]].sum(1, dtype=np.int64) <= WHOLE_DISTANCE
+            i, j = ids[u[x[near]]], ids[own[y[near]]]
+            found.append(np.stack((np.maximum(i, j), np.minimum(i, j)), axis=1))
+    pairs = np.unique(np.concatenate(found), axis=0)
+    return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+
+def _open_pairs(now: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
+    """(a, b): the near pairs of different components in the lists (key, id, n, label). Lists meet in blocks of bounded size, in
+    which signatures are compared where they lie: pairs that are not near never become rows."""
+    size = now.groupBy("key").agg(F.count("*").alias("m")).select("key", F.expr(f"(m + {MEET - 1}) div {MEET}").alias("blocks"))
+    rows = now.join(size, "key")
+    total = int(now.count())
+    columns = ["key", "id", "n", "label"]
+    small = rows.where("blocks = 1").select(*columns, F.pmod(F.xxhash64("key"), F.lit(1 + total // (2 * MEET))).alias("task"), F.lit(-1).alias("i"), F.lit(-1).alias("j"), F.lit(-1).alias("side"))
+    wide = rows.where("blocks > 1").withColumn("own", F.pmod(F.xxhash64("id", F.lit("block")), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    side = F.when(F.col("own") == F.col("other"), -1).otherwise((F.col("own") > F.col("other")).cast("int"))
+    wide = wide.select(*columns, F.col("key").alias("task"), F.least("own", "other").cast("int").alias("i"), F.greatest("own", "other").cast("int").alias("j"), side.alias("side"))
+
+    def near(t: pa.Table) -> pa.Table:
+        return _near_pairs(t, percent)
+
+    met = small.union(wide).join(signed.select("id", "sig"), "id").select(*columns, "side", "sig", "task", "i", "j")
+    return met.groupBy("task", "i", "j").applyInArrow(near, "a long, b long").distinct()
+
+
 def _roots(docs: DataFrame, signed: DataFrame, lists: DataFrame, words: int, percent: int, distance: int) -> DataFrame:
     """(id, root) of the components that all links of pairs in a list make.
 
-    Members of a list are checked against pivots; pairs that links already join need none. Two first turns check a document
-    against the pivot nearest by signature, of one and then of eight in each list: most groups of copies are whole
-    after these. Then each turn checks all members against 16, 256, ... pivots of a list, which then leave it, until every
-    list lies in one component: the pairs of a list in different components are all checked, none is given up."""
+    Two turns check each document against the pivot nearest by signature, of one and then of eight in each of its lists: most
+    groups of copies are whole after these, and pairs within a component need no more checks. Then every pair of a list that
+    lies in two components is checked, so that none is given up."""
     rich = lists.groupBy("key").agg((F.count("*") - 1).alias("m")).join(lists, "key").groupBy("id").agg(F.sum("m").alias("rich"))
     lists = materialize(lists.join(rich, "id").join(signed.select("id", "n"), "id").select("key", "id", "n", "rich"), "lists")
-    checked = sets = roots = None
-    for turn in range(64):
+    sets = roots = None
+    for turn in range(3):
         now = lists.withColumn("label", F.col("id")) if roots is None else lists.join(roots, "id", "left").select("key", "id", "n", "rich", F.coalesce("root", "id").alias("label"))
         still = now.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
         now = materialize(now.join(still, "key"), "open")
         if now.isEmpty():
             break
-        settle = turn > 1
-        salt = F.pmod(F.xxhash64("id"), F.lit(16 ** (turn - 1) if settle else (1, 8)[turn]))
-        pivots = now.groupBy("key", salt.alias("salt")).agg(F.max(F.struct("rich", -F.col("id"), "n", "label")).alias("p"))
-        pivots = pivots.select("key", (-F.col("p.col2")).alias("pivot"), F.col("p.n").alias("pn"), F.col("p.label").alias("plabel"))
-        pairs = now.join(pivots, "key").where((F.col("label") != F.col("plabel")) & _near(percent, "n", "pn"))
-        pairs = pairs.select("id", "pivot").distinct().select(F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b"), "id").groupBy("a", "b").agg(F.min("id").alias("id"))
-        if checked is not None:
-            pairs = pairs.join(checked, ["a", "b"], "left_anti")
-        pairs = _distance(pairs, signed).where(F.col("apart") <= distance)
-        if not settle:
-            best = F.min(F.struct("apart", "a", "b")).alias("best")
-            pairs = pairs.groupBy("id").agg(best).select("best.a", "best.b").distinct()
-        pairs = materialize(pairs.select("a", "b"), "pairs")
+        if turn == 2:
+            pairs = _open_pairs(now.drop("rich"), signed, percent)
+        else:
+            pivots = now.groupBy("key", F.pmod(F.xxhash64("id"), F.lit((1, 8)[turn])).alias("salt")).agg(F.max(F.struct("rich", -F.col("id"), "n", "label")).alias("p"))
+            pivots = pivots.select("key", (-F.col("p.col2")).alias("pivot"), F.col("p.n").alias("pn"), F.col("p.label").alias("plabel"))
+            pairs = now.join(pivots, "key").where((F.col("label") != F.col("plabel")) & _near(percent, "n", "pn")).select("id", "pivot").distinct()
+            pairs = pairs.select(F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b"), "id")
+            pairs = _distance(pairs, signed).where(F.col("apart") <= distance)
+            pairs = pairs.groupBy("id").agg(F.min(F.struct("apart", "a", "b")).alias("best")).select("best.a", "best.b").distinct()
+        pairs = materialize(pairs, "pairs")
         wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
         wanted = wanted if sets is None else wanted.join(sets.select("id"), "id", "left_anti")
         fresh = materialize(_sets_of(docs, wanted.join(signed.select("id", "same"), "id"), words), "sets")
         sets = fresh if sets is None else sets.union(fresh)
-        checked = pairs if checked is None else checked.union(pairs)
         new = materialize(_linked(pairs, sets, percent), "links")
         if not new.isEmpty():
-            edges = new if roots is None else roots.select(F.col("id").alias("a"), F.col("root").alias("b")).union(new)
-            roots = components(edges)
+            roots = components(new if roots is None else roots.select(F.col("id").alias("a"), F.col("root").alias("b")).union(new))
         lists = now.select("key", "id", "n", "rich")
-        if settle:
-            lists = materialize(lists.join(pivots.select("key", F.col("pivot").alias("id")), ["key", "id"], "left_anti"), "left")
     return lists.select("id", F.col("id").alias("root")).limit(0) if roots is None else roots
 
 
@@ -249,8 +295,9 @@ def minhash_near_dedup(docs: DataFrame, words: int = 2, percent: int = 80, dista
     the smallest digest stands for it. An empty table gives an empty result. Other columns are not read.
 
     All pairs of signatures within distance are found, however common a key is: equal sets fall into classes first, the
-    rest meets in lists of keys. distance goes with percent: at a similarity of s, a symbol differs with probability
-    1 - s."""
+    rest meets in lists of keys. distance (and WHOLE_DISTANCE) go with percent: at a similarity of s, a symbol differs with
+    probability 1 - s. Comparing signatures grows with the square of a group of different near copies that do not link; rows
+    do not."""
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows = signed_sets(source.where("id is not null"), words).groupBy("id").agg(F.min(F.struct("same", "n", "sig")).alias("s"))
     rows = materialize(rows.select("id", "s.*"), "signed")
