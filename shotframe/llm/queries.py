@@ -9,8 +9,10 @@ from .common import shared_dir, table
 from .decontam import contaminated
 from .jaccard_join import jaccard_join
 from .langid import fit, held_out, language_id
+from .merkle import merkle_manifest, row_digest, with_folded
 from .minhash import minhash_near_dedup
 from .packing import pack_documents
+from .prefix_trie import grafted, numbered_turns, prefix_trie
 from .secret_scan import joined_spans, secret_scan
 from .seekable import read_token_ids, write_token_ids
 from .substring_dedup import substring_dedup
@@ -87,6 +89,22 @@ def op11_minhash_hamming_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_near_dedup(table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
+def op12_merkle_traversal_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    tampered = F.when(chosen & F.contains("text", F.lit("\n")), row_digest(*(F.col(c) for c in ("doc_id", "source", "lang", "n_chars")), F.replace("text", F.lit("\n"), F.lit(""))))
+    rows = merkle_manifest(docs, also=tampered).withColumn("start", F.coalesce("also", "leaf"))
+    rows = with_folded(rows, "start")
+    proof = F.sha2(F.translate("path", ":/", "").cast("binary"), 256)
+    return rows.select("doc_id", "leaf", "subroot", "root", proof.alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op13_patricia_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = numbered_turns(table(spark, sf_dir, "conversations"))
+    conv = F.col("conv")
+    return prefix_trie(*grafted(turns, conv - conv % 100, F.crc32(conv.cast("string").cast("binary")) % 6))
+
+
 QUERIES = {
     "op1_hierarchical_language_id": op1_hierarchical_language_id,
     "op2_tiff_media": op2_tiff_media,
@@ -99,8 +117,15 @@ QUERIES = {
     "op9_bm25_decontamination": op9_bm25_decontamination,
     "op10_merkle_fixity_audit": op10_merkle_fixity_audit,
     "op11_minhash_hamming_join": op11_minhash_hamming_join,
+    "op12_merkle_traversal_manifest": op12_merkle_traversal_manifest,
+    "op13_patricia_prefix_trie": op13_patricia_prefix_trie,
 }
 
+#: crc32 of the decimal text of a number in SQL: eight steps a character.
+_CRC32 = "xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split({}::VARCHAR, ''), lambda x: [ord(x)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))), lambda c, v: xor(xor(c, v) >> 1, 3988292384 * (xor(c, v) & 1))), 4294967295::BIGINT)"
+_FIELD = "coalesce(strlen({0}::VARCHAR) || ':' || {0}::VARCHAR, '-')"
+_ROW = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars")) + " || {})"
+
 ORACLE_SQL = {
     "op4_ngram_jaccard_join": r"""
 WITH RECURSIVE w AS (
@@ -146,5 +171,55 @@ k AS (SELECT x.doc_id, x.word, x.j, c.j IS NOT NULL AS gone FROM x LEFT JOIN c U
 a AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY j) FILTER (NOT gone), '') AS kept FROM k GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM documents AS d LEFT JOIN a USING (doc_id)
+""",
+    "op12_merkle_traversal_manifest": f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce('+' || source, '') AS tree, {_ROW.format(_FIELD.format("text"))} AS leaf,
+         CASE WHEN {_CRC32.format("doc_id")} % 2 = 0 THEN {_ROW.format(_FIELD.format("replace(text, chr(10), '')"))} END AS other
+  FROM documents),
+t AS (
+  SELECT 0 AS lvl, tree, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, leaf AS h, count(*) OVER (PARTITION BY tree) AS n FROM d
+  UNION ALL
+  SELECT lvl + 1, tree, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 2) // 3 FROM t WHERE n > 1 GROUP BY lvl, tree, pos // 3),
+u AS (
+  SELECT 0 AS lvl, tree, row_number() OVER (ORDER BY tree) - 1 AS pos, h, count(*) OVER () AS n FROM t WHERE n = 1
+  UNION ALL
+  SELECT lvl + 1, NULL, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 2) // 3 FROM u WHERE n > 1 GROUP BY lvl, pos // 3),
+f AS (
+  SELECT doc_id, tree, leaf, 0 AS lvl, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n, coalesce(other, leaf) AS x, '' AS proof FROM d
+  UNION ALL
+  SELECT f.doc_id, f.tree, f.leaf, f.lvl + 1, f.pos // 3, (f.n + 2) // 3, sha256(string_agg(CASE WHEN t.pos = f.pos THEN f.x ELSE t.h END, '' ORDER BY t.pos)),
+         f.proof || coalesce(string_agg(t.h, '' ORDER BY t.pos) FILTER (t.pos <> f.pos), '')
+  FROM f JOIN t ON t.tree = f.tree AND t.lvl = f.lvl AND t.pos // 3 = f.pos // 3
+  WHERE f.n > 1 GROUP BY f.doc_id, f.tree, f.leaf, f.lvl, f.pos, f.n, f.x, f.proof),
+g AS (
+  SELECT f.doc_id, f.leaf, u.h AS subroot, 0 AS lvl, u.pos, u.n, f.x, f.proof FROM f JOIN u ON u.lvl = 0 AND u.tree = f.tree WHERE f.n = 1
+  UNION ALL
+  SELECT g.doc_id, g.leaf, g.subroot, g.lvl + 1, g.pos // 3, (g.n + 2) // 3, sha256(string_agg(CASE WHEN u.pos = g.pos THEN g.x ELSE u.h END, '' ORDER BY u.pos)),
+         g.proof || coalesce(string_agg(u.h, '' ORDER BY u.pos) FILTER (u.pos <> g.pos), '')
+  FROM g JOIN u ON u.lvl = g.lvl AND u.pos // 3 = g.pos // 3
+  WHERE g.n > 1 GROUP BY g.doc_id, g.leaf, g.subroot, g.lvl, g.pos, g.n, g.x, g.proof)
+SELECT g.doc_id, g.leaf, g.subroot, u.h AS root, sha256(g.proof) AS proof_sha256, g.x AS folded_root, g.x = u.h AS verified
+FROM g, u WHERE g.n = 1 AND u.n = 1
+""",
+    "op13_patricia_prefix_trie": f"""
+WITH own AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS nr, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 100 AS base, {_CRC32.format("conv_id")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM own)),
+r AS (SELECT c.conv_id, own.nr, own.role, own.text FROM c JOIN own ON own.conv_id = c.base AND own.nr <= c.h),
+k AS (SELECT conv_id, count(*) AS had FROM r GROUP BY conv_id),
+a AS (SELECT * FROM r UNION ALL
+      SELECT c.conv_id, own.nr - c.h + coalesce(k.had, 0), own.role, own.text FROM own JOIN c USING (conv_id) LEFT JOIN k USING (conv_id) WHERE own.nr > c.h),
+l AS (SELECT conv_id, list(sha256(strlen(role) || ':' || role || text) ORDER BY nr) AS ws, list(length(text) ORDER BY nr) AS sizes FROM a GROUP BY conv_id),
+p AS (SELECT conv_id, 0 AS depth, '' AS node, NULL AS up, 0 AS size, coalesce(len(ws), 0) AS total FROM c LEFT JOIN l USING (conv_id) UNION ALL
+      SELECT conv_id, i, array_to_string(ws[1 : i], ','), array_to_string(ws[1 : i - 1], ','), sizes[i], len(ws) FROM l, unnest(generate_series(1, len(ws))) AS s(i)),
+n AS (SELECT node, any_value(up) AS up, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(size) AS saved,
+             sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = total), '')) AS ends_sha256 FROM p GROUP BY node),
+ch AS (SELECT up AS node, count(*) AS n_children FROM n WHERE up IS NOT NULL GROUP BY up),
+sub AS (SELECT p.node, sum(n.saved)::BIGINT AS saved_tokens, count(*) FILTER (ch.node IS NULL) AS n_leaves
+        FROM n LEFT JOIN ch USING (node) JOIN p ON p.conv_id = n.conv_id AND p.depth <= n.depth GROUP BY p.node)
+SELECT n.conv_id, n.depth::BIGINT AS depth, m.conv_id AS parent_conv_id, n.n_convs, coalesce(ch.n_children, 0) AS n_children, sub.n_leaves, sub.saved_tokens, n.ends_sha256
+FROM n LEFT JOIN ch USING (node) JOIN sub USING (node) LEFT JOIN n AS m ON m.node = n.up
 """,
 }
