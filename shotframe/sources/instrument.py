@@ -52,18 +52,20 @@ def to_discover(names: DataFrame, experiment: str, name: str = "name", own: tupl
 def slow_values(shots: DataFrame, changes: DataFrame, key: str = "pv", ts: str = "ts", value: str = "value", span: int = 3600) -> DataFrame:
     """Shots with the value that was last set under their key at or before their time; null before the first change.
 
-    changes: (key, ts, value), of changes at one time the largest value counts. Each value holds from its change to the
-    next; these intervals are cut into spans of some seconds, so that shots meet theirs in an equi-join of key and span,
-    whatever the share of a key: no task gets a whole key."""
-    second = lambda c: F.unix_seconds(F.col(c).cast("timestamp"))
-    last = shots.agg(F.max(second(ts)).alias("_last"))  # one row
-    one = changes.groupBy(F.col(key).alias("_k"), F.col(ts).alias("_a")).agg(F.max(value).alias(value))
-    held = one.withColumn("_b", F.lead("_a").over(W.partitionBy("_k").orderBy("_a"))).crossJoin(F.broadcast(last))
-    end = F.greatest(second("_a"), F.coalesce(second("_b"), F.col("_last")))
-    cut = held.withColumn("_s", F.explode(F.sequence(F.floor(second("_a") / span), F.floor(end / span)))).drop("_last")
-    at = shots.withColumn("_s", F.floor(second(ts) / span))
-    on = (at["_s"] == cut["_s"]) & at[key].eqNullSafe(cut["_k"]) & (at[ts] >= cut["_a"]) & (cut["_b"].isNull() | (at[ts] < cut["_b"]))
-    return at.join(cut, on, "left").select(*[at[c] for c in shots.columns], cut[value])
+    changes: (key, ts, value), of changes at one time the largest value counts. Shots and changes are sorted together
+    within a key and a span of some seconds, and a shot takes what stands before it; what holds when a span begins comes from the
+    last changes of the spans before, a row a span. No shot meets a change but its own, and no task gets a whole key."""
+    span_of = F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / span).alias("_s")
+    none = F.lit(None).cast(f"struct<v:{changes.schema[value].dataType.simpleString()}>")
+    rows = shots.select(F.col(key).alias("_k"), span_of, F.col(ts).alias("_t"), F.lit(1).alias("_shot"), none.alias("_v"), F.struct(*[F.col(f"`{c}`") for c in shots.columns]).alias("_row"))
+    one = changes.groupBy(key, ts).agg(F.max(value).alias("_m"))
+    set_ = one.select(F.col(key).alias("_k"), span_of, F.col(ts).alias("_t"), F.lit(0).alias("_shot"), F.struct(F.col("_m").alias("v")).alias("_v"), F.lit(None).cast(rows.schema["_row"].dataType).alias("_row"))
+    both = rows.union(set_)
+    ends = both.groupBy("_k", "_s").agg(F.max_by("_v", F.when(F.col("_shot") == 0, F.col("_t"))).alias("_e"))  # a row a span
+    begun = ends.select(F.col("_k").alias("_bk"), F.col("_s").alias("_bs"), F.last("_e", True).over(W.partitionBy("_k").orderBy("_s").rowsBetween(W.unboundedPreceding, -1)).alias("_b"))
+    held = both.withColumn("_h", F.last("_v", True).over(W.partitionBy("_k", "_s").orderBy("_t", "_shot").rowsBetween(W.unboundedPreceding, W.currentRow)))
+    held = held.where("_shot = 1").join(begun, F.col("_k").eqNullSafe(F.col("_bk")) & F.col("_s").eqNullSafe(F.col("_bs")), "left")
+    return held.select("_row.*", F.coalesce("_h", "_b")["v"].alias(value))
 
 
 def wait_for_files(spark: SparkSession, pattern: str, every: float = 10.0, most: int | None = 20) -> list[str]:

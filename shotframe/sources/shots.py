@@ -9,12 +9,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shotframe.sources.stacks import HDF5, read_stack, read_stacked_image
+
 DETECTORS = ("epix10k2M", "Rayonix", "Jungfrau4M")
 
 
 def read_shots(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet shot table, or an HDF5 one if the path says so."""
-    return read_hdf5(spark, path) if path.endswith((".h5", ".hdf5", ".cxi")) else spark.read.parquet(path)
+    """A Parquet shot table, or array files (HDF5 or .npy, alone or in a folder named .stack) read by ranges of shots."""
+    return read_stack(spark, path) if path.rstrip("/").endswith((*HDF5, ".npy", ".stack")) else spark.read.parquet(path)
 
 
 def first_column(df: DataFrame, names: Iterable[str]) -> str | None:
@@ -47,25 +49,23 @@ def scan_variable(df: DataFrame, wanted: str | list[str] | None, total: int | No
     return F.col(shot).cast("double") * (n / max(1, n - 1)), None
 
 
-def read_hdf5(spark: SparkSession, path: str, columns: list[str] | None = None, partitions: int = 64) -> DataFrame:
-    """Datasets whose first axis is the shot, by ranges of shots; needs h5py where tasks run, and a path they all see."""
-    import h5py
-
-    with h5py.File(path) as f:
-        found: dict[str, tuple[int, ...]] = {}
-        f.visititems(lambda n, d: found.__setitem__(n, d.shape) if hasattr(d, "shape") and d.shape else None)
-    total = found["event_time"][0]
-    names = [n for n in columns or found if found[n][0] == total]
-    kind = lambda n: "array<" * (len(found[n]) - 1) + "double" + ">" * (len(found[n]) - 1)
+#: Names of columns in shot files and what the analyses call them: fixed values.
+STANDARD = {"lightStatus/xray": "xray", "lightStatus/laser": "laser", "epics/ccm_E": "ccm", "epicsUser/ccm_E_setpoint": "ccm_set"}
 
-    def read(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        with h5py.File(path) as f:
-            for p in parts:
-                a, b = int(p["id"].min()), int(p["id"].max()) + 1
-                yield pd.DataFrame({"shot": np.arange(a, b)} | {n: list(f[n][a:b].astype(float).tolist()) for n in names})
 
-    schema = ", ".join(["shot long", *(f"`{n}` {kind(n)}" for n in names)])
-    return spark.range(0, total, 1, partitions).mapInPandas(read, schema)
+def standard_columns(df: DataFrame, det: str | None = None, absorption: str | None = None, emission: str | None = None) -> DataFrame:
+    """df with the analyses' names beside the files': xray, laser, ccm, ccm_set; azav, the patterns of a detector (the first
+    preferred one by default) by either integrator; xas_raw and roi_area, the sum and the image of a region of the detectors
+    named, or of the only one that has such a column. Names that are there already stay."""
+    more = {short: long for long, short in STANDARD.items() if long in df.columns}
+    found = det or detector(df)
+    if found and first_column(df, (f"{found}/azav_azav", f"{found}/pyfai_azav")):
+        more["azav"] = azimuthal_column(df, found)
+    for short, end, wanted in (("xas_raw", "/ROI_0_sum", absorption), ("roi_area", "/ROI_0_area", emission)):
+        own = [c for c in df.columns if c.endswith(end) and (wanted is None or c == wanted + end)]
+        if len(own) == 1:
+            more[short] = own[0]
+    return df.withColumns({short: F.col(f"`{long}`") for short, long in more.items() if short not in df.columns})
 
 
 def numbers(line: Column, separator: str = ",") -> Column:
@@ -85,20 +85,11 @@ def sniff(path: str) -> str:
     return {b"\x89HDF\r\n\x1a\n": "hdf5"}.get(head) or ("numpy" if head[:6] == b"\x93NUMPY" else "parquet" if head[:4] == b"PAR1" else "text")
 
 
-def read_image(spark: SparkSession, path: str) -> DataFrame:
-    """(row, col, value) of a two-dimensional .npy file."""
-    image = np.load(path)
-    if image.ndim != 2:
-        raise ValueError("an image has two dimensions")
-    r, c = np.indices(image.shape)
-    return spark.createDataFrame(pd.DataFrame({"row": r.ravel(), "col": c.ravel(), "value": image.ravel().astype(float)}))
-
-
 def read_mask(spark: SparkSession, path: str | None) -> DataFrame | None:
     """(row, col, value) of a mask file, Parquet or .npy; None without one."""
     if not path:
         return None
-    return read_image(spark, path) if path.endswith(".npy") else spark.read.parquet(path).select("row", "col", "value")
+    return read_stacked_image(spark, path) if path.endswith(".npy") else spark.read.parquet(path).select("row", "col", "value")
 
 
 def write_hits(hits: DataFrame, folder: str, peaks_col: str = "peaks") -> None:
