@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 import numpy as np
 
+from shotframe.functions.splines import spline_roots
+
 
 def least_squares(residual: Callable[[np.ndarray], np.ndarray], start: np.ndarray, steps: int = 60) -> np.ndarray:
     """Levenberg-Marquardt with a forward-difference slope; residuals that are no number are left out."""
@@ -40,15 +42,14 @@ def gaussian(x: np.ndarray, amp: float, center: float, sigma: float, base: float
 
 
 def fit_gaussian(x: np.ndarray, y: np.ndarray) -> dict[str, float]:
-    """amp, center, sigma, base: begun at the extreme of the larger sign, a twentieth of the range wide."""
+    """amp, center, sigma, base: begun at the largest value, or at the least if its size is larger, a twentieth of the range
+    wide, above the least value."""
     ok = np.isfinite(x) & np.isfinite(y)
     x, y = x[ok], y[ok]
     if len(x) < 4:
         return dict.fromkeys(("amp", "center", "sigma", "base"), float("nan"))
-    base = float(np.median(y))
-    up = abs(y.max() - base) >= abs(y.min() - base)
-    at = int(y.argmax() if up else y.argmin())
-    amp, center, sigma, base = least_squares(lambda p: gaussian(x, *p) - y, np.array([y[at] - base, x[at], max((x.max() - x.min()) / 20, 1e-12), base]))
+    at = int(y.argmax() if y.max() > abs(y.min()) else y.argmin())
+    amp, center, sigma, base = least_squares(lambda p: gaussian(x, *p) - y, np.array([y[at], x[at], max((x.max() - x.min()) / 20, 1e-12), y.min()]))
     return {"amp": float(amp), "center": float(center), "sigma": float(abs(sigma)), "base": float(base)}
 
 
@@ -65,43 +66,66 @@ def step_time(x: np.ndarray, y: np.ndarray) -> float:
 
 
 def fwhm(x: np.ndarray, y: np.ndarray, places: np.ndarray | None = None) -> float:
-    """Distance of the two crossings of half the maximum, along places if given; of a gaussian fitted over x if there
-    are not just two."""
+    """Distance of the two places where the cubic spline through a curve crosses half its maximum, along places if given; of a
+    gaussian fitted over x if there are not just two, or fewer than four points."""
     if not len(y):
         return float("nan")
     along = x if places is None else places
-    d = y - y.max() / 2
-    cross = np.flatnonzero(d[:-1] * d[1:] < 0)
-    if len(cross) == 2:
-        roots = along[cross] - d[cross] * (along[cross + 1] - along[cross]) / (d[cross + 1] - d[cross])
-        return float(roots[1] - roots[0])
+    if len(y) > 3 and np.isfinite(y).all() and (np.diff(along) > 0).all():
+        roots = spline_roots(along, y - y.max() / 2)
+        if len(roots) == 2:
+            return float(roots[1] - roots[0])
     return fit_gaussian(x, y)["sigma"] * float(np.sqrt(8 * np.log(2)))
 
 
+def prominent_peaks(profiles: np.ndarray, prominence: float = 1.0, distance: int = 10, height: float = -np.inf) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(profile, place, prominence) of the peaks of many profiles (profile, element) at once: strict local maxima (middles of
+    flat tops) of at least height, no two of a profile nearer than distance (the higher stay, of equal ones the later), standing
+    out from their surroundings by prominence or more. Values that are no number count as the least."""
+    n, size = profiles.shape
+    wall = np.full((n, 1), np.inf)  # no peak reaches, and no search goes, beyond a profile's ends
+    z = np.concatenate((wall, np.where(np.isnan(profiles), -np.inf, profiles), wall), axis=1).ravel()
+    first = np.flatnonzero(np.concatenate(([True], z[1:] != z[:-1]))) if len(z) else np.empty(0, int)
+    level, last = z[first], np.append(first[1:], len(z)) - 1
+    top = np.flatnonzero((level[1:-1] > level[:-2]) & (level[1:-1] > level[2:]) & (level[1:-1] < np.inf) & (level[1:-1] >= height)) + 1
+    at = (first[top] + last[top]) // 2
+    owner, place = at // (size + 2), at % (size + 2) - 1
+    # spacing: by falling height, one peak of each profile at a time
+    order = np.lexsort((-place, -z[at], owner))
+    rank = np.arange(len(order)) - np.searchsorted(owner[order], owner[order])
+    taken, keep = np.zeros((n, size), bool), np.zeros(len(at), bool)
+    for r in range(int(rank.max(initial=-1)) + 1):
+        k = order[rank == r]
+        k = k[~taken[owner[k], place[k]]]
+        keep[k] = True
+        for off in range(1 - distance, distance):
+            near = place[k] + off
+            ok = (near >= 0) & (near < size)
+            taken[owner[k[ok]], near[ok]] = True
+    at, owner, place = at[keep], owner[keep], place[keep]
+    rise = z[at] - np.maximum(_lowest_before(z)[at], _lowest_before(z[::-1])[::-1][at])
+    out = rise >= prominence
+    return owner[out], place[out], rise[out]
+
+
+def _lowest_before(z: np.ndarray) -> np.ndarray:
+    """Of each element the least value between it and the last greater one before it, its own if there is none between. All
+    elements search at once: each leaps over what others have found to be no greater."""
+    jump, low = np.arange(len(z)) - 1, z.copy()
+    active = np.arange(1, len(z))
+    while True:
+        active = active[(jump[active] >= 0)]
+        active = active[z[jump[active]] <= z[active]]
+        if not len(active):
+            return low
+        over = jump[active]
+        leap, least = jump[over], np.minimum(low[active], np.minimum(low[over], z[over]))  # as found so far, before any moves
+        jump[active], low[active] = leap, least
+
+
 def local_peaks(y: np.ndarray, prominence: float = 1.0, distance: int = 10, height: float = -np.inf) -> np.ndarray:
-    """Places of strict local maxima (middles of flat tops) of at least height, no two nearer than distance (the
-    higher stay), standing out from their surroundings by prominence or more."""
-    rise = np.flatnonzero(np.diff(y) != 0)
-    edges = np.concatenate(([0], rise + 1, [len(y)]))
-    level = y[edges[:-1]] if len(y) else y
-    tops = np.flatnonzero((level[1:-1] > level[:-2]) & (level[1:-1] > level[2:])) + 1
-    at = np.array([(edges[t] + edges[t + 1] - 1) // 2 for t in tops], int)
-    at = at[y[at] >= height] if len(at) else at
-    keep = np.ones(len(at), bool)
-    for k in np.argsort(-y[at], kind="stable") if len(at) else []:
-        if keep[k]:
-            near = np.abs(at - at[k]) < distance
-            near[k] = False
-            keep &= ~near
-    out = []
-    for p in at[keep]:
-        left = y[:p][::-1]
-        right = y[p + 1 :]
-        stop = lambda side: int(np.argmax(side > y[p])) if (side > y[p]).any() else len(side)  # noqa: B023, E731
-        low = max(left[: stop(left)].min(initial=y[p]), right[: stop(right)].min(initial=y[p]))
-        if y[p] - low >= prominence:
-            out.append(int(p))
-    return np.array(out, int)
+    """Places of one profile's peaks: see prominent_peaks."""
+    return prominent_peaks(np.asarray(y, float)[None, :], prominence, distance, height)[1]
 
 
 def bilinear(image: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:

@@ -35,7 +35,7 @@ def step_times(curves: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
 
 def step_traces(curves: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
     """Keys, trace (the curve convolved with a step), center (place of its maximum), t0 and fwhm, the width counted in
-    bins where the trace crosses half its maximum twice."""
+    bins between the two places where the spline through the trace crosses half its maximum."""
 
     def fit(a: np.ndarray, b: np.ndarray) -> dict:
         trace = K.step_response(b)
@@ -46,7 +46,7 @@ def step_traces(curves: DataFrame, keys: list[str], x: str, y: str) -> DataFrame
 
 def overlap(curves: DataFrame, keys: list[str], x: str, y: str, scan_name: str) -> DataFrame:
     """A step for laser timing scans (lxt in the name), a gaussian for others."""
-    return step_times(curves, keys, x, y) if "lxt" in scan_name else gaussian_fits(curves, keys, x, y)
+    return step_traces(curves, keys, x, y) if "lxt" in scan_name else gaussian_fits(curves, keys, x, y)
 
 
 def solvent_maximum(profile: DataFrame, elem: str, value: str, height: float = 1.0) -> int:

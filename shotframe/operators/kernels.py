@@ -10,6 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shotframe.functions.splines import smoothed
+from shotframe.operators.droplets import droplets, placed_photons  # noqa: F401  kernels of the same stack
+
 
 def _per_image(shots: DataFrame, image: str, name: str, kind: str, arrow: pa.DataType, kernel: Callable[[np.ndarray], object]) -> DataFrame:
     """shots with a column of the kernel's results; null of null or empty images."""
@@ -31,42 +34,6 @@ def stacked(shots: DataFrame, *steps: Callable[[DataFrame], DataFrame]) -> DataF
     return shots
 
 
-def groups(mask: np.ndarray) -> tuple[np.ndarray, int]:
-    """Numbers of the connected groups (sides touching) of a mask, from 1 on."""
-    label = np.zeros(mask.shape, int)
-    n = 0
-    for r, c in zip(*np.nonzero(mask), strict=True):
-        if label[r, c]:
-            continue
-        n += 1
-        label[r, c], todo = n, [(r, c)]
-        while todo:
-            a, b = todo.pop()
-            for y, x in ((a - 1, b), (a + 1, b), (a, b - 1), (a, b + 1)):
-                if 0 <= y < mask.shape[0] and 0 <= x < mask.shape[1] and mask[y, x] and not label[y, x]:
-                    label[y, x] = n
-                    todo.append((y, x))
-    return label, n
-
-
-def droplets(shots: DataFrame, image: str = "image", threshold: float = 5.0, low: float = 5.0, min_adu: float = 60.0) -> DataFrame:
-    """shots with droplets (npix, adu, row, col): connected pixels above low of which one is above threshold, with
-    min_adu in all; row and col are weighted means."""
-
-    def find(m: np.ndarray) -> list[dict]:
-        label, n = groups(m > low)
-        out = []
-        for k in range(1, n + 1):
-            at = label == k
-            v = m[at]
-            if v.max() > threshold and v.sum() >= min_adu:
-                r, c = np.nonzero(at)
-                out.append({"npix": int(at.sum()), "adu": float(v.sum()), "row": float(r @ v / v.sum()), "col": float(c @ v / v.sum())})
-        return out
-
-    return _per_image(shots, image, "droplets", "array<struct<npix: int, adu: double, row: double, col: double>>", pa.list_(pa.struct([("npix", pa.int32()), ("adu", pa.float64()), ("row", pa.float64()), ("col", pa.float64())])), find)
-
-
 def droplet_photons(shots: DataFrame, per_photon: float = 162.0, droplets_col: str = "droplets") -> DataFrame:
     """shots with photons: the droplets' intensities as whole photons, in sum."""
     return shots.withColumn("photons", F.aggregate(droplets_col, F.lit(0).cast("long"), lambda a, d: a + F.round(d["adu"] / per_photon).cast("long")))
@@ -99,8 +66,5 @@ def sparsified(shots: DataFrame, keys: list[str], image: str = "image", threshol
 
 
 def lowpass(y: np.ndarray, order: int = 2, cutoff: float = 0.25) -> np.ndarray:
-    """A profile without its fast parts: Butterworth response forward and backward, in the frequency domain; cutoff is
-    a share of the highest frequency."""
-    padded = np.concatenate((y, y[::-1]))
-    f = np.fft.rfftfreq(len(padded)) * 2
-    return np.fft.irfft(np.fft.rfft(padded) / (1 + (f / cutoff) ** (2 * order)), len(padded))[: len(y)]
+    """One profile without its fast parts; cutoff is a share of the highest frequency."""
+    return smoothed(np.asarray(y, float)[None, :], order, cutoff)[0]

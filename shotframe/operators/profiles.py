@@ -49,12 +49,19 @@ def pattern_norm(patterns: Column, axis: list[float], low: float, high: float) -
 
 def normalised(df: DataFrame, patterns: str, axis: list[float], dark: list[float], keep: tuple[str, ...], low: float = 0.9, high: float = 3.5) -> DataFrame:
     """(keep, q_idx, v): a row per shot and element, the profile (sum over phi) less the dark one, over the pattern's
-    norm. The norm is found once a shot, before elements part."""
-    wide = df.select(*keep, pattern_norm(F.col(patterns), axis, low, high).alias("_n"), F.posexplode(N.row_totals(F.col(patterns))).alias("q_idx", "_p"))
+    norm. The norm is found once a shot, before elements part: a select of its own, below the one that explodes."""
+    once = df.select(*keep, pattern_norm(F.col(patterns), axis, low, high).alias("_n"), N.row_totals(F.col(patterns)).alias("_t"))
+    wide = once.select(*keep, "_n", F.posexplode("_t").alias("q_idx", "_p"))
     less = F.get(F.array(*[F.lit(float(x)) for x in dark]), F.col("q_idx")) if dark else F.lit(0.0)
     return wide.select(*keep, "q_idx", N.divide(F.col("_p") - less, F.col("_n")).alias("v"))
 
 
+def corrected(df: DataFrame, patterns: str, axis: list[float], xray_off: Column, keep: tuple[str, ...], low: float = 0.9, high: float = 3.5) -> DataFrame:
+    """(keep, q_idx, v): profiles less the dark mean over the patterns' norm, a row per shot and element."""
+    dark = dark_array(dark_mean(df.where(xray_off).select(N.row_totals(F.col(patterns)).alias("_profile")), "_profile", F.lit(True)))
+    return normalised(df, patterns, axis, dark, keep, low, high)
+
+
 def scattering_difference(df: DataFrame, patterns: str, axis: list[float], scan: str, on: Column, off: Column, xray_off: Column, low: float = 0.9, high: float = 3.5, bins: DataFrame | None = None) -> DataFrame:
     """(scan, q_idx, on, off, diff, n_on, n_off): normalised profiles averaged without NaN by scan value and
     element, for every scan value of df (or of bins) and every element. on and off are null where a side has no shots; the
@@ -62,7 +69,6 @@ def scattering_difference(df: DataFrame, patterns: str, axis: list[float], scan:
     from shotframe.operators.differences import by_scan
 
     s = df.select(F.col(scan).cast("double").alias("scan"), on.alias("_on_shot"), off.alias("_off_shot"), xray_off.alias("_dark_shot"), F.col(patterns).alias("_patterns"))
-    dark = dark_array(dark_mean(s.withColumn("_profile", N.row_totals(F.col("_patterns"))), "_profile", F.col("_dark_shot")))
-    rows = normalised(s, "_patterns", axis, dark, ("scan", "_on_shot", "_off_shot"), low, high)
+    rows = corrected(s, "_patterns", axis, F.col("_dark_shot"), ("scan", "_on_shot", "_off_shot"), low, high)
     elements = df.sparkSession.range(len(axis)).select(F.col("id").cast("int").alias("q_idx"))
     return by_scan(bins if bins is not None else s, rows, F.col("v"), F.col("_on_shot"), F.col("_off_shot"), elements)
