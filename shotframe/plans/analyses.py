@@ -9,16 +9,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shotframe.functions import nansafe as N
-from shotframe.operators import binning, differences, filters, geometry, images, peaks, profiles, textscan
+from shotframe.operators import binning, differences, filters, fits, geometry, images, peaks, profiles, textscan
 from shotframe.operators.sinks import write_list
 from shotframe.plans.parameters import Absorption, Concatenate, Emission, GeometrySearch, Peaks, Scattering, build
 from shotframe.plans.pipeline import Task, register
-from shotframe.sources.shots import read_shots, scan_variable
+from shotframe.sources.shots import detector, read_shots, scan_variable, standard_columns
 
 
 def _shots(spark: SparkSession, p: Scattering) -> tuple[DataFrame, Column, Column, str | None]:
     """Shots with ipm, iscat and scan, the filters of laser-on and laser-off shots, and the scan's name."""
-    raw = read_shots(spark, p.path)
+    raw = standard_columns(read_shots(spark, p.path), p.detector, getattr(p, "absorption_detector", None), getattr(p, "emission_detector", None))
     scan, name = scan_variable(raw, p.scan)
     s = raw.withColumn("scan", scan.cast("double"))
     if p.ipm in raw.columns:
@@ -45,6 +45,12 @@ def _binned(s: DataFrame, name: str | None, bins: int, lower: bool = False) -> t
 
 
 def _axis(spark: SparkSession, p: Scattering) -> list[float]:
+    """The patterns' axis: of one integrator the first shot's column, of the other a table beside the shots."""
+    raw = read_shots(spark, p.path)
+    det = p.detector or detector(raw)
+    own = f"{det}/pyfai_q"
+    if own in raw.columns and f"{det}/azav_azav" not in raw.columns and "azav" not in raw.columns:
+        return [float(x) for x in raw.orderBy("shot").select(F.col(f"`{own}`").alias("q")).first().q]  # one number a q bin
     return spark.read.parquet(f"{p.path}.q").orderBy("idx").toPandas()["q"].tolist()  # one number a q bin
 
 
@@ -95,15 +101,25 @@ def emission(spark: SparkSession, values: dict[str, Any]) -> DataFrame:
 
 
 def overlap(spark: SparkSession, values: dict[str, Any]) -> DataFrame:
-    """(scan, on, off, diff): the scattering difference ten elements beyond the solvent maximum along the scan, which is
-    what fits.fit_overlap is given."""
+    """One row, the overlap of the pulses along the scan: scan_name, q_idx, position, fwhm, and the curve it is found on (bins,
+    curve, trace). The curve is the scattering difference ten elements beyond the solvent maximum. Timing scans (lxt in the
+    name) give the place where the curve's convolution with a step is largest, and its width in bins; others the
+    centre and width of a gaussian, without a trace. Without scattering there is no row."""
     p = build(Scattering, values)
-    out = scattering(spark, values)
-    top = out.groupBy("q_idx").agg(F.sum(N.nan_to_num(F.col("on"))).alias("v")).orderBy(F.desc("v"), "q_idx").first()  # a row per element
-    if top is None:
-        return out.drop("q_idx")
-    at = min(top.q_idx + 10, len(_axis(spark, p)) - 1)
-    return out.where(F.col("q_idx") == at).drop("q_idx").orderBy("scan")
+    s, on, off, name = _shots(spark, p)
+    axis = _axis(spark, p)
+    s, bins = _binned(s.withColumn("on_", on).withColumn("off_", off), name, p.bins, lower=True)
+    rows = profiles.corrected(s, "azav", axis, F.col("xray") == 0, ("on_",), *p.q_range)
+    mean = differences.global_profile(rows, "q_idx", F.col("v"), F.col("on_")).where(~F.isnan("value"))
+    top = fits.solvent_maximum(mean, "q_idx", "value")
+    out = profiles.scattering_difference(s, "azav", axis, "scan", F.col("on_"), F.col("off_"), F.col("xray") == 0, *p.q_range, bins=bins)
+    at = -1 if top is None else min(top + 10, len(axis) - 1)
+    step = "lxt" in (name or "")
+    curve = out.where(F.col("q_idx") == at).select("q_idx", "scan", (N.nan_to_num(F.col("diff")) if step else F.col("diff")).alias("diff"))
+    found = fits.overlap(curve, ["q_idx"], "scan", "diff", name or "")
+    whole = curve.groupBy("q_idx").agg(F.array_sort(F.collect_list(F.struct("scan", "diff"))).alias("c"))  # a row a bin
+    position, trace = (F.col("t0"), F.col("trace")) if step else (F.col("center"), F.lit(None).cast("array<double>"))
+    return found.join(whole, "q_idx").select(F.lit(name).alias("scan_name"), "q_idx", position.alias("position"), "fwhm", F.col("c.scan").alias("bins"), F.col("c.diff").alias("curve"), trace.alias("trace"))
 
 
 def find_peaks(spark: SparkSession, values: dict[str, Any]) -> DataFrame:

@@ -59,6 +59,7 @@ class Absorption(Scattering):
     energy: str = "ccm"
     set_point: str | None = None
     water_range: tuple[float, float] = (1.5, 3.5)
+    absorption_detector: str | None = None
 
 
 @dataclass
@@ -66,6 +67,7 @@ class Emission(Scattering):
     transpose: bool = False
     rotation: float | None = None
     half_width: int = 5
+    emission_detector: str | None = None
 
 
 @dataclass

@@ -185,9 +185,12 @@ def html_report(path: str, title: str, tables: dict[str, DataFrame], rows: int =
     return str(to)
 
 
-def display_path(scan_name: str | None, run: int | str, kind: str = "XSS") -> str:
-    """Where a scan's report is shown: by the kind of scan, then the run with four digits (0 if it is no number), the
-    scan's name (By_Event without one) and the kind of analysis. Without a scan's report of its own: kind/run_kind."""
+def display_path(scan_name: str | None, run: int | str, kind: str = "XSS", own: bool = False) -> str:
+    """Where a scan's report is shown: by the kind of scan (scattering has none of laser power), then the run with four
+    digits (0 if it is no number), the scan's name (By_Event without one) and the kind of analysis. own: of a report that
+    belongs to no scan, kind/run_kind."""
+    if own:
+        return f"{kind}/{int(run) if str(run).isdigit() else 0:04d}_{kind}"
     name = scan_name or "By_Event"
-    folder = "lens_scans" if "lens" in name else "power_scans" if "lxe_opa" in name else "time_scans"
+    folder = "lens_scans" if "lens" in name else "power_scans" if "lxe_opa" in name and kind != "XSS" else "time_scans"
     return f"{folder}/{int(run) if str(run).isdigit() else 0:04d}_{name}_{kind}"
