@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from shotframe.functions import numeric
 from shotframe.operators import images, kernels, sinks
 from shotframe.plans import analyses, parameters
 from shotframe.plans.pipeline import COMPLETED, WORKFLOWS
@@ -31,7 +32,7 @@ def test_graph_of_analyses(spark, shots):
     out = WORKFLOWS["shots"].run(spark, {"scattering": base, "overlap": base, "absorption": energy, "absorption_scan": energy, "emission": base})
     assert all(r.task_status == COMPLETED for r in out.values()), [r.summary for r in out.values()]
     assert out["scattering"].payload.count() == 3 * 8
-    assert out["overlap"].payload.count() == 3 and out["absorption_scan"].payload.count() == 3
+    assert out["overlap"].payload.count() == 1 and out["absorption_scan"].payload.count() == 3
     az, raw, e = np.array([r[5] for r in rows]), np.array([r[6] for r in rows]), np.array([r[7] for r in rows])
     x0, l0 = (np.array([r[k] for r in rows]) == 1 for k in (1, 2))
     norm = az[:, :, 3:6].mean((1, 2))  # q strictly between 1.5 and 3.5
@@ -57,6 +58,45 @@ def test_graph_of_analyses(spark, shots):
         assert d == pytest.approx(want)
 
 
+@pytest.mark.parametrize("name", ["lens_v", "lxt"])
+def test_overlap_equals_numpy(spark, tmp_path, name):
+    rng = np.random.default_rng(31)
+    n, q = 900, np.arange(30) * 0.15
+    scan = rng.integers(0, 24, n) / 10.0
+    xray, laser = rng.random(n) < 0.95, rng.random(n) < 0.5
+    ring = 3 * np.exp(-((q - 1.8) ** 2) / 0.1)  # the solvent
+    gain = np.where(laser, 0.6 * np.exp(-((scan - 1.1) ** 2) / 0.08) if name == "lens_v" else 0.5 * (scan > 1.25), 0.0)
+    az = (1 + ring + gain[:, None] * np.exp(-((q - 3.3) ** 2) / 0.2))[:, None, :] * rng.uniform(0.9, 1.1, (n, 2, 1)) + rng.normal(0, 0.01, (n, 2, 30))
+    az = np.where(xray[:, None, None], az, 0.05 + 0.001 * np.arange(30))
+    az[5, 1, 7] = np.nan
+    path = str(tmp_path / "t")
+    det = [(i, int(a), int(b), 2000.0, float(s), p.tolist(), q.tolist()) for i, (a, b, s, p) in enumerate(zip(xray, laser, scan, az, strict=True))]
+    spark.createDataFrame(det, f"shot long, `lightStatus/xray` int, `lightStatus/laser` int, `ipm5/sum` double, `scan/{name}` double, `Rayonix/pyfai_azav` {IMAGE}, `Rayonix/pyfai_q` array<double>").write.parquet(path)
+    values = {"path": path, "ipm": "ipm5/sum", "scan": name, "thresholds": {"min_iscat": 1.0, "min_ipm": 1000.0}}
+    r = analyses.overlap(spark, values).first()
+    p = np.nansum(az, 1)
+    dark = p[~xray].mean(0)
+    norm = np.nanmean(np.nanmean(az[:, :, (q > 0.9) & (q < 3.5)], 2), 1)
+    v = (p - dark) / norm[:, None]
+    keep = xray & (np.nansum(az, (1, 2)) > 1.0)
+    mean = np.nansum(v[keep & laser], 0) / n
+    tops = [i for i in range(1, 29) if mean[i - 1] < mean[i] > mean[i + 1] and mean[i] >= 1]
+    at = min((max(tops, key=lambda i: mean[i]) if tops else int(mean.argmax())) + 10, 29)
+    bins = np.unique(scan)
+    curve = np.array([v[keep & laser & (scan == b), at].mean() - v[keep & ~laser & (scan == b), at].mean() for b in bins])
+    assert r.scan_name == name and r.q_idx == at and r.bins == pytest.approx(bins.tolist()) and r.curve == pytest.approx(curve.tolist())
+    if name == "lxt":
+        kernel = np.zeros(len(bins))
+        kernel[: len(bins) // 2] = 1
+        trace = np.convolve(curve, kernel, mode="same")
+        assert r.trace == pytest.approx(trace.tolist()) and r.position == bins[trace.argmax()]
+        assert r.fwhm == pytest.approx(numeric.fwhm(bins, trace, np.arange(float(len(bins)))))
+    else:
+        fit = numeric.fit_gaussian(bins, curve)
+        assert r.trace is None and (r.position, r.fwhm) == pytest.approx((fit["center"], fit["sigma"] * 2.3548200), rel=1e-4)
+        assert r.position == pytest.approx(1.1, abs=0.05)
+
+
 def test_find_peaks_task(spark, tmp_path):
     image = np.zeros((20, 20))
     image[5, 5], image[5, 6], image[12, 12], image[12, 13] = 300, 250, 400, 200

@@ -1,7 +1,7 @@
 import pytest
 
 import oracle
-from shotframe import catalog, catalog_runs  # noqa: F401  the second adds its queries to the first
+from shotframe import catalog, catalog_kernels, catalog_runs  # noqa: F401  the others add their queries to the first
 
 SF = "/root/testdata/sf0.001"
 

@@ -50,7 +50,7 @@ def test_tasks_and_graphs(spark):
 
 def test_report_and_paths(spark, tmp_path):
     path = html_report(str(tmp_path), "scan", {"t": spark.range(2)})
-    assert os.path.exists(path) and display_path("lxt_ttc", "12", "XAS") == "time_scans/0012_lxt_ttc_XAS" and display_path(None, "x") == "time_scans/0000_By_Event_XSS" and display_path("lens_v", 3, "XES") == "lens_scans/0003_lens_v_XES" and display_path("lxe_opa", 3) == "power_scans/0003_lxe_opa_XSS"
+    assert os.path.exists(path) and display_path("lxt_ttc", "12", "XAS") == "time_scans/0012_lxt_ttc_XAS" and display_path(None, "x") == "time_scans/0000_By_Event_XSS" and display_path("lens_v", 3, "XES") == "lens_scans/0003_lens_v_XES" and display_path("lxe_opa", 3) == "time_scans/0003_lxe_opa_XSS" and display_path("lxe_opa", 3, "XAS") == "power_scans/0003_lxe_opa_XAS" and display_path(None, 7, "XAS", own=True) == "XAS/0007_XAS"
 
 
 def test_flatten():
