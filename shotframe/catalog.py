@@ -473,14 +473,19 @@ def find_peaks_images(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def geometry_search(spark: SparkSession, d: str) -> DataFrame:
-    import numpy as np
+    grid = geometry.center_grid(spark, (31.5, 30.25), [100.0], (-2, 2, 3), (-2, 2, 3))
+    return geometry.search(grid, image(spark, d), 1.0, 0.1, iterations=2)
+
 
-    rows = image(spark, d).collect()  # one detector image of 64 by 64 pixels
-    whole = np.zeros((64, 64))
-    for r in rows:
-        whole[r.row, r.col] = r.value
+@query(f"""WITH {IMAGE}, g AS (SELECT CAST(x * 3 + y AS INTEGER) AS candidate, 29.5 + 2 * x AS cx, 28.25 + 2 * y AS cy FROM range(3) AS a(x), range(3) AS b(y)),
+k AS (SELECT candidate, CAST(floor(sqrt(pow(col - cx, 2) + pow(row - cy, 2))) AS INTEGER) AS r, avg(value) AS m FROM image, g GROUP BY ALL),
+a AS (SELECT candidate, unnest(range(0, max(r) + 1)) AS r FROM k GROUP BY candidate)
+SELECT a.candidate, CAST(a.r AS INTEGER) AS r, round(CASE WHEN coalesce(m, 0) < 10 THEN 0 ELSE m END / pi(), 3) AS value FROM a LEFT JOIN k ON a.candidate = k.candidate AND a.r = k.r""")
+def candidate_profiles(spark: SparkSession, d: str) -> DataFrame:
+    """Radial profiles around every centre of a grid, in one aggregation over the pixels."""
     grid = geometry.center_grid(spark, (31.5, 30.25), [100.0], (-2, 2, 3), (-2, 2, 3))
-    return geometry.search(grid, whole, 1.0, 0.1, iterations=2)
+    found = geometry.candidate_profiles(image(spark, d), grid)
+    return found.select("candidate", F.posexplode("profile").alias("r", "value")).select("candidate", "r", F.round(F.col("value") / F.pi(), 3).alias("value"))
 
 
 # ledger

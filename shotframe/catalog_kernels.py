@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from shotframe.catalog import IMAGE, PIXELS, PROFILES, image, profile_shots, query, table
 from shotframe.functions import nansafe as N
-from shotframe.operators import droplets, peaks
+from shotframe.operators import droplets, images, peaks
 from shotframe.session import shared_folder
 from shotframe.sources import stacks
 from shotframe.streaming import blocks, reductions
@@ -87,6 +87,39 @@ def photons_in_droplets(spark: SparkSession, d: str) -> DataFrame:
     return placed.select("shot", F.explode("photon_places").alias("x")).select("shot", "x.*")
 
 
+# images
+
+
+def square_images(spark: SparkSession, d: str) -> DataFrame:
+    """(shot, image): profiles as images of one panel of eight rows of eight."""
+    rows = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.slice("p", i * 8 + 1, F.lit(8)))
+    return profile_shots(spark, d).select("shot", rows.alias("image"))
+
+
+@query(f"WITH {PROFILES} SELECT shot, CAST(7 - q_idx % 8 AS INTEGER) AS row, CAST(q_idx // 8 AS INTEGER) AS col, round(v, 6) + 0.0 AS value FROM cells")
+def rotated_images(spark: SparkSession, d: str) -> DataFrame:
+    """Turned by a right angle, where splines go through the pixels themselves."""
+    turned = images.rotated(square_images(spark, d), 90.0)
+    rows = turned.select("shot", F.posexplode("image").alias("row", "r")).select("shot", "row", F.posexplode("r").alias("col", "value"))
+    return rows.withColumn("value", F.round("value", 6) + 0.0)
+
+
+@query(f"""WITH {PROFILES}, b AS (SELECT shot, arg_max(q_idx, v) AS top FROM cells GROUP BY shot),
+c AS (SELECT shot, q_idx // 8 AS row, q_idx % 8 AS col, v, abs(q_idx // 8 - top // 8) <= 1 AND abs(q_idx % 8 - top % 8) <= 1 AS inside FROM cells JOIN b USING (shot)),
+m AS (SELECT shot, row // 2 AS br, col // 2 AS bc, coalesce(avg(v) FILTER (NOT inside), 0) AS mean FROM c GROUP BY ALL)
+SELECT shot, CAST(row AS INTEGER) AS row, CAST(col AS INTEGER) AS col, round(round(CASE WHEN inside THEN v ELSE mean END / 0.02e0) * 0.02e0, 6) + 0.0 AS value
+FROM c JOIN m USING (shot) WHERE row // 2 = br AND col // 2 = bc""")
+def lossy_images(spark: SparkSession, d: str) -> DataFrame:
+    """Regions of three by three pixels around the brightest one kept to 0.01, the rest in bins of two by two."""
+    p = profile_shots(spark, d)
+    top = F.array_position("p", F.array_max("p")) - 1
+    peak = F.struct(F.lit(0).alias("seg"), F.floor(top / 8).cast("int").alias("row"), (top % 8).cast("int").alias("col"))
+    rows = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.slice("p", i * 8 + 1, F.lit(8)))
+    kept = images.lossy_round_trip(p.select("shot", F.array(rows).alias("image"), F.array(peak).alias("peaks")), abs_error=0.01, window=3, bin_size=2)
+    cells = kept.select("shot", F.posexplode(F.get("image", F.lit(0))).alias("row", "r")).select("shot", "row", F.posexplode("r").alias("col", "value"))
+    return cells.withColumn("value", F.round("value", 6) + 0.0)
+
+
 # peaks of profiles
 
 

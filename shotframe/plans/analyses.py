@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from typing import Any
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +13,7 @@ from shotframe.operators.sinks import write_list
 from shotframe.plans.parameters import Absorption, Concatenate, Emission, GeometrySearch, Peaks, Scattering, build
 from shotframe.plans.pipeline import Task, register
 from shotframe.sources.shots import detector, read_shots, scan_variable, standard_columns
+from shotframe.sources.stacks import read_stacked_image
 
 
 def _shots(spark: SparkSession, p: Scattering) -> tuple[DataFrame, Column, Column, str | None]:
@@ -140,12 +140,12 @@ def find_peaks(spark: SparkSession, values: dict[str, Any]) -> DataFrame:
 def geometry_search(spark: SparkSession, values: dict[str, Any]) -> DataFrame:
     """The best candidate of the grid around the centre (the image's middle by default)."""
     p = build(GeometrySearch, values)
-    rows = spark.read.parquet(p.powder).select("row", "col", "value").toPandas()  # one assembled image
-    whole = np.zeros((int(rows["row"].max()) + 1, int(rows["col"].max()) + 1))
-    whole[rows["row"], rows["col"]] = rows["value"]
-    center = p.center or (whole.shape[1] / 2, whole.shape[0] / 2)
+    pixels = (read_stacked_image(spark, p.powder) if p.powder.endswith(".npy") else spark.read.parquet(p.powder)).select("row", "col", "value")
+    size = pixels.agg(F.max("row").alias("h"), F.max("col").alias("w")).first()
+    center = p.center or ((size.w + 1) / 2, (size.h + 1) / 2)
     grid = geometry.center_grid(spark, center, [p.distance], p.dx, p.dy)
-    return geometry.best_candidate(geometry.search(grid, whole, p.wavelength, p.pixel_size, p.n_iterations, p.n_peaks, p.threshold))
+    smooth = (p.filter_order, p.filter_threshold) if p.filter_profile else None
+    return geometry.best_candidate(geometry.search(grid, pixels, p.wavelength, p.pixel_size, p.n_iterations, p.n_peaks, p.threshold, smooth))
 
 
 def concatenate(spark: SparkSession, values: dict[str, Any]) -> str:

@@ -113,6 +113,9 @@ class GeometrySearch:
     dy: tuple[float, float, int] = (-6, 6, 5)
     center: tuple[float, float] | None = None
     distance: float = 100.0
+    filter_profile: bool = False
+    filter_order: int = 2
+    filter_threshold: float = 0.25
 
     def __post_init__(self) -> None:
         _check(self.wavelength > 0 and self.pixel_size > 0 and self.distance > 0, "lengths are above 0")

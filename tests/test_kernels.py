@@ -371,3 +371,32 @@ def test_butterworth_sections(spark):
     profile = spark.createDataFrame([("k", i, float(v)) for i, v in enumerate(y)], "k string, r int, value double")
     got = {r.r: r.value for r in images.smoothed_profile(profile, ["k"], floor=-1e9).collect()}
     assert [got[i] for i in range(80)] == pytest.approx(want)
+
+
+# lossy images
+
+
+def test_lossy_round_trip_keeps_regions(spark):
+    rng = np.random.default_rng(5)
+    panels = rng.normal(0, 50, (2, 13, 17))
+    panels[0, 3, 4] = np.nan
+    mask = (rng.random((2, 13, 17)) < 0.9).astype(int)
+    peaks_ = [(0, 2, 2), (1, 12, 16), (1, 6, 8)]
+    df = spark.createDataFrame([(0, panels.tolist(), peaks_), (1, None, None), (2, panels.tolist(), [])], "shot int, image array<array<array<double>>>, peaks array<struct<seg: int, row: int, col: int>>")
+    got = {r.shot: r for r in images.lossy_round_trip(df, abs_error=4.0, window=5, bin_size=3, mask=mask.tolist()).collect()}
+    out = np.array(got[0].image)
+    inside = np.zeros(panels.shape, bool)
+    for s, r, c in peaks_:
+        inside[s, max(0, r - 2) : r + 3, max(0, c - 2) : c + 3] = True
+    number = ~np.isnan(panels)
+    assert np.abs(out - panels)[inside & number].max() <= 4.0 + 1e-9 and np.isnan(out[0, 3, 4])
+    for s in range(2):
+        for r in range(13):
+            for c in range(17):
+                if not inside[s, r, c] and number[s, r, c]:
+                    box = np.s_[s, r // 3 * 3 : r // 3 * 3 + 3, c // 3 * 3 : c // 3 * 3 + 3]
+                    use = (~inside & number & (mask == 1))[box]
+                    mean = panels[box][use].mean() if use.any() else 0.0
+                    assert out[s, r, c] == pytest.approx(np.round(mean / 8.0) * 8.0 if mask[s, r, c] else 0.0)
+    assert got[0].bytes_raw == 4 * panels.size and 0 < got[2].bytes_kept < got[0].bytes_kept < got[0].bytes_raw
+    assert got[1].image is None and got[1].bytes_kept == 0

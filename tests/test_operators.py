@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from shotframe.functions import nansafe as N
 from shotframe.functions import numeric as K
+from shotframe.functions import splines
 from shotframe.operators import binning, differences, filters, fits, geometry, images, peaks, profiles, textscan
 
 INF, NAN = math.inf, math.nan
@@ -168,8 +169,21 @@ def test_geometry_search_finds_the_centre(spark):
     image = 100 + sum(400 * np.exp(-((r - k) ** 2) / 3) for k in (18, 36, 54))
     grid = geometry.center_grid(spark, (60.0, 60.0), [100.0], (-2, 2, 2), (-2, 2, 2))
     assert grid.count() == 4
-    best = geometry.best_candidate(geometry.search(grid, image, 1.0, 0.1, iterations=2)).first()
-    assert (best.cx, best.cy) == (pytest.approx(61.0, abs=0.6), pytest.approx(58.5, abs=0.6))
+    pixels = spark.createDataFrame([(int(a), int(b), float(v)) for a, b, v in zip(y.ravel(), x.ravel(), image.ravel(), strict=True)], "row int, col int, value double").repartition(3)
+    found = geometry.search(grid, pixels, 1.0, 0.1, iterations=2)
+    best = geometry.best_candidate(found).first()
+    assert (best.cx, best.cy) == (pytest.approx(61.0, abs=0.6), pytest.approx(58.5, abs=0.6)) and found.count() == 8
+    profiles_ = {r.candidate: r.profile for r in geometry.candidate_profiles(pixels, grid).collect()}
+    for c in grid.collect():
+        p = geometry.profile_of(image, c.cx, c.cy)
+        assert profiles_[c.candidate] == pytest.approx(p.tolist())
+        at = K.local_peaks(p, 1.0, 10)
+        dq, score = geometry.score_rings((2 * np.sin(np.arctan(at * 0.1 / c.distance) / 2) / 1.0)[at >= 0])
+        want = 2 * c.distance * np.arcsin(dq / 2) / np.tan(2 * np.arcsin(geometry.FIRST_RING / (2 * np.pi) / 2))
+        got = geometry.inferred_distances(geometry.ring_peaks(geometry.candidate_profiles(pixels, grid)), grid, 1.0, 0.1).where(F.col("candidate") == c.candidate).first()
+        assert (got.distance, got.score, got.n_rings) == (pytest.approx(want), pytest.approx(score, rel=1e-6), len(at))
+    smooth = geometry.candidate_profiles(pixels, grid, -1e9, (2, 0.25)).where("candidate = 0").first().profile
+    assert smooth == pytest.approx(splines.smoothed(np.array([geometry.profile_of(image, *[(c.cx, c.cy) for c in grid.where("candidate = 0").collect()][0], floor=-1e9)]))[0].tolist())
 
 
 def test_ring_scores_in_tasks_and_in_sql_agree(spark):
