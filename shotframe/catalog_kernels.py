@@ -11,7 +11,7 @@ from shotframe.functions import nansafe as N
 from shotframe.operators import droplets, images, peaks
 from shotframe.session import shared_folder
 from shotframe.sources import stacks
-from shotframe.streaming import blocks, reductions
+from shotframe.streaming import blocks, producer, reductions
 
 # array files by ranges of shots
 
@@ -55,6 +55,30 @@ def stream_powder_of_blocks(spark: SparkSession, d: str) -> DataFrame:
     return blocks.powder_of_batches(spark, f"{top}/out")
 
 
+def _produced(spark: SparkSession, d: str) -> str:
+    """A run of small images in four files, two a batch, with a stop after half of them."""
+    top = shared_folder(spark)
+    shots = profile_shots(spark, d).select("shot", "xray", F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.slice("p", i * 8 + 1, F.lit(8))).alias("image"))
+    for half in (0, 1):
+        shots.where(F.col("shot") % 2 == half).repartition(4).write.mode("append").parquet(f"{top}/in")
+        live = reductions.live_shots(spark, f"{top}/in", shots.schema, files_per_batch=2)
+        steps = [lambda s: s.withColumn("total", N.array_total(F.flatten("image"))), lambda s: s.withColumn("brightest", F.array_max(F.transform("image", F.array_max)))]
+        producer.run_producer(live, steps, f"{top}/run", f"{top}/state", {"detector": "small"}, ~F.col("xray"))
+    return f"{top}/run"
+
+
+@query(f"WITH {PROFILES} SELECT shot, any_value(xray) AS xray, round(sum(v), 5) + 0.0 AS total, round(max(v), 6) + 0.0 AS brightest FROM cells GROUP BY shot")
+def producer_events(spark: SparkSession, d: str) -> DataFrame:
+    out = producer.events_of(spark, _produced(spark, d))
+    return out.select("shot", "xray", (F.round("total", 5) + 0.0).alias("total"), (F.round("brightest", 6) + 0.0).alias("brightest"))
+
+
+@query(f"WITH {PROFILES} SELECT CAST(q_idx // 8 AS INTEGER) AS row, CAST(q_idx % 8 AS INTEGER) AS col, round(sum(v), 5) + 0.0 AS calib, round(sum(v) FILTER (NOT xray), 5) + 0.0 AS calib_dropped, round(sum(v * v) FILTER (NOT xray), 5) AS dropped_square FROM cells GROUP BY q_idx")
+def producer_sums(spark: SparkSession, d: str) -> DataFrame:
+    out = producer.sums_of(spark, _produced(spark, d))
+    return out.select("row", "col", (F.round("calib", 5) + 0.0).alias("calib"), (F.round("calib_dropped", 5) + 0.0).alias("calib_dropped"), F.round("calib_dropped_square", 5).alias("dropped_square"))
+
+
 # droplets
 
 

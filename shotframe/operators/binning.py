@@ -57,6 +57,14 @@ def bin_table(spark: SparkSession, edges: list[float], closed_last: bool = False
     return spark.createDataFrame(rows, "bin int, lo double, hi double, center double")
 
 
+def _halved(c: Column, edges: list[float], low: int, high: int) -> Column:
+    """The bin from low to high (exclusive) that c, which lies in one of them, is in: edges are compared by halves."""
+    if high - low == 1:
+        return F.lit(low)
+    middle = (low + high) // 2
+    return F.when(c < edges[middle], _halved(c, edges, low, middle)).otherwise(_halved(c, edges, middle, high))
+
+
 def assign_bin(c: Column, edges: list[float], closed_last: bool = False) -> Column:
     """Number of the half-open bin [lo, hi) that holds c; null outside, for null and for NaN. closed_last: the
     last bin holds its upper edge too."""
@@ -70,6 +78,6 @@ def assign_bin(c: Column, edges: list[float], closed_last: bool = False) -> Colu
         guess = F.greatest(F.lit(0), F.least(F.lit(n - 1), F.floor((c - edges[0]) / width).cast("int")))
         found = F.when(c < F.get(at, guess), guess - 1).when((c >= F.get(at, guess + 1)) & (guess < n - 1), guess + 1).otherwise(guess)
     else:
-        found = F.least(F.lit(n - 1), F.size(F.filter(at, lambda e: e <= c)) - 1)
+        found = _halved(c, edges, 0, n)
     inside = (c >= edges[0]) & ((c <= edges[-1]) if closed_last else (c < edges[-1])) & ~F.isnan(c)
     return F.when(inside, found)

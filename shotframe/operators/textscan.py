@@ -50,8 +50,9 @@ def indexing_rate(lines: DataFrame, line: str = "line") -> DataFrame:
 
 def shell_table(lines: DataFrame, line: str = "line", keep: tuple[str, ...] = ()) -> DataFrame:
     """(keep, columns: array of double) of the lines that begin with a number; others, as the header, are left out."""
-    parts = F.split(F.trim(line), r"\s+")
-    return lines.select(*keep, F.transform(parts, lambda x: x.try_cast("double")).alias("columns")).where(F.get("columns", F.lit(0)).isNotNull())
+    one = F.trim(F.regexp_replace(line, r"\s+", " "))
+    rows = lines.select(*keep, one.alias("_one")).where(F.substring_index("_one", " ", 1).try_cast("double").isNotNull())
+    return rows.select(*keep, F.split("_one", " ").try_cast("array<double>").alias("columns"))
 
 
 def figure_of_merit(header: str) -> str:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from shotframe.functions import numeric, splines
 from shotframe.operators import droplets, images, peaks
 from shotframe.sources import shots, stacks
-from shotframe.streaming import blocks, reductions
+from shotframe.streaming import blocks, producer, reductions
 
 IMAGE = "array<array<double>>"
 
@@ -168,6 +168,29 @@ def test_progress_is_reported(spark, tmp_path):
     assert said == [(20, 25, 5), (50, 50, 10), (100, 110, 22), (1000, 1010, 202)]
 
 
+def test_producer_writes_events_sums_and_config(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    said, whole = [], []
+    for k in range(2):
+        rows = [(100 * k + i, bool(rng.random() < 0.3), rng.normal(0, 5, (3, 4)).tolist()) for i in range(30)] + [(100 * k + 90, False, None)]
+        whole += rows
+        spark.createDataFrame(rows, f"shot int, off boolean, image {IMAGE}").repartition(3).write.mode("append").parquet(str(tmp_path / "in"))
+        live = reductions.live_shots(spark, str(tmp_path / "in"), f"shot int, off boolean, image {IMAGE}", 1)
+        steps = [lambda s: s.withColumn("top", F.array_max(F.flatten("image"))), lambda s: s.withColumn("twice", 2 * F.col("top"))]
+        producer.run_producer(live, steps, str(tmp_path / "out"), str(tmp_path / "ck"), {"run": k}, F.col("off"))
+    events = {r.shot: r for r in producer.events_of(spark, str(tmp_path / "out")).collect()}
+    assert len(events) == len(whole) == 62 and "image" not in events[0].asDict()
+    for shot, _, m in whole:
+        assert events[shot].twice == (pytest.approx(2 * np.max(m)) if m else None)
+    got = {(r.row, r.col): r for r in producer.sums_of(spark, str(tmp_path / "out")).collect()}
+    m, off = np.array([r[2] for r in whole if r[2]]), np.array([r[1] for r in whole if r[2]])
+    for i in range(3):
+        for j in range(4):
+            r = got[i, j]
+            assert (r.calib, r.calib_dropped, r.calib_dropped_square) == pytest.approx((m[:, i, j].sum(), m[off, i, j].sum(), (m[off, i, j] ** 2).sum()))
+    assert producer.config_of(spark, str(tmp_path / "out")) == {"run": 0} and not said  # of the first batch alone
+
+
 def test_first_batch_is_saved_once(spark):
     saved, seen = [], []
     batch = reductions.once_first(lambda df: saved.append(df.count()), lambda df, n: seen.append(n))
@@ -292,6 +315,48 @@ def test_peaks_of_many_profiles(spark):
             assert sorted(got.get(i, [])) == (brute_peaks(np.array(y), prominence, distance, -5.0) if y else [])
 
 
+def plain_peaks(panel, npix_min, npix_max, amax_thr, atot_thr, son_min, rank, r0, dr, nsigm):
+    """The finder pixel by pixel."""
+    h, w = panel.shape
+    out = []
+    for r in range(h):
+        for c in range(w):
+            a, b, d, e = max(0, r - rank), min(h, r + rank + 1), max(0, c - rank), min(w, c + rank + 1)
+            box = panel[a:b, d:e]
+            if panel[r, c] <= amax_thr or panel[r, c] < box.max() or (box == panel[r, c]).ravel().argmax() != (r - a) * (e - d) + c - d:
+                continue
+            ring = [panel[y, x] for y in range(h) for x in range(w) if r0 <= np.hypot(y - r, x - c) <= r0 + dr]
+            base, noise = (np.mean(ring), np.std(ring)) if ring else (0.0, 0.0)
+            label, _ = flood(box - base > nsigm * noise)
+            member = label == label[r - a, c - d] if label[r - a, c - d] else np.zeros(box.shape, bool)
+            member[r - a, c - d] = True
+            n, total, top = member.sum(), (box - base)[member].sum(), panel[r, c] - base
+            son = total / (noise * np.sqrt(n)) if noise > 0 else np.inf
+            if npix_min <= n <= npix_max and top >= amax_thr and total >= atot_thr and son >= son_min:
+                y, x = np.nonzero(member)
+                out.append((r, c, n, top, total, ((y + a) * (box - base)[member]).sum() / total, y.min() + a, y.max() + a, x.min() + d, x.max() + d, son))
+    return out
+
+
+def test_peak_finder_equals_a_plain_one(spark):
+    rng = np.random.default_rng(3)
+    made = []
+    for k in range(12):
+        m = rng.normal(0, 1, (2, 18, 21))
+        m = np.round(m * 2) if k % 3 == 0 else m
+        for _ in range(12):
+            m[rng.integers(2), rng.integers(18), rng.integers(21)] += rng.integers(5, 60)
+        made.append(m)
+    for rank, r0, dr in ((1, 2.0, 1.5), (3, 3.0, 2.0)):
+        settings = dict(npix_min=1, npix_max=30, amax_thr=3.0, atot_thr=4.0, son_min=1.0, rank=rank, r0=r0, dr=dr, nsigm=1.0)
+        df = spark.createDataFrame([(i, m.tolist()) for i, m in enumerate(made)] + [(50, None), (51, [])], "shot int, image array<array<array<double>>>").repartition(3)
+        got = {r.shot: r.peaks for r in peaks.find_peaks(df, **settings).collect()}
+        assert got[50] == got[51] == []
+        for i, m in enumerate(made):
+            want = [(s, *(pytest.approx(float(v)) for v in p)) for s in range(2) for p in plain_peaks(m[s], **settings)]
+            assert [(p.seg, p.row, p.col, p.npix, p.amax, p.atot, p.rcent, p.rmin, p.rmax, p.cmin, p.cmax, p.son) for p in got[i]] == want
+
+
 # splines and filters
 
 
