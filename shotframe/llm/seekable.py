@@ -119,7 +119,7 @@ def write_token_ids(docs: DataFrame, path: str, folder: str, end_id: int = 2, id
     Returns one row per file in that order: file, n_docs, n_ids, and start (ids in the files before). Ids are
     dealt by range, so each task writes one file, under another name until it is whole: a task that
     runs twice does no harm. Null text is empty; null ids come first; rows that repeat an id lie side
-    by side, ordered by text. An empty table gives no files. Other columns are not read."""
+    by side, in an order that their texts decide. An empty table gives no files. Other columns are not read."""
     spark = docs.sparkSession
     source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).alias("text"))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), text_bytes(source) // (64 << 20))
@@ -143,7 +143,9 @@ def write_token_ids(docs: DataFrame, path: str, folder: str, end_id: int = 2, id
             store.move(draft, name)
             yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (file, len(to.ids), int(np.sum(to.sizes, dtype=np.int64)))], ["file", "n_docs", "n_ids"])
 
-    files = materialize(source.repartitionByRange(parts, "id").sortWithinPartitions("id", "text").mapInArrow(written, "file long, n_docs long, n_ids long"), "files")
+    # the hash deals out the rows of a null or very common id
+    dealt = source.withColumn("own", F.xxhash64("text")).repartitionByRange(parts, "id", "own").sortWithinPartitions("id", "own", "text").select("id", "text")
+    files = materialize(dealt.mapInArrow(written, "file long, n_docs long, n_ids long"), "files")
     before = F.coalesce(F.sum("n_ids").over(W.orderBy("file").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     return files.select("file", "n_docs", "n_ids", before.alias("start"))  # a row for each file, no more
 
@@ -171,5 +173,5 @@ def read_token_ids(files: DataFrame, folder: str, id_col: str = "doc_id", wanted
     def _rows(rows: list) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["id", "start", "n_tokens", "ids_crc32", "ids"])
 
-    n = max(1, int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    n = max(1, int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")), files.count())
     return files.select("file", "start").repartition(n, "file").mapInArrow(read, "id long, start long, n_tokens long, ids_crc32 long, ids binary").withColumnRenamed("id", id_col)

@@ -3,6 +3,7 @@ merge into maximal removal intervals."""
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -102,8 +103,9 @@ def substring_dedup(docs: DataFrame, window: int = 13, id_col: str = "doc_id", t
         press = zstandard.ZstdCompressor(level=1).compress
         for b in batches:
             ids = b.column(0)
-            known = np.array([x or 0 for x in ids.to_pylist()], np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(_group(known, bits)), ids, pa.array([press(x) for x in as_bytes(b.column(1))], pa.binary())], ["g", "id", "z"])
+            texts = as_bytes(b.column(1))
+            known = np.array([zlib.crc32(t) if x is None else x for x, t in zip(ids.to_pylist(), texts, strict=True)], np.int64)  # rows without an id are dealt out by their texts
+            yield pa.RecordBatch.from_arrays([pa.array(_group(known, bits)), ids, pa.array([press(x) for x in texts], pa.binary())], ["g", "id", "z"])
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         ids = np.concatenate([np.empty(0, np.int64), *(unsqueeze_ids(x) for x in right.column("ids").to_pylist())])

@@ -14,13 +14,15 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, text_bytes
 
 #: Children of a node.
 FANOUT = 16
 #: The length of what lies behind a file's last record, whatever it is.
 TO_END = -1
 NAME = "part-{:06d}.warc.gz"
+#: Bytes of text in a file.
+FILE_BYTES = 256 << 20
 
 
 def record(url: Column, body: Column, named: Column, date: str = "2024-01-01T00:00:00Z") -> Column:
@@ -36,10 +38,10 @@ def record(url: Column, body: Column, named: Column, date: str = "2024-01-01T00:
 def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", body_col: str = "html") -> DataFrame:
     """Writes a gzip member for each page, in id order, to files under folder, and returns the manifest: file, seq
     (its number in the file), id, offset and length. A file is moved into place when whole, so a task
-    that runs twice does no harm. Null ids come first; repeated rows are written each, ordered by content. An
-    empty table gives no files. Other columns are not read."""
+    that runs twice does no harm. Null ids come first; repeated rows are written each, in an order that their content
+    decides. A file has some 256 MB of text, so their number grows with the table. An empty table gives no files. Other columns are not read."""
     rows = pages.select(F.col(id_col).cast("long").alias("id"), record(F.col(url_col), F.col(body_col), F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("record"))
-    parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), text_bytes(pages, body_col) // FILE_BYTES)
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, top = fs.FileSystem.from_uri(folder)
@@ -63,11 +65,19 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
             sink.close()
             store.move(draft, f"{top}/{NAME.format(file)}")
 
-    return materialize(rows.repartitionByRange(parts, "id").sortWithinPartitions("id", "record").mapInArrow(written, "file long, seq long, id long, offset long, length long"), "manifest")
+    # the hash deals out the rows of a null or very common id; ranges of texts themselves would sample them
+    rows = rows.withColumn("own", F.xxhash64("record")).repartitionByRange(parts, "id", "own").sortWithinPartitions("id", "own", "record").select("id", "record")
+    return materialize(rows.mapInArrow(written, "file long, seq long, id long, offset long, length long"), "manifest")
+
+
+def _parts(manifest: DataFrame, column: str) -> int:
+    """Partitions for the records or files of a manifest: by stored bytes, or one a file."""
+    found = manifest.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("length"), F.coalesce(F.max("file") + 1, F.lit(0)).alias("file")).first()
+    return max(int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")), found.file if column == "file" else found.length // (FILE_BYTES // 4))
 
 
 def _by_file(manifest: DataFrame) -> DataFrame:
-    parts = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = _parts(manifest, "length")
     return manifest.repartition(parts, "file", F.expr("seq div 4096")).sortWithinPartitions("file", "seq")
 
 
@@ -102,8 +112,7 @@ def copy_warc(manifest: DataFrame, source: str, target: str, changed: Callable[[
                 yield pa.RecordBatch.from_arrays([pa.array(done, pa.int64())], ["file"])
         close()
 
-    parts = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = manifest.repartition(parts, "file").sortWithinPartitions("file", "seq").select("file", "id", "offset", "length")
+    rows = manifest.repartition(_parts(manifest, "file"), "file").sortWithinPartitions("file", "seq").select("file", "id", "offset", "length")
     return materialize(rows.mapInArrow(copied, "file long"), "copied")
 
 
