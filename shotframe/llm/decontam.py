@@ -115,8 +115,9 @@ def build_index(ids: list[int], texts: list[bytes], shingle: int = 5, percent: i
 
 def block_max_wand(index: Index, terms: np.ndarray, live: np.ndarray) -> list[int]:
     """Items whose score with the query's terms is 1 or more, item at a time: lists are kept in order of their next
-    item; the pivot is the first item at which the lists' bounds reach 1. live: the blocks whose own bounds
-    do, in order; all lists leap over the others."""
+    item; the pivot is the first item at which the lists' bounds reach 1. If the largest impacts of these lists in the
+    pivot's block do not, they leap to the block's end, or to the next list's item if that comes first, and nothing in
+    between is read. live: the blocks whose own bounds reach 1, in order; all lists leap over the others."""
     a, size = index.begin[terms], index.begin[terms + 1] - index.begin[terms]
     at = np.repeat(a - (np.cumsum(size) - size), size) + np.arange(size.sum())
     alive = np.zeros(-(-len(index.ids) // BLOCK), bool)
@@ -133,6 +134,11 @@ def block_max_wand(index: Index, terms: np.ndarray, live: np.ndarray) -> list[in
     key = np.insert(rank, np.append(first[1:], len(at)), np.arange(len(first))) * (end + 1) + item
     begin = first + np.arange(len(first))
     own = np.arange(len(first)) * (end + 1)
+    # the largest impact of each list in each block that it has items in
+    blocks = len(alive) + 1
+    part = rank * blocks + index.item[at] // BLOCK
+    cut = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))) if len(at) else np.empty(0, int)
+    top, part = np.maximum.reduceat(index.impact[at], cut) if len(at) else index.impact[at], part[cut]
     now, found = begin.copy(), []
     while True:
         here = item[now]
@@ -141,7 +147,15 @@ def block_max_wand(index: Index, terms: np.ndarray, live: np.ndarray) -> list[in
         if p == len(order) or here[order[p]] == end:
             return found
         pivot = here[order[p]]
-        if here[order[0]] == pivot:
+        while p + 1 < len(order) and here[order[p + 1]] == pivot:
+            p += 1
+        upto = order[: p + 1]
+        of = upto * blocks + pivot // BLOCK
+        k = np.minimum(np.searchsorted(part, of), len(part) - 1)
+        if np.where(part[k] == of, top[k], 0.0).sum() < 1 - 1e-9:
+            after = (pivot // BLOCK + 1) * BLOCK if p + 1 == len(order) else min((pivot // BLOCK + 1) * BLOCK, here[order[p + 1]])
+            now[upto] = np.searchsorted(key, own[upto] + min(int(after), end))
+        elif here[order[0]] == pivot:
             same = here == pivot
             if impact[now[same]].sum() >= 1 - 1e-9:
                 found.append(int(pivot))
