@@ -6,9 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shotframe.catalog import IMAGE, PIXELS, PROFILES, image, profile_shots, query, table
+from shotframe.catalog import IMAGE, LEDGER, PIXELS, PROFILES, entries, gen_cfg, image, profile_shots, query, table
 from shotframe.functions import nansafe as N
-from shotframe.operators import droplets, images, peaks
+from shotframe.operators import droplets, geomfile, images, peaks
+from shotframe.plans import lineage
 from shotframe.session import shared_folder
 from shotframe.sources import stacks
 from shotframe.streaming import blocks, producer, reductions
@@ -156,3 +157,46 @@ SELECT shot, CAST(i - 1 AS INTEGER) AS place, round(v, 6) + 0.0 AS value, round(
 def prominent_profile_peaks(spark: SparkSession, d: str) -> DataFrame:
     found = peaks.profile_peaks(profile_shots(spark, d), ["shot"], "p", prominence=0.1, distance=5)
     return found.select("shot", "place", *((F.round(c, 6) + 0.0).alias(c) for c in ("value", "prominence")))
+
+
+# geometry files and lineage
+
+
+def geometry_panels(spark: SparkSession, d: str) -> DataFrame:
+    p = table(spark, d, "part")
+    long = lambda c: F.lit(c).cast("long")
+    turn = (F.col("p_partkey") % 4) * 0.25
+    return p.select(
+        F.col("p_size").alias("file"), F.concat(F.lit("p"), "p_partkey").alias("panel"), long(0).alias("min_fs"), (F.col("p_partkey") % 3).alias("max_fs"), long(0).alias("min_ss"), (F.col("p_partkey") % 2).alias("max_ss"),
+        (F.col("p_retailprice") / 10).alias("corner_x"), (-F.col("p_retailprice") / 4).alias("corner_y"), F.lit(13333.0).alias("res"), (F.col("p_size") / 100).alias("coffset"),
+        F.struct((1 - turn).alias("x"), turn.alias("y")).alias("fs"), F.struct((-turn).alias("x"), (1 - turn).alias("y")).alias("ss"))
+
+
+@query("""WITH p AS (SELECT p_size AS file, 'p' || p_partkey AS panel, p_partkey % 3 AS f1, p_partkey % 2 AS s1, p_retailprice / 10 AS cx, -p_retailprice / 4 AS cy, (p_partkey % 4) * 0.25 AS t, p_size / 100 AS coffset FROM part),
+c AS (SELECT *, a AS fs, b AS ss FROM p, range(3) AS x(a), range(2) AS y(b) WHERE a <= f1 AND b <= s1)
+SELECT file, panel, fs, ss, round(cx + fs * (1 - t) - ss * t, 4) AS x, round(cy + fs * t + ss * (1 - t), 4) AS y FROM c""")
+def geometry_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Panels written as lines of a geometry file, read back and laid out as pixels."""
+    lines = geomfile.geometry_lines(geometry_panels(spark, d), keep=("file",))
+    places = geomfile.pixel_places(geomfile.panels(lines, keep=("file",)), keep=("file",))
+    return places.select("file", "panel", "fs", "ss", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))
+
+
+@query("""WITH l AS (SELECT p_partkey AS id, p_size % 4 AS k, p_brand AS b FROM part)
+SELECT id, CASE WHEN k = 1 THEN 'p1' END AS panel, CASE k WHEN 0 THEN 'clen' WHEN 1 THEN 'fs' ELSE 'mask' END AS key, CASE k WHEN 0 THEN '0.58' WHEN 1 THEN '+1.0x -0.5y' ELSE '/' || b END AS value FROM l WHERE k < 3""")
+def geometry_entries(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("p_size") % 4
+    line = F.when(k == 0, "clen =  0.58 ; metres").when(k == 1, " p1/fs = +1.0x -0.5y").when(k == 2, F.concat(F.lit("mask = /"), "p_brand")).otherwise("; res = 5")
+    return geomfile.entries(table(spark, d, "part").select(F.col("p_partkey").alias("id"), line.alias("line")), keep=("id",))
+
+
+@query(f"""WITH {LEDGER}, r AS (SELECT e.id, e.valid_flag, e.tag, gen.run FROM entries AS e JOIN gen ON e.gen_cfg_id = gen.id),
+m AS (SELECT run, arg_max(tag, id) AS sym, max(id) AS id FROM r WHERE valid_flag = 1 AND id % 3 <> 0 GROUP BY run), i AS (SELECT run, max(id) AS id FROM r WHERE id % 3 = 0 GROUP BY run)
+SELECT run, 'in_files' AS parameter, '/w/' || id || '.hkl1 /w/' || id || '.hkl2' AS value, 'merge' AS source FROM m UNION ALL SELECT run, 'symmetry', sym, 'merge' FROM m
+UNION ALL SELECT run, 'shell_file', '/w/' || id || '_Rsplit_n10.dat', 'merge' FROM m UNION ALL SELECT run, 'cell_file', id || '.cell', 'index' FROM i""")
+def ledger_lineage(spark: SparkSession, d: str) -> DataFrame:
+    """What each run's comparison of merged data would take from the ledger for its empty parameters."""
+    e = entries(spark, d)
+    merge = e.where("id % 3 <> 0").select("id", "gen_cfg_id", "valid_flag", F.concat(F.lit("/w/"), "id", F.lit(".hkl")).alias("out_file"), F.col("tag").alias("symmetry"))
+    index = e.where("id % 3 = 0").select("id", "gen_cfg_id", "valid_flag", F.concat("id", F.lit(".cell")).alias("cell_file"))
+    return lineage.filled_by_run({"merge": merge, "index": index}, gen_cfg(spark, d), "compare", {"fom": "Rsplit", "nshells": 10})

@@ -138,30 +138,6 @@ WORKFLOWS = {
 }
 
 
-#: Parameters that may be left empty, and where the ledger has their value: a task and a column, in order of preference.
-LINEAGE = {
-    ("scattering", "path"): [("shots", "result.payload")],
-    ("overlap", "path"): [("shots", "result.payload"), ("scattering", "path")],
-    ("absorption", "path"): [("shots", "result.payload"), ("scattering", "path")],
-    ("absorption_scan", "path"): [("shots", "result.payload"), ("absorption", "path")],
-    ("emission", "path"): [("shots", "result.payload"), ("scattering", "path")],
-    ("concatenate", "in_dir"): [("find_peaks", "out")],
-    ("concatenate", "tag"): [("find_peaks", "tag")],
-}
-
-
-def filled(ledger: Any, task: str, values: dict[str, Any], run: Any = None, experiment: str | None = None) -> dict[str, Any]:
-    """Parameters with the empty ones taken from the last valid entry of the run that has them; the rest as they are."""
-    out = dict(values)
-    for (name, parameter), sources in LINEAGE.items():
-        if name == task and out.get(parameter) in (None, ""):
-            found = (ledger.latest(t, column, run=run, experiment=experiment) for t, column in sources)
-            value = next((v for v in found if v not in (None, "")), None)
-            if value is not None:
-                out[parameter] = value
-    return out
-
-
 def last_result(entries: DataFrame, task_output: str = "path") -> str | None:
     """The output of the latest valid entry of a task in the ledger, as default for a parameter left empty."""
     from shotframe.operators.ledger import latest_entry

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shotframe.functions import numeric, splines
-from shotframe.operators import droplets, images, peaks
+from shotframe.operators import droplets, geomfile, images, peaks
 from shotframe.sources import shots, stacks
 from shotframe.streaming import blocks, producer, reductions
 
@@ -465,3 +465,21 @@ def test_lossy_round_trip_keeps_regions(spark):
                     assert out[s, r, c] == pytest.approx(np.round(mean / 8.0) * 8.0 if mask[s, r, c] else 0.0)
     assert got[0].bytes_raw == 4 * panels.size and 0 < got[2].bytes_kept < got[0].bytes_kept < got[0].bytes_raw
     assert got[1].image is None and got[1].bytes_kept == 0
+
+
+# geometry files
+
+
+def test_geometry_file_panels(spark):
+    lines = ["; made by hand", "clen = 0.1", "res = 9090.9", "coffset = 0.58 ; metres", "p0/min_fs = 0", "p0/max_fs = 1", "p0/min_ss = 0", "p0/max_ss = 0", "p0/corner_x = -10.5", "p0/corner_y = 3", "p0/fs = x", "p0/ss = -0.5x+0.75y", "p1/min_fs = 2", "p1/max_fs = 2", "p1/min_ss = 1", "p1/max_ss = 2", "p1/corner_x = 0", "p1/corner_y = 0", "p1/fs = -y", "p1/ss = 1e-1x", "p1/res = 5000", "bad0/min_fs = 4", "rigid_group_a = p0,p1"]
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    got = {r.panel: r for r in geomfile.panels(df).collect()}
+    assert set(got) == {"p0", "p1"} and (got["p0"].res, got["p1"].res, got["p1"].coffset) == (9090.9, 5000.0, 0.58)
+    assert tuple(got["p0"].fs) == (1.0, 0.0) and tuple(got["p0"].ss) == (-0.5, 0.75) and tuple(got["p1"].fs) == (0.0, -1.0) and tuple(got["p1"].ss) == (0.1, 0.0)
+    places = {(r.panel, r.fs, r.ss): (r.x, r.y) for r in geomfile.pixel_places(geomfile.panels(df)).collect()}
+    assert places["p0", 1, 0] == (-9.5, 3.0) and places["p1", 2, 2] == (0.1, 0.0) and len(places) == 4
+    name = spark.createDataFrame([("MFXEndstation.0:Epix10ka2M.0",), ("Jungfrau4M of cxi",)], "n string")
+    assert [r[0] for r in name.select(geomfile.camera_length_of(F.col("n"))).collect()] == ["MFX:ROB:CONT:POS:Z", "CXI:DS1:MMS:06.RBV"]
+    with pytest.raises(Exception, match="no camera length"):
+        spark.createDataFrame([("other",)], "n string").select(geomfile.camera_length_of(F.col("n"))).collect()
+    assert spark.range(1).select(geomfile.camera_offset(F.lit(100.0), F.lit(40.0))).first()[0] == pytest.approx(0.06)

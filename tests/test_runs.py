@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from shotframe.functions import numeric
 from shotframe.operators import fits, hits, kernels, masks, sinks
 from shotframe.operators.ledger import Ledger
-from shotframe.plans.pipeline import COMPLETED, FAILED, Task, filled, html_report
+from shotframe.plans.lineage import filled, filled_by_run
+from shotframe.plans.pipeline import COMPLETED, FAILED, Task, html_report
 from shotframe.sources import instrument, shots
 from shotframe.streaming import reductions
 
@@ -86,6 +87,28 @@ def test_empty_parameters_come_from_the_ledger(spark, tmp_path):
     assert Task("v", lambda s, p: 3).run(spark, {}).task_status == COMPLETED
 
 
+def test_parameters_of_merging_and_solving(spark, tmp_path):
+    led = Ledger(spark, str(tmp_path / "led"))
+    for run in ("3", "4"):
+        head, own = {"experiment": "e1", "run": run}, {"env": "A"}
+        led.record("index", head, own, {"out_file": f"/w/e1_r{run}_tag.stream", "cell_file": "lyso.cell"}, {"task_status": "FAILED"})
+        led.record("merge", head, own, {"out_file": f"/w/r{run}.hkl", "symmetry": "422"}, {"task_status": "COMPLETED"})
+        led.record("merge", head, own, {"out_file": "/w/bad.hkl", "symmetry": "1"}, {"task_status": "FAILED"})
+        led.record("manipulate", head, own, {"out_file": f"/x/r{run}.mtz"}, {"task_status": "COMPLETED"})
+    empty = {"in_files": "", "cell_file": "", "symmetry": "", "shell_file": "", "fom": "Rsplit", "nshells": 10}
+    want = {"in_files": "/w/r3.hkl1 /w/r3.hkl2", "cell_file": "lyso.cell", "symmetry": "422", "shell_file": "/w/r3_Rsplit_n10.dat"}
+    assert filled(led, "compare", empty, run="3") == empty | want
+    assert filled(led, "solve", {}, run="4") == {"in_file": "/x/r4.mtz", "out_dir": "/x"}
+    assert filled(led, "prepare", {}, run="4") == {"in_file": "</x/r4.mtz"} and filled(led, "manipulate", {"in_file": "a"}, run="4")["out_file"] == "/w/r4.mtz"
+    assert filled(led, "concatenate", {}) == {}  # indexing failed
+    tables = {t: led.table(t) for t in ("index", "merge", "manipulate")}
+    for task in ("compare", "solve", "prepare", "manipulate", "merge"):
+        got = {}
+        for r in filled_by_run(tables, led.table("gen_cfg"), task, empty).collect():
+            got.setdefault(r.run, {})[r.parameter] = r.value
+        assert all(filled(led, task, dict(empty), run=run) == empty | got.get(run, {}) for run in ("3", "4"))
+
+
 def test_steps_over_images(spark):
     df = spark.createDataFrame([(0, [[0.0, 200.0], [0.0, 190.0]])], "shot int, image array<array<double>>")
     out = kernels.stacked(df, kernels.droplets, kernels.droplet_photons, lambda d: d.drop("image"))
