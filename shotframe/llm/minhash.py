@@ -3,7 +3,7 @@
 A set of shingles has a signature of minimum hashes. The first SYMBOLS of them, with b = 8 bits each, are indexed: signatures
 that differ there in at most DISTANCE symbols are found by pigeonhole: cut into (DISTANCE + 1) / 2 chunks, two such signatures
 have a chunk in which they differ in one symbol at most. Every chunk is indexed once for each symbol that may be wrong, with that symbol left out, so that two signatures share a key exactly if a chunk of theirs has at most
-one error. Pairs that are found are judged by the whole signature, WHOLE minima of b = 4 bits each, then on their sets.
+one error. Pairs that are found are judged by the whole signature, WHOLE minima of b = 2 bits each, then on their sets.
 """
 
 from __future__ import annotations
@@ -24,9 +24,11 @@ from .windows import low_bytes, mix, runs, shingle_sets, split_by_bucket, whole_
 #: similarity of 0.8 each symbol differs with probability 0.2, so that one pair in 2 million at the very threshold
 #: differs in more than 49 of 128; pairs further above it are lost far more rarely still.
 SYMBOLS, DISTANCE = 128, 49
-#: Symbols of the whole signature and in how many of them a pair may differ: one pair in 1.5 million at the threshold has more.
-WHOLE, WHOLE_DISTANCE = 1024, 254
-_UNLIKE = np.array([(x & 15 > 0) + (x >> 4 > 0) for x in range(256)], np.uint8)
+#: Symbols of the whole signature and in how many of them a pair may differ: one pair in 1.8 million at the threshold has more.
+WHOLE, WHOLE_DISTANCE = 2048, 388
+_UNLIKE = np.array([sum(x >> k & 3 > 0 for k in (0, 2, 4, 6)) for x in range(256)], np.uint8)
+#: Keys that a document shares with a pivot before its set is read for that; pairs at the threshold share 51 in the mean.
+ENOUGH = 24
 #: Members of a list that meet another block's, and bytes of signatures that are compared at a time.
 MEET, COMPARED = 2048, 1 << 25
 #: Keys that a task gathers before it sends them on, and that a bucket is to hold.
@@ -36,30 +38,34 @@ AT_ONCE = 1 << 16
 
 
 def _seeds(symbols: int) -> tuple[np.ndarray, np.ndarray]:
-    x = mix(np.arange(1, 2 * symbols + 1, dtype=np.uint64))
-    return x[:symbols], x[symbols:] | np.uint64(1)
+    x = (mix(np.arange(1, 2 * symbols + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
+    return x[:symbols], x[symbols:] | np.uint32(1)
 
 
 def signatures(h: np.ndarray, count: np.ndarray, symbols: int = WHOLE) -> np.ndarray:
-    """One row of symbols bytes for each set: the top byte of each minimum, mixed. h has the sets' 64-bit hashes one after the
-    other, count their sizes (one at least)."""
+    """One row of symbols bytes for each set, of each minimum its top byte, mixed. h has the sets' 64-bit hashes one after the
+    other, of which half serves here, count their sizes (one at least)."""
     out = np.empty((len(count), symbols), np.uint8)
     flip, times = _seeds(symbols)
-    ends = np.cumsum(count)
+    half, ends = h.astype(np.uint32), np.cumsum(count)
     a = 0
     while a < len(count):
         b = max(a + 1, int(np.searchsorted(ends, ends[a] - count[a] + AT_ONCE, side="right")))
         base = ends[a] - count[a]
-        own, starts = h[base : ends[b - 1]], ends[a:b] - count[a:b] - base
+        own, starts = half[base : ends[b - 1]], ends[a:b] - count[a:b] - base
+        now = np.empty_like(own)
         for k in range(symbols):
-            out[a:b, k] = mix(np.minimum.reduceat((own ^ flip[k]) * times[k], starts)) >> np.uint64(56)
+            np.bitwise_xor(own, flip[k], out=now)
+            np.multiply(now, times[k], out=now)
+            out[a:b, k] = mix(np.minimum.reduceat(now, starts).astype(np.uint64)) >> np.uint64(56)
         a = b
     return out
 
 
 def packed(sig: np.ndarray) -> np.ndarray:
-    """The indexed symbols as they are, and all symbols with four bits each, two in a byte."""
-    return np.concatenate((sig[:, :SYMBOLS], sig[:, ::2] & 15 | sig[:, 1::2] << 4), axis=1)
+    """The indexed symbols as they are, and all symbols with two bits each, four in a byte."""
+    two = sig & 3
+    return np.concatenate((sig[:, :SYMBOLS], two[:, ::4] | two[:, 1::4] << 2 | two[:, 2::4] << 4 | two[:, 3::4] << 6), axis=1)
 
 
 def chunks(symbols: int, distance: int) -> list[range]:
@@ -156,20 +162,6 @@ def shared_keys(signed: DataFrame, rows: int, distance: int = DISTANCE) -> DataF
     return signed.mapInArrow(sent, "bucket long, keys binary, ids binary, many binary").groupBy("bucket").applyInArrow(repeated, "key long, id long")
 
 
-def _distance(pairs: DataFrame, signed: DataFrame) -> DataFrame:
-    """pairs (a, b, ...) with the number of indexed symbols in which their signatures differ: apart."""
-    sig = F.substring("sig", 1, SYMBOLS)
-    both = pairs.join(signed.select(F.col("id").alias("a"), sig.alias("sa")), "a").join(signed.select(F.col("id").alias("b"), sig.alias("sb")), "b")
-    kept = pairs.columns
-
-    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in batches:
-            x, y = (np.frombuffer(b"".join(t.column(c).to_pylist()), np.uint8).reshape(t.num_rows, -1) for c in ("sa", "sb"))
-            yield pa.RecordBatch.from_arrays([*(t.column(c) for c in kept), pa.array((x != y).sum(1), pa.int64())], [*kept, "apart"])
-
-    return both.select(*kept, "sa", "sb").mapInArrow(told, ", ".join(f"{c} long" for c in (*kept, "apart")))
-
-
 def _sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(id, tokens) of all (id, same) that are asked for: the shingles of the id's text whose set has that digest."""
 
@@ -205,14 +197,31 @@ def _near(percent: int, n: str, m: str) -> Column:
     return F.expr(f"100 * least({n}, {m}) >= {percent} * greatest({n}, {m})")
 
 
-def _near_pairs(t: pa.Table, percent: int) -> pa.Table:
+def _first_shared(x: np.ndarray, y: np.ndarray, distance: int) -> np.ndarray:
+    """Of pairs of indexed signatures the number (in the order of chunk_keys) of the first key that both have; -1 of none."""
+    unlike = x != y
+    begin = np.array([c.start for c in chunks(x.shape[1], distance)])
+    errors = np.add.reduceat(unlike, begin, axis=1, dtype=np.int64)
+    part = (errors <= 1).argmax(1)
+    row = np.arange(len(x))
+    ahead = np.minimum(begin[part][:, None] + np.arange(x.shape[1] // len(begin) + 1), x.shape[1] - 1)  # a chunk has no more symbols
+    where = begin[part] + unlike[row[:, None], ahead].argmax(1)
+    return np.where(errors[row, part] == 0, begin[part], np.where(errors[row, part] == 1, where, -1))
+
+
+def _near_pairs(t: pa.Table, percent: int, distance: int) -> pa.Table:
     """(a, b) of the members of t's lists (key, id, n, label, side, sig) that lie in different components, have sizes that can
-    link, and whose whole signatures are near; of two blocks' members only pairs of both sides."""
+    link, and whose whole signatures are near; of two blocks' members only pairs of both sides. Of the lists that a pair is in,
+    the one of the first key that it shares tells it, the others do not."""
     key, ids, n, label, side = (t.column(c).to_numpy() for c in ("key", "id", "n", "label", "side"))
-    sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint8).reshape(len(ids), -1)[:, SYMBOLS:]
+    both = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint8).reshape(len(ids), -1)
+    index, sig = both[:, :SYMBOLS], both[:, SYMBOLS:]
     order = np.argsort(key, kind="stable")
+    lists = runs(key[order])
+    heads = order[[a for a, _ in lists]]
+    number = (np.stack(list(chunk_keys(index[heads], distance))).view(np.int64) == key[heads]).argmax(0)  # which of its members' keys a list is of
     found = [np.empty((0, 2), np.int64)]
-    for a, b in runs(key[order]):
+    for (a, b), own_key in zip(lists, number.tolist(), strict=True):
         own = order[a:b]
         names, of, many = np.unique(label[own], return_inverse=True, return_counts=True)
         if len(names) < 2:
@@ -222,14 +231,17 @@ def _near_pairs(t: pa.Table, percent: int) -> pa.Table:
         for k in range(0, len(rest), step):
             u = own[rest[k : k + step]]
             x, y = np.nonzero((label[u][:, None] != label[own]) & (100 * np.minimum(n[u][:, None], n[own]) >= percent * np.maximum(n[u][:, None], n[own])) & ((side[u][:, None] != side[own]) | (side[own] < 0)))
-            near = _UNLIKE[sig[u[x]] ^ sig[own[y]]].sum(1, dtype=np.int64) <= WHOLE_DISTANCE
-            i, j = ids[u[x[near]]], ids[own[y[near]]]
+            x, y = u[x], own[y]
+            near = _UNLIKE[sig[x] ^ sig[y]].sum(1, dtype=np.int64) <= WHOLE_DISTANCE
+            x, y = x[near], y[near]
+            told = _first_shared(index[x], index[y], distance) == own_key
+            i, j = ids[x[told]], ids[y[told]]
             found.append(np.stack((np.maximum(i, j), np.minimum(i, j)), axis=1))
     pairs = np.unique(np.concatenate(found), axis=0)
     return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
 
-def _open_pairs(now: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
+def _open_pairs(now: DataFrame, signed: DataFrame, percent: int, distance: int) -> DataFrame:
     """(a, b): the near pairs of different components in the lists (key, id, n, label). Lists meet in blocks of bounded size, in
     which signatures are compared where they lie: pairs that are not near never become rows."""
     size = now.groupBy("key").agg(F.count("*").alias("m")).select("key", F.expr(f"(m + {MEET - 1}) div {MEET}").alias("blocks"))
@@ -242,7 +254,7 @@ def _open_pairs(now: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
     wide = wide.select(*columns, F.col("key").alias("task"), F.least("own", "other").cast("int").alias("i"), F.greatest("own", "other").cast("int").alias("j"), side.alias("side"))
 
     def near(t: pa.Table) -> pa.Table:
-        return _near_pairs(t, percent)
+        return _near_pairs(t, percent, distance)
 
     met = small.union(wide).join(signed.select("id", "sig"), "id").select(*columns, "side", "sig", "task", "i", "j")
     return met.groupBy("task", "i", "j").applyInArrow(near, "a long, b long").distinct()
@@ -251,7 +263,7 @@ def _open_pairs(now: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
 def _roots(docs: DataFrame, signed: DataFrame, lists: DataFrame, words: int, percent: int, distance: int) -> DataFrame:
     """(id, root) of the components that all links of pairs in a list make.
 
-    Two turns check each document against the pivot nearest by signature, of one and then of eight in each of its lists: most
+    Two turns check each document against the pivot that it shares most keys with, of one and then of eight in each of its lists: most
     groups of copies are whole after these, and pairs within a component need no more checks. Then every pair of a list that
     lies in two components is checked, so that none is given up."""
     rich = lists.groupBy("key").agg((F.count("*") - 1).alias("m")).join(lists, "key").groupBy("id").agg(F.sum("m").alias("rich"))
@@ -264,14 +276,14 @@ def _roots(docs: DataFrame, signed: DataFrame, lists: DataFrame, words: int, per
         if now.isEmpty():
             break
         if turn == 2:
-            pairs = _open_pairs(now.drop("rich"), signed, percent)
+            pairs = _open_pairs(now.drop("rich"), signed, percent, distance)
         else:
             pivots = now.groupBy("key", F.pmod(F.xxhash64("id"), F.lit((1, 8)[turn])).alias("salt")).agg(F.max(F.struct("rich", -F.col("id"), "n", "label")).alias("p"))
             pivots = pivots.select("key", (-F.col("p.col2")).alias("pivot"), F.col("p.n").alias("pn"), F.col("p.label").alias("plabel"))
-            pairs = now.join(pivots, "key").where((F.col("label") != F.col("plabel")) & _near(percent, "n", "pn")).select("id", "pivot").distinct()
-            pairs = pairs.select(F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b"), "id")
-            pairs = _distance(pairs, signed).where(F.col("apart") <= distance)
-            pairs = pairs.groupBy("id").agg(F.min(F.struct("apart", "a", "b")).alias("best")).select("best.a", "best.b").distinct()
+            met = now.join(pivots, "key").where((F.col("label") != F.col("plabel")) & _near(percent, "n", "pn"))
+            met = met.groupBy("id", "pivot").agg(F.count("*").alias("m")).where(F.col("m") >= ENOUGH)
+            best = met.groupBy("id").agg(F.max(F.struct("m", -F.col("pivot"))).alias("p")).select("id", (-F.col("p.col2")).alias("pivot"))
+            pairs = best.select(F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b")).distinct()
         pairs = materialize(pairs, "pairs")
         wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
         wanted = wanted if sets is None else wanted.join(sets.select("id"), "id", "left_anti")

@@ -73,6 +73,17 @@ def test_signatures_estimate_similarity():
         assert abs((s[0] == s[1]).mean() - shared / (4000 - shared)) < 0.15
 
 
+def test_first_shared_key():
+    rng = np.random.default_rng(7)
+    x = rng.integers(0, 4, (300, 128), dtype=np.uint8)
+    y = np.where(rng.random((300, 128)) < 0.3, rng.integers(0, 4, (300, 128)), x).astype(np.uint8)
+    same = np.stack(list(minhash.chunk_keys(x))) == np.stack(list(minhash.chunk_keys(y)))
+    want = np.where(same.any(0), same.argmax(0), -1)
+    assert np.array_equal(minhash._first_shared(x, y, 49), want) and (want >= 0).any()
+    z = (x + 1).astype(np.uint8)
+    assert set(minhash._first_shared(x, z, 49)) == {-1}
+
+
 @pytest.mark.parametrize("block", [1_000_000, 600])
 def test_minhash_near_dedup_equals_brute_force(spark, block, monkeypatch):
     monkeypatch.setattr(minhash, "BLOCK", block)  # the smaller one: a few documents a block, keys that repeat in it
