@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from shotframe.functions import nansafe as N
 from shotframe.operators import binning, differences, filters, fits, geometry, images, ledger, peaks, profiles, textscan
+from shotframe.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -526,17 +527,21 @@ def ledger_flatten(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT 'n_regionkey' AS name UNION ALL SELECT 'n_name' UNION ALL SELECT 'n_nationkey'")
 def ledger_new_columns(spark: SparkSession, d: str) -> DataFrame:
-    names = lambda t: spark.createDataFrame([(c,) for c in table(spark, d, t).columns], "name string")
-    return names("nation").join(names("region"), "name", "left_anti")
+    """What a row like those of nation would add to a ledger that has a row of region."""
+    kept = ledger.Ledger(spark, shared_folder(spark))
+    first = lambda t: table(spark, d, t).first().asDict()
+    kept.append("places", first("region"))
+    return spark.createDataFrame([(c,) for c in kept.new_columns("places", first("nation"))], "name string")
 
 
 # text
 
 
-@query("SELECT count(*) FILTER (contains(text, 'the')) AS n_with, count(*) AS n, printf('%.2f', CASE WHEN count(*) > 0 THEN count(*) FILTER (contains(text, 'the')) / count(*) ELSE 0 END) AS rate FROM documents")
+@query("SELECT count(*) FILTER (contains(text, 'the')) AS n_indexed, count(*) AS n_chunks, printf('%.2f', CASE WHEN count(*) > 0 THEN count(*) FILTER (contains(text, 'the')) / count(*) ELSE 0 END) AS rate FROM documents")
 def index_rate(spark: SparkSession, d: str) -> DataFrame:
-    c = table(spark, d, "documents").agg(textscan.count_matching(F.col("text"), "the").alias("n_with"), F.count("*").alias("n"))
-    return c.withColumn("rate", textscan.rate(F.col("n_with"), F.col("n")))
+    """Documents as the chunks of a stream file; those with a certain word are indexed."""
+    chunk = F.array_compact(F.array(F.when(F.contains("text", F.lit("the")), F.lit("Cell parameters 7.9 7.9 3.8 nm, 90 90 90 deg")), F.lit("----- End chunk -----")))
+    return textscan.indexing_rate(table(spark, d, "documents").select(F.explode(chunk).alias("line")))
 
 
 LINES = r"lines AS (SELECT doc_id, unnest(generate_series(0, len(string_split(t, chr(10))) - 1)) AS line_no, unnest(string_split(t, chr(10))) AS line FROM (SELECT doc_id, regexp_replace(text, '\n$', '') AS t FROM documents WHERE text IS NOT NULL))"

@@ -25,11 +25,14 @@ def offsets(limits: tuple[float, float, int]) -> list[float]:
 
 
 def center_grid(spark: SparkSession, center: tuple[float, float], distances: list[float], dx=(-6, 6, 5), dy=(-6, 6, 5)) -> DataFrame:
-    """(candidate, cx, cy, distance) of every offset in x, offset in y and distance: a small product of parameters."""
-    xs, ys, ds = (spark.createDataFrame([(i, float(v)) for i, v in enumerate(vs)], f"{k}_i int, {k} double") for k, vs in (("x", offsets(dx)), ("y", offsets(dy)), ("d", distances)))
+    """(candidate, cx, cy, distance) of every offset in x, offset in y and distance: a small product of parameters, in one
+    partition."""
+    rows = spark.range(0, 1, 1, 1)
+    for k, values in (("x", offsets(dx)), ("y", offsets(dy)), ("d", distances)):
+        rows = rows.select("*", F.posexplode(F.array(*[F.lit(float(v)) for v in values])).alias(f"{k}_i", k))
     ny, nd = len(offsets(dy)), len(distances)
     at = (F.col("x_i") * ny + F.col("y_i")) * nd + F.col("d_i")
-    return xs.crossJoin(ys).crossJoin(ds).select(at.alias("candidate"), (center[0] + F.col("x")).alias("cx"), (center[1] + F.col("y")).alias("cy"), F.col("d").alias("distance"))
+    return rows.select(at.alias("candidate"), (center[0] + F.col("x")).alias("cx"), (center[1] + F.col("y")).alias("cy"), F.col("d").alias("distance"))
 
 
 def spacing_table(spark: SparkSession) -> DataFrame:
