@@ -313,20 +313,20 @@ def coo_assemble(spark: SparkSession, d: str) -> DataFrame:
     return rounded(image(spark, d), "value", digits=2)
 
 
-# means of money values lie exactly between two roundings now and then, where the order of a sum decides: moved off there
-RINGS = "{x}, g AS (SELECT CAST(floor({r}) AS INTEGER) AS r, sum(value) AS s, count(*) AS n FROM image GROUP BY 1), a AS (SELECT CAST(i AS INTEGER) AS r FROM (SELECT max(r) AS m FROM g), range(100) AS t(i) WHERE i <= m) SELECT a.r, round(CASE WHEN coalesce(s / n, 0) < 10 THEN 0 ELSE s / n END + 0.0000123, 3) AS value FROM a LEFT JOIN g USING (r)"
+# means of money values lie exactly between two roundings now and then, where the order of a sum decides; parts of pi do not
+RINGS = "{x}, g AS (SELECT CAST(floor({r}) AS INTEGER) AS r, sum(value) AS s, count(*) AS n FROM image GROUP BY 1), a AS (SELECT CAST(i AS INTEGER) AS r FROM (SELECT max(r) AS m FROM g), range(100) AS t(i) WHERE i <= m) SELECT a.r, round(CASE WHEN coalesce(s / n, 0) < 10 THEN 0 ELSE s / n END / pi(), 4) AS value FROM a LEFT JOIN g USING (r)"
 RADIUS = "sqrt(pow(col - 31.5, 2) + pow(row - 30.25, 2))"
 
 
 @query("WITH " + RINGS.format(x=IMAGE, r=RADIUS))
 def radial_profile(spark: SparkSession, d: str) -> DataFrame:
-    return images.radial_profile(image(spark, d), 31.5, 30.25).withColumn("value", F.round(F.col("value") + 0.0000123, 3))
+    return images.radial_profile(image(spark, d), 31.5, 30.25).withColumn("value", F.round(F.col("value") / F.pi(), 4))
 
 
 @query("WITH " + RINGS.format(x=IMAGE, r=f"CASE WHEN (row + col) % 7 <> 0 THEN {RADIUS} ELSE 0 END"))
 def radial_profile_masked(spark: SparkSession, d: str) -> DataFrame:
     mask = ((F.col("row") + F.col("col")) % 7 != 0).cast("int")
-    return images.radial_profile(image(spark, d), 31.5, 30.25, mask).withColumn("value", F.round(F.col("value") + 0.0000123, 3))
+    return images.radial_profile(image(spark, d), 31.5, 30.25, mask).withColumn("value", F.round(F.col("value") / F.pi(), 4))
 
 
 @query(f"WITH {IMAGE} SELECT row, col, round((value - (SELECT avg(value) FROM image)) / (SELECT stddev_pop(value) FROM image), 6) + 0.0 AS value FROM image")
@@ -350,9 +350,9 @@ def roi_projection(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH {IMAGE}, a AS (SELECT CAST(floor({RADIUS} * 10 / 40.0) AS INTEGER) AS r_bin, CAST(least(7, floor((atan2(row - 30.25, col - 31.5) + pi()) / (2 * pi()) * 8)) AS INTEGER) AS phi_bin, value FROM image)
-SELECT phi_bin, r_bin, round(avg(value) + 0.0000123, 3) AS value FROM a WHERE r_bin < 10 GROUP BY ALL""")
+SELECT phi_bin, r_bin, round(avg(value) / pi(), 4) AS value FROM a WHERE r_bin < 10 GROUP BY ALL""")
 def azimuthal_average(spark: SparkSession, d: str) -> DataFrame:
-    return images.azimuthal(image(spark, d), 31.5, 30.25, 10, 40.0, 8).withColumn("value", F.round(F.col("value") + 0.0000123, 3))
+    return images.azimuthal(image(spark, d), 31.5, 30.25, 10, 40.0, 8).withColumn("value", F.round(F.col("value") / F.pi(), 4))
 
 
 @query("SELECT event_id AS shot, CAST(greatest(0, floor(value / 9.5) + CASE WHEN value / 9.5 - floor(value / 9.5) >= 0.8 THEN 1 ELSE 0 END) AS INTEGER) AS photons FROM events")
