@@ -179,6 +179,11 @@ def _directory(data: bytes, order: str, at: int) -> tuple[dict[int, tuple], int]
     return tags, struct.unpack_from(order + "I", data, at + 2 + 12 * n)[0]
 
 
+FILL_ORDER, SAMPLE_FORMAT = 266, 339
+#: Bytes with their bits turned round: how a page of the second fill order keeps them.
+REVERSED = bytes(int(f"{x:08b}"[::-1], 2) for x in range(256))
+
+
 def _page(data: bytes, order: str, tags: dict[int, tuple]) -> dict:
     one = lambda tag, default=None: tags[tag][0] if tags.get(tag) else default
     width, height, bits, spp = one(WIDTH), one(HEIGHT), one(BITS, 1), one(SAMPLES, 1)
@@ -204,10 +209,11 @@ def _page(data: bytes, order: str, tags: dict[int, tuple]) -> dict:
         plane, place = divmod(k, across * down)
         top, left = place // across * h, place % across * w
         rows = h if tiled else min(h, height - top)
-        raw = _decoded(data[a : a + b], scheme, rows * -(-w * own * bits // 8))
+        stored = data[a : a + b].translate(REVERSED) if one(FILL_ORDER, 1) == 2 else data[a : a + b]
+        raw = _decoded(stored, scheme, rows * -(-w * own * bits // 8))
         block = _block(raw, rows, w, own, kind, bits, predictor)[: height - top, : width - left]
         image[top : top + block.shape[0], left : left + block.shape[1], plane : plane + own] = block
-    return {"width": width, "height": height, "bits": bits, "samples_per_pixel": spp, "compression": scheme, "predictor": predictor, "samples": image.tobytes()}
+    return {"width": width, "height": height, "bits": bits, "samples_per_pixel": spp, "compression": scheme, "predictor": predictor, "sample_format": one(SAMPLE_FORMAT, 1), "samples": image.tobytes()}
 
 
 #: What damaged bytes can raise.
@@ -215,8 +221,8 @@ DAMAGE = (ValueError, KeyError, IndexError, TypeError, OverflowError, ZeroDivisi
 
 
 def pages(data: bytes) -> Iterator[dict]:
-    """Each page: width, height, bits, samples_per_pixel, compression, predictor, samples (rows of pixels of
-    little-endian samples; of less than 8 bits, a byte each); or, of a page that cannot be read, error. A
+    """Each page: width, height, bits, samples_per_pixel, compression, predictor, sample_format (1 unsigned, 2 signed, 3
+    floating, as the file says), samples (rows of pixels of little-endian samples; of less than 8 bits, a byte each); or, of a page that cannot be read, error. A
     damaged chain of directories ends with such a page. ValueError or struct.error on what is no TIFF file."""
     order = {b"II": "<", b"MM": ">"}.get(data[:2])
     if not order or struct.unpack_from(order + "H", data, 2)[0] != 42:
@@ -281,7 +287,7 @@ def tiff(samples: bytes, width: int = 64, page_rows: int = 2048, compression: in
     return bytes(out)
 
 
-PAGE = "page int, n_pages int, width int, height int, bits int, samples_per_pixel int, compression int, predictor int, samples binary, error string"
+PAGE = "page int, n_pages int, width int, height int, bits int, samples_per_pixel int, compression int, predictor int, sample_format int, samples binary, error string"
 
 
 def tiff_pages(df: DataFrame, media_col: str = "media", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

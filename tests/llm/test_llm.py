@@ -171,6 +171,15 @@ def test_tiff_planes_bits_and_float_predictor():
         assert p["samples"] == a.tobytes() and p["bits"] == bits
 
 
+def test_tiff_fill_order_and_sample_format():
+    data = bytes(range(64))
+    turned = bytes(int(f"{x:08b}"[::-1], 2) for x in data)
+    fields = {256: 16, 257: 4, 258: 8, 259: 1, 277: 1, 278: 4}
+    one, two, signed = tiff.pages(tiff_of([(fields, [data]), (fields | {266: 2}, [turned]), (fields | {259: 8, 266: 2, 339: 2}, [zlib.compress(data).translate(tiff.REVERSED)])]))
+    assert one["samples"] == two["samples"] == signed["samples"] == data
+    assert (one["sample_format"], signed["sample_format"]) == (1, 2)
+
+
 def test_tiff_damage_spares_other_pages():
     good = ({256: 4, 257: 1, 258: 8, 259: 1, 277: 1, 278: 1}, [b"abcd"])
     for bad in ({256: 0}, {257: 0}, {277: 0}, {278: 0}, {256: 1 << 31, 257: 1 << 31}, {258: 3}, {259: 7}, {259: 5}, {259: 8}, {317: 9}, {256: 40}, {322: 0, 323: 0}):
