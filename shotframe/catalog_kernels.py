@@ -163,7 +163,8 @@ def prominent_profile_peaks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def geometry_panels(spark: SparkSession, d: str) -> DataFrame:
-    p = table(spark, d, "part")
+    # dealt out before a row becomes ten lines, as one row group can hold all rows
+    p = table(spark, d, "part").select("p_partkey", "p_size", "p_retailprice").hint("rebalance", "p_partkey")
     long = lambda c: F.lit(c).cast("long")
     turn = (F.col("p_partkey") % 4) * 0.25
     return p.select(

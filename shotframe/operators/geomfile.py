@@ -50,15 +50,20 @@ def axis(text: Column) -> Column:
 
 def panels(lines: DataFrame, line: str = "line", keep: tuple[str, ...] = ()) -> DataFrame:
     """A row for each panel of a geometry file (of keep): panel, its pixels, corner, res, coffset, and axes fs and ss as (x, y). A
-    key that a panel does not set is the one set for the whole detector; of repeated lines any one counts."""
-    e = entries(lines, line, keep)
-    named = lambda wanted: [F.max(F.when(F.col("key") == k, F.col("value"))).alias(k) for k in wanted]
-    keys = (*WHOLE, *PLACE, *AXES)
-    own = e.where("panel is not null and panel not like 'bad%' and panel not like 'rigid%'").groupBy(*keep, "panel").agg(*named(keys))
-    top = e.where("panel is null").groupBy(*keep).agg(*named(keys)).select(*keep, *(F.col(k).alias(f"top_{k}") for k in keys))
+    key that a panel does not set is the one set for the whole detector; of repeated lines any one counts. Values are numbers before
+    they are aggregated, as texts would be sorted: all lines of a task."""
+    number = F.when(F.col("key").isin(*WHOLE, *PLACE), F.col("value").cast("double"))
+    pair = F.when(F.col("key").isin(*AXES), axis(F.col("value")))
+    e = entries(lines, line, keep).select(*keep, "panel", "key", number.alias("_n"), pair.alias("_p"), F.xxhash64("value").alias("_h"))
+    of = lambda k, c: F.when(F.col("key") == k, F.col(c))
+    parts = {f"{k}_{c}": F.max_by(of(k, f"_p.{c}"), of(k, "_h")) for k in AXES for c in ("x", "y")}  # both of the same line
+    values = {k: F.max(of(k, "_n")) for k in (*WHOLE, *PLACE)} | parts
+    own = e.where("panel is not null and panel not like 'bad%' and panel not like 'rigid%'").groupBy(*keep, "panel").agg(*(v.alias(k) for k, v in values.items()))
+    top = e.where("panel is null").groupBy(*keep).agg(*(v.alias(f"top_{k}") for k, v in values.items()))
     both = own.join(top, list(keep), "left") if keep else own.crossJoin(F.broadcast(top))  # top: one row
     value = lambda k: F.coalesce(k, f"top_{k}")
-    return both.select(*keep, "panel", *(value(k).cast("double").cast("long").alias(k) for k in WHOLE), *(value(k).cast("double").alias(k) for k in PLACE), *(axis(value(k)).alias(k) for k in AXES))
+    axes = [F.struct(*(F.coalesce(value(f"{k}_{c}"), F.lit(0.0)).alias(c) for c in ("x", "y"))).alias(k) for k in AXES]
+    return both.select(*keep, "panel", *(value(k).cast("long").alias(k) for k in WHOLE), *(value(k).alias(k) for k in PLACE), *axes)
 
 
 def geometry_lines(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

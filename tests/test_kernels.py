@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from shotframe import catalog_kernels
 from shotframe.functions import numeric, splines
 from shotframe.operators import droplets, geomfile, images, peaks
 from shotframe.sources import shots, stacks
@@ -483,3 +484,38 @@ def test_geometry_file_panels(spark):
     with pytest.raises(Exception, match="no camera length"):
         spark.createDataFrame([("other",)], "n string").select(geomfile.camera_length_of(F.col("n"))).collect()
     assert spark.range(1).select(geomfile.camera_offset(F.lit(100.0), F.lit(40.0))).first()[0] == pytest.approx(0.06)
+
+
+def test_panels_do_not_sort_lines(spark):
+    """Sorted lines are all lines of a task in memory."""
+    df = spark.createDataFrame([(1, "p0/fs = x"), (1, "res = 2")], "file long, line string")
+    for rows in (geomfile.panels(df, keep=("file",)), geomfile.panels(df)):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_repeated_lines_of_panels(spark, parts):
+    """Both parts of an axis are of one line, whichever counts; results do not depend on partitions; odd panels have a row."""
+    axes = ["+1.0x -2.0y", "3y", "-7x+3y", "9x", "x+3y"]
+    lines = [(f, f"p{i}/{k} = {v}") for f in range(3) for i in range(20) for k in ("fs", "ss") for v in axes] + [(0, "p0/min_fs = 9"), (0, "p0/min_fs = 1e1"), (1, "min_fs = 4"), (1, "ss = 2y"), (1, "q/fs = y"), (2, "q/note = text"), (2, "note = text"), (2, "bad0/min_fs = text")]
+    got = {(r.file, r.panel): r for r in geomfile.panels(spark.createDataFrame(lines, "file long, line string").repartition(parts), keep=("file",)).collect()}
+    allowed = {(1.0, -2.0), (0.0, 3.0), (-7.0, 3.0), (9.0, 0.0), (1.0, 3.0)}
+    assert len(got) == 62 and all({tuple(r.fs), tuple(r.ss)} <= allowed for (_, panel), r in got.items() if panel != "q")
+    assert len({(tuple(r.fs), tuple(r.ss)) for (_, panel), r in got.items() if panel != "q"}) == 1
+    assert got[0, "p0"].min_fs in (9, 10) and got[0, "p1"].min_fs is None and got[1, "p5"].min_fs == 4 and got[1, "p5"].res is None
+    assert tuple(got[1, "q"].fs) == (0.0, 1.0) and tuple(got[1, "q"].ss) == (0.0, 2.0) and tuple(got[2, "q"].fs) == tuple(got[2, "q"].ss) == (0.0, 0.0)
+
+
+def test_geometry_lines_are_dealt_out(spark, tmp_path):
+    """Rows of one row group become lines in more than one task."""
+    part = spark.range(0, 20000, 1, 1).select(F.col("id").alias("p_partkey"), (F.col("id") % 50).cast("int").alias("p_size"), (F.col("id") / 7).alias("p_retailprice"))
+    part.write.parquet(str(tmp_path / "part.parquet"))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "8k")
+    try:
+        lines = geomfile.geometry_lines(catalog_kernels.geometry_panels(spark, str(tmp_path)), keep=("file",))
+        most = max(r["count"] for r in lines.groupBy(F.spark_partition_id()).count().collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", before)
+    assert lines.count() == 200000 and most < 100000
