@@ -10,12 +10,13 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, squeeze, squeeze_ids, text_bytes, text_chunks, unsqueeze, unsqueeze_ids
+from .common import materialize, text_bytes, text_chunks
 from .components import components
-from .windows import bucket_bits, low_bytes, mix, runs, shingle_sets, split_by_bucket, whole_hashes
+from .windows import bucket_bits, by_bucket, cuts, mix, packed, packed_hashes, packed_ids, packed_numbers, runs, shingle_sets, unpacked, unpacked_hashes, unpacked_ids, unpacked_numbers
 
 BLOCK = 1_000_000
 #: Documents of a block that share a shingle from which on their postings stay with the documents: only counts
@@ -52,6 +53,14 @@ def shared_shingles(docs: DataFrame, words: int, percent: int) -> DataFrame:
         the groups that have them and how often. Rows for a group g (bucket -1 - g): kind 2, sizes and
         signatures; kind 3, hot hashes with their documents."""
 
+        def rows(keys, kind, h, ids, more=None):
+            n = len(keys)
+            more = packed(np.empty(0, np.uint8), np.zeros(n + 1, np.int64)) if more is None else more
+            whole = pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(np.full(n, kind), pa.int32()), h, ids, more], ["bucket", "kind", "h", "ids", "more"])
+            step = n // 8 + 1
+            for i in range(0, n, step):
+                yield whole.slice(i, step)
+
         def blocks():
             h, ids = (np.concatenate(x) for x in zip(*held, strict=True)) if held else (np.empty(0, np.uint64), np.empty(0, np.int64))
             order = np.argsort(h)
@@ -59,23 +68,29 @@ def shared_shingles(docs: DataFrame, words: int, percent: int) -> DataFrame:
             many = np.diff(np.append(first, len(h)))
             hot = np.empty(len(h), bool)
             hot[order] = np.repeat(many >= hot_from, many)
-            rows = [(b, 0, low_bytes(h[~hot][at]), squeeze_ids(ids[~hot][at]), b"") for b, at in split_by_bucket(h[~hot], bits)]
+            bucket, order = by_bucket(h[~hot], bits)
+            at = cuts(bucket)
+            yield from rows(bucket[at[:-1]], 0, packed_hashes(h[~hot][order], at), packed_ids(ids[~hot][order], at))
             if hot.any():
                 h, ids = h[hot], ids[hot]
                 group = _group(ids, bits)
                 order = np.lexsort((h, group))
-                rows += [(-1 - int(group[order[a]]), 3, h[order[a:b]].tobytes(), squeeze_ids(ids[order[a:b]]), b"") for a, b in runs(group[order])]
+                at = cuts(group[order])
+                yield from rows(-1 - group[order][at[:-1]], 3, packed(h[order], at), packed_ids(ids[order], at))
                 order = np.lexsort((group, h))
                 h, group = h[order], group[order]
                 first = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (group[1:] != group[:-1]))))
                 many, h, group = np.diff(np.append(first, len(h))), h[first], group[first]
-                rows += [(b, 1, low_bytes(h[at]), squeeze_ids(group[at]), squeeze(many[at].astype(np.uint64))) for b, at in split_by_bucket(h, bits)]
-            group = _group(np.array([x[0] for x in sizes], np.int64), bits)
-            for g in np.unique(group):
-                own = [sizes[i] for i in np.flatnonzero(group == g)]
-                rows.append((-1 - int(g), 2, squeeze(np.array([x[1] for x in own], np.uint64)), squeeze_ids(np.array([x[0] for x in own], np.int64)), b"".join(x[2] for x in own)))
-            for i in range(0, len(rows), 64):
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i : i + 64], strict=True), (pa.int64(), pa.int32(), *[pa.binary()] * 3), strict=True)], ["bucket", "kind", "h", "ids", "more"])
+                bucket, order = by_bucket(h, bits)
+                at = cuts(bucket)
+                yield from rows(bucket[at[:-1]], 1, packed_hashes(h[order], at), packed_ids(group[order], at), packed_numbers(many[order], at))
+            ids = np.array([x[0] for x in sizes], np.int64)
+            order = np.argsort(_group(ids, bits), kind="stable")
+            ids, own = ids[order], [sizes[i] for i in order.tolist()]
+            group = _group(ids, bits)
+            at = cuts(group)
+            sigs = np.frombuffer(b"".join(x[2] for x in own), np.uint8).reshape(-1, 16)
+            yield from rows(-1 - group[at[:-1]], 2, packed_numbers(np.array([x[1] for x in own], np.uint64), at), packed_ids(ids, at), packed(sigs, at))
 
         held, sizes, seen, n = [], [], set(), 0
         for ids, texts in text_chunks(batches):
@@ -106,12 +121,10 @@ def shared_shingles(docs: DataFrame, words: int, percent: int) -> DataFrame:
         names = ("g", "kind", "h", "ids", "more")
         if bucket < 0:
             return pa.table([pa.array([-1 - bucket] * len(t), pa.int64()), *(t.column(k) for k in names[1:])], names=names)
-        parts: dict[int, list] = {0: [], 1: []}
-        for kind, h, ids, more in zip(*(t.column(k).to_pylist() for k in names[1:]), strict=True):
-            parts[kind].append((whole_hashes(h, bucket, bits), unsqueeze_ids(ids), unsqueeze(more).astype(np.int64) if kind else None))
-        none = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-        h, ids = (np.concatenate([none[k], *(x[k] for x in parts[0])]) for k in (0, 1))
-        hot, hot_group, hot_many = (np.concatenate([none[k], *(x[k] for x in parts[1])]) for k in (0, 1, 2))
+        few, many = (t.filter(pc.equal(t.column("kind"), k)) for k in (0, 1))
+        h, hot = (unpacked_hashes(x.column("h"), bucket, bits) for x in (few, many))
+        ids, hot_group = (unpacked_ids(x.column("ids")) for x in (few, many))
+        hot_many = unpacked_numbers(many.column("more")).astype(np.int64)
         order = np.lexsort((ids, h))
         h, ids = h[order], ids[order]
         new = np.ones(len(h), bool)
@@ -122,48 +135,44 @@ def shared_shingles(docs: DataFrame, words: int, percent: int) -> DataFrame:
             df = np.bincount(where, np.concatenate((np.ones(len(h)), hot_many)), len(distinct)).astype(np.int64)
         code = np.minimum(255, np.floor(8 * np.log2(np.maximum(1, df)))).astype(np.uint8)[where]  # a coarse logarithm orders well enough
         hit = df[where[: len(h)]] > 1
-        rows = []
         group = _group(ids[hit], bits)
         order = np.lexsort((ids[hit], group))
         h, ids, own, group = h[hit][order], ids[hit][order], code[: len(hit)][hit][order], group[order]
-        rows += [(int(group[a]), 4, h[a:b].tobytes(), squeeze_ids(ids[a:b]), squeeze(own[a:b])) for a, b in runs(group)]
+        at = cuts(group)
+        parts = [(group[at[:-1]], 4, packed(h, at), packed_ids(ids, at), packed(own, at))]
         if len(hot):
             order = np.lexsort((hot, hot_group))
             hot, hot_group, code = hot[order], hot_group[order], code[len(hit) :][order]
-            rows += [(int(hot_group[a]), 5, hot[a:b].tobytes(), b"", squeeze(code[a:b])) for a, b in runs(hot_group)]
-        return pa.table([pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int64(), pa.int32(), *[pa.binary()] * 3))], names=names)
+            at = cuts(hot_group)
+            parts.append((hot_group[at[:-1]], 5, packed(hot, at), packed(np.empty(0, np.uint8), np.zeros(len(at), np.int64)), packed(code, at)))
+        return pa.concat_tables(pa.table([pa.array(g, pa.int64()), pa.array(np.full(len(g), kind), pa.int32()), *x], names=names) for g, kind, *x in parts)
 
     def gathered(t: pa.Table) -> pa.Table:
-        sizes, parts, direct, codes = {}, [], [], []
-        for kind, h, ids, more in zip(*(t.column(k).to_pylist() for k in ("kind", "h", "ids", "more")), strict=True):
-            if kind == 5:
-                codes.append((np.frombuffer(h, "<u8"), unsqueeze(more)))
-                continue
-            ids = unsqueeze_ids(ids)
-            if kind == 4:
-                parts.append((ids, np.frombuffer(h, "<u8"), unsqueeze(more)))
-            elif kind == 3:
-                direct.append((ids, np.frombuffer(h, "<u8")))
-            else:
-                for j, (i, n) in enumerate(zip(ids.tolist(), unsqueeze(h).tolist(), strict=True)):
-                    sizes.setdefault(i, (n, more[16 * j : 16 * j + 16]))
-        if direct:
-            h, code = (np.concatenate(x) for x in zip(*codes, strict=True))
-            h, at = np.unique(h, return_index=True)
-            parts += [(ids, own, code[at][np.searchsorted(h, own)]) for ids, own in direct]
-        ids, h, code = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint8))
+        own = {k: t.filter(pc.equal(t.column("kind"), k)) for k in (2, 3, 4, 5)}
+        sized, n = unpacked_ids(own[2].column("ids")), unpacked_numbers(own[2].column("h")).astype(np.int64)
+        sig = unpacked(own[2].column("more")).reshape(-1, 16)
+        sized, at = np.unique(sized, return_index=True)  # an id with several texts may have come twice
+        n, sig = n[at], sig[at]
+        ids, h = (np.concatenate(x) for x in zip(*((unpacked_ids(x.column("ids")), unpacked(x.column("h"), np.dtype("<u8"))) for x in (own[4], own[3])), strict=True))
+        code = unpacked(own[4].column("more"))
+        if len(own[3]):
+            hot, at = np.unique(unpacked(own[5].column("h"), np.dtype("<u8")), return_index=True)
+            code = np.concatenate((code, unpacked(own[5].column("more"))[at][np.searchsorted(hot, h[len(code) :])]))
         order = np.lexsort((h, code, ids))
         ids, h, code = ids[order], h[order], code[order]
         new = np.ones(len(ids), bool)
-        new[1:] = (ids[1:] != ids[:-1]) | (h[1:] != h[:-1])  # an id with several texts may have come twice
+        new[1:] = (ids[1:] != ids[:-1]) | (h[1:] != h[:-1])
         ids, h, code = ids[new], h[new], code[new]
-        rows = []
-        for i, (n, sig) in sizes.items():
-            a, b = np.searchsorted(ids, [i, i + 1])
-            enough = n > 0 and 100 * (b - a) >= percent * n
-            rows.append((i, n, sig, int(b - a), float(code[a:b].sum(dtype=np.int64)) / max(1, n), code[a:b].astype(np.int64).tolist() if enough else None, h[a:b].view(np.int64) if enough else None))
-        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.float64(), pa.list_(pa.int16()), pa.list_(pa.int64()))
-        return pa.table({k: pa.array([r[i] for r in rows], kind) for i, (k, kind) in enumerate(zip(("id", "n", "sig", "k", "rich", "codes", "tokens"), kinds, strict=True))})
+        a, b = np.searchsorted(ids, sized), np.searchsorted(ids, sized, "right")
+        k = b - a
+        total = np.append(0, np.cumsum(code, dtype=np.int64))
+        enough = (n > 0) & (100 * k >= percent * n)
+        kept = enough[np.searchsorted(sized, ids)]
+        offsets = pa.array(np.append(0, np.cumsum(np.where(enough, k, 0))), pa.int32())
+        lists = lambda x: pa.ListArray.from_arrays(offsets, pa.array(x[kept]), mask=pa.array(~enough))
+        at = np.arange(len(sized) + 1)
+        columns = (pa.array(sized), pa.array(n), packed(sig, at), pa.array(k), pa.array((total[b] - total[a]) / np.maximum(1, n)), lists(code.astype(np.int16)), lists(h.view(np.int64)))
+        return pa.table(columns, names=("id", "n", "sig", "k", "rich", "codes", "tokens"))
 
     sent = docs.mapInArrow(hashed, "bucket long, kind int, h binary, ids binary, more binary").groupBy("bucket").applyInArrow(repeated, "g long, kind int, h binary, ids binary, more binary")
     return sent.groupBy("g").applyInArrow(gathered, "id long, n long, sig binary, k long, rich double, codes array<short>, tokens array<long>")

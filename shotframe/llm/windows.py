@@ -11,6 +11,7 @@ from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
+import pyarrow as pa
 
 _KEY = np.uint64(0x9E3779B97F4A7C15)
 _ROLL = np.uint64(0xD1342543DE82EF95)
@@ -123,12 +124,17 @@ def runs(ordered: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(cuts, [*cuts[1:], len(ordered)], strict=True))
 
 
-def split_by_bucket(h: np.ndarray, bits: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(bucket, positions in h); the top bits of a hash are its bucket."""
+def by_bucket(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of all hashes in order, and the positions in h; the top bits of a hash are its bucket."""
     bucket = h >> np.uint64(64 - bits)
     bucket = bucket.astype(np.uint16 if bits <= 16 else np.uint32)
     order = np.argsort(bucket, kind="stable")
-    ordered = bucket[order]
+    return bucket[order], order
+
+
+def split_by_bucket(h: np.ndarray, bits: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(bucket, positions in h)."""
+    ordered, order = by_bucket(h, bits)
     for a, b in runs(ordered):
         yield int(ordered[a]), order[a:b]
 
@@ -138,8 +144,101 @@ def low_bytes(h: np.ndarray) -> bytes:
     return np.ascontiguousarray(h).view(np.uint8).reshape(-1, 8)[:, :7].tobytes()
 
 
-def whole_hashes(b: bytes, bucket: int, bits: int) -> np.ndarray:
+def whole_hashes(b: bytes | np.ndarray, bucket: int, bits: int) -> np.ndarray:
     full = np.zeros((len(b) // 7, 8), np.uint8)
     full[:, :7] = np.frombuffer(b, np.uint8).reshape(-1, 7)
     full[:, 7] = bucket >> (bits - 8)
     return full.view("<u8").ravel()
+
+
+def cuts(ordered: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins, and the end at last."""
+    begins = np.flatnonzero(ordered[1:] != ordered[:-1]) + 1
+    return np.concatenate(([0], begins, [len(ordered)])) if len(ordered) else np.zeros(1, np.int64)
+
+
+def packed(a: np.ndarray, at: np.ndarray) -> pa.Array:
+    """A binary row for each run at[i] to at[i + 1] of a: its items as they are. All rows are made in one go: the
+    pairs of a block and a bucket grow with the square of the input, so none may cost a step of Python."""
+    a = np.ascontiguousarray(a)
+    width = a.itemsize * (a.shape[1] if a.ndim > 1 else 1)
+    return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer((at * width).astype(np.int32)), pa.py_buffer(a)])
+
+
+def packed_hashes(h: np.ndarray, at: np.ndarray) -> pa.Array:
+    """The low 56 bits of each hash; its bucket has the others."""
+    return packed(np.ascontiguousarray(h).view(np.uint8).reshape(-1, 8)[:, :7], at)
+
+
+def packed_numbers(a: np.ndarray, at: np.ndarray) -> pa.Array:
+    """Unsigned numbers, seven bits a byte."""
+    a = a.astype(np.uint64)
+    size = np.ones(len(a), np.int64)
+    for k in range(1, 10):
+        more = a >> np.uint64(7 * k) != 0
+        if not more.any():
+            break
+        size += more
+    ends = np.cumsum(size)
+    out = np.empty(int(size.sum()), np.uint8)
+    begins, left = ends - size, np.arange(len(a))
+    for k in range(10):
+        if not len(left):
+            break
+        last = size[left] == k + 1
+        out[begins[left] + k] = (a[left] >> np.uint64(7 * k)).astype(np.uint8) & 127 | np.where(last, 0, 128).astype(np.uint8)
+        left = left[~last]
+    return packed(out, np.append(0, ends)[at])
+
+
+def packed_ids(ids: np.ndarray, at: np.ndarray) -> pa.Array:
+    """Signed 64-bit ids by their differences in a row."""
+    step = np.diff(ids, prepend=np.int64(0))
+    step[at[:-1]] = ids[at[:-1]]
+    return packed_numbers((step << 1 ^ step >> 63).view(np.uint64), at)
+
+
+def _joined(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all rows of a binary column, and where each row begins, the end at last."""
+    b = (column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column).cast(pa.binary())
+    _, offsets, data = b.buffers()
+    if not len(b):
+        return np.empty(0, np.uint8), np.zeros(1, np.int64)
+    at = np.frombuffer(offsets, np.int32)[b.offset : b.offset + len(b) + 1].astype(np.int64)
+    return np.frombuffer(data or b"", np.uint8)[at[0] : at[-1]], at - at[0]
+
+
+def unpacked(column: pa.Array | pa.ChunkedArray, kind: np.dtype | type = np.uint8) -> np.ndarray:
+    """The items of all rows of packed()."""
+    return _joined(column)[0].view(kind)
+
+
+def unpacked_hashes(column: pa.Array | pa.ChunkedArray, bucket: int, bits: int) -> np.ndarray:
+    return whole_hashes(unpacked(column), bucket, bits)
+
+
+def _numbers(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers in b, and the place of each one's last byte."""
+    ends = np.flatnonzero(b < 128)
+    begins = np.append(0, ends[:-1] + 1)[: len(ends)]
+    out = (b[begins] & 127).astype(np.uint64)
+    left = np.flatnonzero(ends > begins)
+    for k in range(1, 10):
+        if not len(left):
+            break
+        out[left] |= (b[begins[left] + k] & 127).astype(np.uint64) << np.uint64(7 * k)
+        left = left[ends[left] > begins[left] + k]
+    return out, ends
+
+
+def unpacked_numbers(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return _numbers(unpacked(column))[0]
+
+
+def unpacked_ids(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    b, at = _joined(column)
+    step, ends = _numbers(b)
+    step = (step >> np.uint64(1)).view(np.int64) ^ -(step & np.uint64(1)).view(np.int64)
+    first = np.searchsorted(ends, at)
+    total = np.append(np.int64(0), np.cumsum(step))
+    return total[1:] - np.repeat(total[first[:-1]], np.diff(first))

@@ -4,13 +4,17 @@ import collections
 import hashlib
 import random
 import re
+import sys
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import shotframe.llm.jaccard_join as jaccard
 import shotframe.llm.minhash as minhash
 from shotframe.llm import merkle, windows
 from shotframe.llm.jaccard_join import jaccard_join
@@ -319,3 +323,98 @@ def test_stages_hand_on_clashing_columns_and_empty_tables(spark):
         assert sorted(r.doc_id for r in got) == sorted(r.doc_id for r in plain.collect())
         assert all(r[c] == f"{c}{r.doc_id}" for r in got for c in names)
     assert P.pack(spark, empty, SF).count() == 0 < P.pack(spark, rows, SF).count()
+
+
+# 4 and 8: blocks meet buckets
+
+
+@pytest.mark.parametrize("n", [0, 1, 5, 1000])
+def test_packed_rows(n):
+    rng = np.random.default_rng(n)
+    at = windows.cuts(np.sort(rng.integers(0, 9, n)))
+    a = rng.integers(0, 2**64 - 1, n, dtype=np.uint64, endpoint=True) >> rng.integers(0, 64, n).astype(np.uint64)
+    a[:2] = [0, 2**64 - 1][:n]
+    ids = a.view(np.int64).copy()
+    ids[2:4] = [-(2**63), 2**63 - 1][: max(0, n - 2)]
+    h = a & np.uint64(2**56 - 1) | np.uint64(0xAB << 56)
+    numbers, signed, hashes = windows.packed_numbers(a, at), windows.packed_ids(ids, at), windows.packed_hashes(h, at)
+    for column in (numbers, signed, hashes):
+        column.validate(full=True)
+        assert len(column) == len(at) - 1
+    assert np.array_equal(windows.unpacked_numbers(numbers), a) and np.array_equal(windows.unpacked_ids(signed), ids)
+    assert np.array_equal(windows.unpacked_hashes(hashes, 0xABC, 12), h) and np.array_equal(windows.unpacked(windows.packed(a, at), np.uint64), a)
+    if len(at) > 3:  # rows in pieces, and from the middle
+        pieces = pa.chunked_array([signed.slice(1, 1), signed.slice(2)])
+        assert np.array_equal(windows.unpacked_ids(pieces), ids[at[1] :])
+        assert np.array_equal(windows.unpacked_numbers(numbers.slice(2)), a[at[2] :])
+
+
+def calls_of(f):
+    """Steps of Python that f takes."""
+    n = 0
+
+    def count(frame, event, arg):
+        nonlocal n
+        n += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        f()
+    finally:
+        sys.setprofile(None)
+    return n
+
+
+def block_functions(spark, monkeypatch, module, make, bits):
+    """The function that makes a block's rows and the one that reads a bucket's, for so many bits of buckets."""
+    seen = []
+    docs = spark.createDataFrame([(1, "")], "doc_id long, text string")
+    for kind, name in ((type(docs), "mapInArrow"), (type(docs.groupBy("doc_id")), "applyInArrow")):
+        f = getattr(kind, name)
+        monkeypatch.setattr(kind, name, lambda self, own, *a, f=f, **b: seen.append(own) or f(self, own, *a, **b))
+    monkeypatch.setattr(module, "bucket_bits", lambda n: bits)
+    monkeypatch.setattr(module, "materialize", lambda df, tag: df)
+    make(docs.withColumnRenamed("doc_id", "id"))
+    monkeypatch.undo()
+    return seen[:2]
+
+
+def several_groups(n, seed):
+    """A record batch of n texts of which some share lines."""
+    rng = random.Random(seed)
+    line = [" ".join(f"w{rng.randrange(9999)}" for _ in range(30)) for _ in range(20)]
+    texts = [" ".join(rng.choices(line, k=3) + [f"x{rng.randrange(10**9)}" for _ in range(60)] + [line[0]]) for _ in range(n)]
+    return pa.RecordBatch.from_pydict({"id": list(range(n)), "text": texts})
+
+
+def assert_no_step_a_bucket(spark, monkeypatch, module, make):
+    """Neither the rows of a block nor those of a bucket may cost a step of Python each: as more input has more blocks and
+    more buckets, they grow with its square."""
+    batch, took = several_groups(400, 1), {}
+    for bits in (8, 14):
+        block, bucket = block_functions(spark, monkeypatch, module, make, bits)
+        took[bits] = calls_of(lambda block=block: list(block(iter([batch]))))
+        if bits == 8:
+            rows = pa.Table.from_batches(block(iter([batch])))
+            first = rows.filter(pc.equal(rows.column("bucket"), pc.max(rows.column("bucket"))))
+            bucket(first)
+            once = calls_of(lambda bucket=bucket, first=first: bucket(first))
+            again = pa.concat_tables([first] * 200)
+            many = calls_of(lambda bucket=bucket, again=again: bucket(again))
+            assert many < 1.5 * once + 200
+    assert took[14] < 1.2 * took[8]
+
+
+def test_jaccard_blocks_take_no_step_a_bucket(spark, monkeypatch):
+    assert_no_step_a_bucket(spark, monkeypatch, jaccard, lambda docs: jaccard.shared_shingles(docs, 5, 80))
+
+
+def test_jaccard_join_does_not_depend_on_buckets(spark, monkeypatch):
+    docs = spark.createDataFrame(several_groups(150, 2).to_pylist() + [{"id": 7, "text": "another text of seven"}, {"id": -5, "text": None}], "id long, text string").cache()
+    want = sorted(map(tuple, jaccard_join(docs.where("id <> 7"), id_col="id", links=True).collect()))
+    for bits, hot in ((11, 64), (11, 3)):
+        monkeypatch.setattr(jaccard, "bucket_bits", lambda n, bits=bits: bits)
+        monkeypatch.setattr(jaccard, "HOT", hot)
+        assert sorted(map(tuple, jaccard_join(docs.where("id <> 7"), id_col="id", links=True).collect())) == want
+    assert len(jaccard_join(docs, id_col="id", links=True).collect()) == 151  # an id of two texts is one row
+    docs.unpersist()
