@@ -12,8 +12,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, materialize, squeeze, squeeze_ids, text_bytes, text_chunks, unsqueeze, unsqueeze_ids
-from .windows import bucket_bits, low_bytes, runs, split_by_bucket, whole_hashes, window_hashes
+from .common import as_bytes, materialize, text_bytes, text_chunks
+from .windows import bucket_bits, by_bucket, cuts, packed, packed_hashes, packed_ids, packed_numbers, unpacked, unpacked_hashes, unpacked_ids, unpacked_numbers, window_hashes
 
 #: Windows that a task gathers before it sends them on.
 BLOCK = 1_000_000
@@ -37,12 +37,13 @@ def _least(h: np.ndarray, check: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return out
 
 
-def _by_group(ids: np.ndarray, pos: np.ndarray, bits: int) -> list[tuple[int, bytes, bytes]]:
-    """(group, ids, window starts) of windows to remove."""
+def _by_group(ids: np.ndarray, pos: np.ndarray, bits: int) -> tuple[np.ndarray, pa.Array, pa.Array]:
+    """Groups, ids and window starts of windows to remove: a row a group."""
     group = _group(ids, bits)
     order = np.lexsort((pos, ids, group))
     ids, pos, group = ids[order], pos[order], group[order]
-    return [(int(group[a]), squeeze_ids(ids[a:b]), squeeze(pos[a:b])) for a, b in runs(group)]
+    at = cuts(group)
+    return group[at[:-1]], packed_ids(ids, at), packed_numbers(pos, at)
 
 
 def substring_dedup(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -67,10 +68,16 @@ def substring_dedup(docs: DataFrame, window: int = 13, id_col: str = "doc_id", t
             h, check, ids, pos = (np.concatenate(x) for x in zip(*held, strict=True))
             least = _least(h, check, ids)
             known = ids > least  # a smaller document of this block has the window
-            rows = [(b, low_bytes(h[~known][at]), check[~known][at].tobytes(), squeeze_ids(ids[~known][at]), squeeze(pos[~known][at])) for b, at in split_by_bucket(h[~known], bits)]
-            rows += [(-1 - g, b"", b"", i, p) for g, i, p in _by_group(ids[known], pos[known], bits)]
-            for i in range(0, len(rows), 64):
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i : i + 64], strict=True), (pa.int64(), *[pa.binary()] * 4), strict=True)], ["bucket", "h", "check", "ids", "pos"])
+            bucket, order = by_bucket(h[~known], bits)
+            at = cuts(bucket)
+            group, *gone = _by_group(ids[known], pos[known], bits)
+            none = packed(np.empty(0, np.uint8), np.zeros(len(group) + 1, np.int64))
+            sent_on = [packed_hashes(h[~known][order], at), packed(check[~known][order], at), packed_ids(ids[~known][order], at), packed_numbers(pos[~known][order], at)]
+            for keys, columns in ((bucket[at[:-1]], sent_on), (-1 - group, [none, none, *gone])):
+                whole = pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *columns], ["bucket", "h", "check", "ids", "pos"])
+                step = len(keys) // 8 + 1
+                for i in range(0, len(keys), step):
+                    yield whole.slice(i, step)
 
         held, n = [], 0
         for ids, texts in text_chunks(batches):
@@ -91,13 +98,10 @@ def substring_dedup(docs: DataFrame, window: int = 13, id_col: str = "doc_id", t
         bucket = t.column("bucket")[0].as_py()
         if bucket < 0:
             return pa.table({"g": pa.array([-1 - bucket] * len(t), pa.int64()), "ids": t.column("ids"), "pos": t.column("pos")})
-        h = np.concatenate([whole_hashes(x, bucket, bits) for x in t.column("h").to_pylist()])
-        check = np.concatenate([np.frombuffer(x, np.uint32) for x in t.column("check").to_pylist()])
-        ids = np.concatenate([unsqueeze_ids(x) for x in t.column("ids").to_pylist()])
-        pos = np.concatenate([unsqueeze(x) for x in t.column("pos").to_pylist()])
+        h, check, ids, pos = unpacked_hashes(t.column("h"), bucket, bits), unpacked(t.column("check"), np.uint32), unpacked_ids(t.column("ids")), unpacked_numbers(t.column("pos"))
         hit = ids > _least(h, check, ids)
-        rows = _by_group(ids[hit], pos[hit], bits)
-        return pa.table({"g": pa.array([r[0] for r in rows], pa.int64()), "ids": pa.array([r[1] for r in rows], pa.binary()), "pos": pa.array([r[2] for r in rows], pa.binary())})
+        group, *gone = _by_group(ids[hit], pos[hit], bits)
+        return pa.table([pa.array(group, pa.int64()), *gone], names=["g", "ids", "pos"])
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1).compress
@@ -108,8 +112,7 @@ def substring_dedup(docs: DataFrame, window: int = 13, id_col: str = "doc_id", t
             yield pa.RecordBatch.from_arrays([pa.array(_group(known, bits)), ids, pa.array([press(x) for x in texts], pa.binary())], ["g", "id", "z"])
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
-        ids = np.concatenate([np.empty(0, np.int64), *(unsqueeze_ids(x) for x in right.column("ids").to_pylist())])
-        pos = np.concatenate([np.empty(0, np.int64), *(unsqueeze(x).astype(np.int64) for x in right.column("pos").to_pylist())])
+        ids, pos = unpacked_ids(right.column("ids")), unpacked_numbers(right.column("pos")).astype(np.int64)
         order = np.lexsort((pos, ids))
         ids, pos = ids[order], pos[order]
         out = {"id": [], "n_words": [], "n_removed": [], "kept_text": [], "removed": []}

@@ -16,6 +16,7 @@ from tokenizers import Tokenizer
 
 import shotframe.llm.jaccard_join as jaccard
 import shotframe.llm.minhash as minhash
+import shotframe.llm.substring_dedup as dedup
 from shotframe.llm import merkle, windows
 from shotframe.llm.jaccard_join import jaccard_join
 from shotframe.llm.langid import fit, held_out, language_id
@@ -418,3 +419,16 @@ def test_jaccard_join_does_not_depend_on_buckets(spark, monkeypatch):
         assert sorted(map(tuple, jaccard_join(docs.where("id <> 7"), id_col="id", links=True).collect())) == want
     assert len(jaccard_join(docs, id_col="id", links=True).collect()) == 151  # an id of two texts is one row
     docs.unpersist()
+
+def test_substring_blocks_take_no_step_a_bucket(spark, monkeypatch):
+    assert_no_step_a_bucket(spark, monkeypatch, dedup, lambda docs: substring_dedup(docs, id_col="id"))
+
+
+def test_substring_dedup_does_not_depend_on_buckets(spark, monkeypatch):
+    docs = spark.createDataFrame([*several_groups(150, 3).to_pylist(), {"id": -5, "text": None}, {"id": None, "text": "a b"}, {"id": -(2**63), "text": " ".join("abcdefghijklmnop")}], "id long, text string").cache()
+    key = lambda df: sorted((map(str, df.collect())))
+    want = key(substring_dedup(docs, id_col="id"))
+    assert sum("Row(start=" in x for x in want) > 100
+    monkeypatch.setattr(dedup, "bucket_bits", lambda n: 11)
+    assert key(substring_dedup(docs, id_col="id")) == want
+    docs.unpersist()
